@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import LAMBDA_VALUES, VECTORS, WHOLE_SQL, table, vectors, whole_vectors
-from catalog.ridge_sql import accuracy_ctes, vector_rows, weights_ctes
+from catalog.ridge_sql import accuracy_ctes, dual_accuracy_ctes, vector_rows, weights_ctes
 from ridgeworks.functions.vectors import argmax_position
 from ridgeworks.operators import score, solve
 from ridgeworks.operators.indexing import shard_of
@@ -167,7 +167,7 @@ def images_28(spark, folder):
 
 
 def ridge_sweep_images(spark, folder):
-    """784 features per row; too wide for elimination in SQL."""
+    """784 features per row."""
     return _rounded(sweep.ridge_sweep(images_28(spark, folder)))
 
 
@@ -224,6 +224,10 @@ ORDER_ROWS = """
     FROM (SELECT *, [o_totalprice / 100000, month(o_orderdate) / 6.0::DOUBLE, day(o_orderdate) / 15.0::DOUBLE,
                      o_totalprice / 100000 * month(o_orderdate) / 6] AS f FROM orders),
          (SELECT count(*) AS n FROM orders)"""
+IMAGE_ROWS = f"""
+    SELECT 0 AS fold, {POSITIONAL} AS part, vec_id AS row_id, label, r * 28 + c AS pos,
+           CAST(embedding[r + 1] AS DOUBLE) * CAST(embedding[c + 1] AS DOUBLE) AS x
+    FROM embeddings, (SELECT count(*) AS n FROM embeddings), range(0, 28) a(r), range(0, 28) b(c)"""
 ACCURACY = "SELECT lambda_id, round(accuracy, 6) AS accuracy FROM acc"
 WEIGHTS = "SELECT lambda_id, k AS label, CAST(pos AS INTEGER) AS pos, round(w, 6) + 0.0 AS w FROM w"
 CLASS_SUMS = f"""
@@ -292,5 +296,6 @@ ORACLES = {
         SELECT lambda_id, round(avg(accuracy), 6) AS accuracy FROM acc GROUP BY lambda_id""",
     "size_sweep": f"""{weights_ctes(SIZES)}, {accuracy_ctes()}
         SELECT fold AS n, lambda_id, round(accuracy, 6) AS accuracy FROM acc""",
+    "ridge_sweep_images": f"{dual_accuracy_ctes(IMAGE_ROWS)} {ACCURACY}",
     "ridge_sweep_orders": f"{weights_ctes(ORDER_ROWS)}, {accuracy_ctes()} {ACCURACY}",
 }

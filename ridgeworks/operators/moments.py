@@ -28,6 +28,7 @@ ARROW_SCHEMA = pa.schema(
 )
 # bytes of partial Gram matrices one task may hold before it ships them
 TASK_BUDGET = 512 * 1024 * 1024
+BATCH_BYTES = 16 * 1024 * 1024
 
 
 class Partial:
@@ -55,19 +56,20 @@ class Partial:
         if self.class_sum:
             labels = sorted(self.class_sum)
             vals = [self.class_sum[label] for label in labels]
-            yield _batch(segment, "class", labels, [self.class_n[k] for k in labels], vals)
+            yield batch_of(segment, "class", labels, [self.class_n[k] for k in labels], vals)
         if self.gram is not None:
             first = self.columns[0]
             keys = list(range(*self.columns))
             upper = [self.gram[i - first, i - first :] for i in keys]
-            yield _batch(segment, "gram", keys, [0] * len(keys), upper)
+            yield batch_of(segment, "gram", keys, [0] * len(keys), upper)
 
 
-def _batch(segment, kind, keys, counts, vals) -> pa.RecordBatch:
+def batch_of(segment, kind, keys, counts, vals) -> pa.RecordBatch:
+    """Rows of the moments table; segment and kind may be one value for all rows."""
     offsets = np.concatenate(([0], np.cumsum([len(v) for v in vals]))).astype(np.int32)
     arrays = [
-        pa.array([segment] * len(keys), pa.int32()),
-        pa.array([kind] * len(keys), pa.string()),
+        pa.array(segment if isinstance(segment, list) else [segment] * len(keys), pa.int32()),
+        pa.array(kind if isinstance(kind, list) else [kind] * len(keys), pa.string()),
         pa.array(keys, pa.int32()),
         pa.array(counts, pa.int64()),
         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(vals))),
@@ -107,7 +109,7 @@ def _partials(columns: tuple[int, int] | None, gram_segments: set[int] | None, w
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def merge_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up partials; all rows of a (segment, kind, key) are in this partition."""
     held: dict[tuple, list] = {}
     for batch in batches:
@@ -131,8 +133,12 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 total[0] += n
                 total[1] += part
-    for (segment, kind, key), (n, total) in held.items():
-        yield _batch(segment, kind, [key], [n], [total])
+    entries = list(held.items())
+    step = max(1, BATCH_BYTES // (8 * max((len(e[1][1]) for e in entries), default=1)))
+    for at in range(0, len(entries), step):
+        some = entries[at : at + step]
+        segments, kinds, keys = (list(part) for part in zip(*[e[0] for e in some], strict=True))
+        yield batch_of(segments, kinds, keys, [e[1][0] for e in some], [e[1][1] for e in some])
 
 
 def feature_width(df: DataFrame, features: str = "features") -> int:
@@ -180,7 +186,7 @@ def class_moments(
     partials = parts[0]
     for part in parts[1:]:
         partials = partials.unionAll(part)
-    return partials.repartition("segment", "kind", "key").mapInArrow(_merge, SCHEMA)
+    return partials.repartition("segment", "kind", "key").mapInArrow(merge_partials, SCHEMA)
 
 
 def gram_matrix(df: DataFrame, features: str = "features") -> DataFrame:

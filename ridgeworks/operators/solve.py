@@ -87,6 +87,7 @@ def _solve_direct(m: FoldMoments, penalties: list[float]) -> Iterator[np.ndarray
 
 def _solve_eigh(m: FoldMoments, penalties: list[float]) -> Iterator[np.ndarray]:
     values, vectors = np.linalg.eigh(m.gram)
+    values = np.maximum(values, 0.0)  # a Gram matrix has no negative ones but for rounding
     turned = vectors.T @ m.targets
     for penalty in penalties:
         yield vectors @ (turned / (values + penalty)[:, None])

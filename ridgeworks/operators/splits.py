@@ -100,12 +100,12 @@ def split_rows(df: DataFrame, split: Split) -> tuple[DataFrame, DataFrame]:
 
 
 def rows_in(df: DataFrame, index: DataFrame, key: str = "row_id") -> DataFrame:
-    """Rows whose key is in the index set."""
-    return df.join(index.select(key), key, "left_semi")
+    """Rows whose key is in the index set; repeated index keys collapse before they move."""
+    return df.join(index.select(key).distinct(), key, "left_semi")
 
 
 def rows_not_in(df: DataFrame, index: DataFrame, key: str = "row_id") -> DataFrame:
-    return df.join(index.select(key), key, "left_anti")
+    return df.join(index.select(key).distinct(), key, "left_anti")
 
 
 def align(features: DataFrame, labels: DataFrame, key: str = "row_id") -> DataFrame:

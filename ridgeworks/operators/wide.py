@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.operators.moments import SCHEMA as MOMENTS
-from ridgeworks.operators.moments import _batch, _merge
+from ridgeworks.operators.moments import batch_of, merge_partials
 from ridgeworks.operators.solve import ARROW_SCHEMA, Fold
 
 CHUNK = 256
@@ -37,7 +37,7 @@ def _product_rows(shared, d: int):
                 total[i + 1 :] += np.outer(upper[1:], p[i])
         chunks = list(range(0, d, CHUNK))
         vals = [total[c : c + CHUNK].reshape(-1) for c in chunks]
-        yield _batch(0, "product", [c // CHUNK for c in chunks], [0] * len(chunks), vals)
+        yield batch_of(0, "product", [c // CHUNK for c in chunks], [0] * len(chunks), vals)
 
     return run
 
@@ -45,7 +45,7 @@ def _product_rows(shared, d: int):
 def _gram_times(gram: DataFrame, p: np.ndarray) -> np.ndarray:
     shared = gram.sparkSession.sparkContext.broadcast(p)
     parts = gram.mapInArrow(_product_rows(shared, len(p)), MOMENTS)
-    table = parts.repartition("segment", "kind", "key").mapInArrow(_merge, MOMENTS).toArrow()
+    table = parts.repartition("segment", "kind", "key").mapInArrow(merge_partials, MOMENTS).toArrow()
     result = np.zeros_like(p)
     for key, vals in zip(table.column("key").to_pylist(), table.column("vals"), strict=True):
         block = vals.values.to_numpy().reshape(-1, p.shape[1])

@@ -60,12 +60,13 @@ class RidgeFit:
     ):
         self.df, self.folds, self.segment, self.columns = df, folds, segment, columns
         self.lambdas = log_spaced() if lambdas is None else [float(v) for v in lambdas]
-        self.classes = sorted(classes) if classes is not None else distinct_labels(df, columns.label)
         self.width = feature_width(df, columns.features)
         self.center, self.reg_scale = center, reg_scale
         self.validation = validation
         if solver == "auto":
-            solver = "direct" if self.width <= DENSE_LIMIT else "wide"
+            # one fold spreads its lambdas over tasks, several folds are parallel already
+            solver = "direct" if len(folds) == 1 else "eigh"
+            solver = solver if self.width <= DENSE_LIMIT else "wide"
         self.solver = solver
         training = {s for f in folds for s in f.train}
         self.moments = checkpoint(
@@ -78,6 +79,10 @@ class RidgeFit:
                 width=self.width,
             )
         )
+        if classes is None:
+            seen = self.moments.where("kind = 'class'").select(F.col("key").alias(columns.label))
+            classes = distinct_labels(seen, columns.label)
+        self.classes = sorted(classes)
 
     def weights(self) -> DataFrame:
         """(fold, lambda_id, lambda, label, weights, centre)."""

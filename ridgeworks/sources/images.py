@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.functions.pixels import resample, to_list_array
+from ridgeworks.functions.pixels import resample
 from ridgeworks.operators.indexing import seeded_order
 
 
@@ -38,22 +38,22 @@ def image_vectors(images: DataFrame, shape: tuple[int, int] | None = None, layer
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column("label").to_pylist()
-            origins = batch.column("origin").to_pylist()
             sizes = zip(*[batch.column(c).to_pylist() for c in ("height", "width", "nChannels")], strict=True)
+            vectors = []
             for row, (h, w, channels) in enumerate(sizes):
                 raw = np.frombuffer(batch.column("data")[row].as_buffer(), np.uint8)
                 place = 0 if channels == 1 else 2 - layer
                 pixels = _threshold(raw.reshape(h, w, channels)[:, :, place] / 255.0)
                 if shape is not None:
                     pixels = _threshold(resample(pixels[None], *shape)[0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([origins[row]]),
-                        pa.array([labels[row]], pa.int32()),
-                        to_list_array(pixels.reshape(1, -1)),
-                    ],
-                    names=["origin", "label", "features"],
-                )
+                vectors.append(pixels.reshape(-1))
+            offsets = np.concatenate(([0], np.cumsum([len(v) for v in vectors]))).astype(np.int32)
+            values = np.concatenate(vectors) if vectors else np.zeros(0)
+            features = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("origin"), pa.array(labels, pa.int32()), features],
+                names=["origin", "label", "features"],
+            )
 
     return images.mapInArrow(run, "origin string, label int, features array<double>")
 
