@@ -18,8 +18,9 @@ from ridgeworks.functions.vectors import (
     sign_decision,
 )
 from ridgeworks.operators import matrix
-from ridgeworks.operators.moments import centre, class_sums, gram_matrix, mean_vector
+from ridgeworks.operators.moments import centre, class_sums, feature_width, gram_matrix, mean_vector
 from ridgeworks.operators.solve import lambda_class_grid, ridge_diagonal
+from ridgeworks.operators.splits import row_count
 from ridgeworks.plans.sweep import distinct_labels
 
 
@@ -143,8 +144,10 @@ def ridged(spark, folder):
 
 
 def matmul_blocks(spark, folder):
-    x = matrix.cells(whole_vectors(spark, folder), "vec_id", "embedding")
-    product = matrix.matmul_blocks(matrix.transpose(x), x)
+    rows = whole_vectors(spark, folder)
+    shape = row_count(rows), feature_width(rows, "embedding")
+    x = matrix.row_tiles(rows, "vec_id", "embedding", shape, 128)
+    product = matrix.matmul_tiles(matrix.transpose_tiles(x), x)
     return product.withColumn("v", F.col("v").cast("bigint"))
 
 

@@ -8,7 +8,7 @@ from catalog.common import LAMBDA_VALUES, VECTORS, WHOLE_SQL, table, vectors, wh
 from catalog.ridge_sql import accuracy_ctes, dual_accuracy_ctes, vector_rows, weights_ctes
 from ridgeworks.functions.vectors import argmax_position
 from ridgeworks.operators import score, solve
-from ridgeworks.operators.indexing import shard_of
+from ridgeworks.operators.indexing import shard_bounds, shard_of
 from ridgeworks.operators.matrix import union_results
 from ridgeworks.operators.moments import class_sums
 from ridgeworks.operators.splits import positional_split, row_count, split_rows
@@ -81,9 +81,12 @@ def mean_shard_accuracy(spark, folder):
 
 
 def gathered(spark, folder):
-    """Each shard's result built apart, then put together."""
-    rows = _sharded_guesses(spark, folder)
-    parts = [score.evaluate(rows.where(F.col("shard") == s), "shard") for s in range(SHARDS)]
+    """Each shard's result built apart from its own range of rows, then put together."""
+    rows = _guesses(spark, folder)
+    row, parts = F.col("vec_id"), []
+    for shard, (start, end) in enumerate(shard_bounds(row_count(rows), SHARDS)):
+        own = rows.where((row >= start) & (row < end)).withColumn("shard", F.lit(shard))
+        parts.append(score.evaluate(own, "shard"))
     return union_results(*parts).select("shard", "hits", "rows")
 
 

@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_BUCKET = 250_000
+
+
 def _number_within_buckets(df: DataFrame, bucket: str, order: list[Column], name: str) -> DataFrame:
     """Global 0-based position: rows before the bucket plus the position inside it.
 
@@ -25,11 +28,15 @@ def _number_within_buckets(df: DataFrame, bucket: str, order: list[Column], name
     )
 
 
-def row_index(df: DataFrame, key: str, name: str = "row_id", buckets: int = 1024) -> DataFrame:
+def row_index(df: DataFrame, key: str, name: str = "row_id", buckets: int | None = None) -> DataFrame:
     """Dense 0-based index in the order of a unique numeric key.
 
     Bucket borders are quantiles of the key, so buckets are near equal whatever its distribution.
+    Their number grows with the table, up to 16 384.
     """
+    if buckets is None:
+        n = df.agg(F.count("*")).first()[0]
+        buckets = min(16384, max(16, n // ROWS_PER_BUCKET))
     shares = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(key, shares, 1.0 / (4 * buckets))))
     splits = [float("-inf"), *cuts, float("inf")]
@@ -54,20 +61,20 @@ def seeded_order(df: DataFrame, key: str, seed: int = 0, name: str = "position")
     return _number_within_buckets(hashed, "_bucket", order, name).drop("_hash")
 
 
-def shard_of(row_id: Column, n: int | Column, shards: int) -> Column:
+def shard_of(row_id: Column, n: int, shards: int) -> Column:
     """Shard of a dense row number when n rows are cut into contiguous near-equal shards.
 
     The first n mod p shards hold one row more than the rest.
     """
-    n = F.lit(n) if isinstance(n, int) else n
-    small = F.floor(n / F.lit(shards))
-    extra = F.pmod(n, F.lit(shards))
+    small, extra = divmod(n, shards)
     head = extra * (small + 1)
-    return (
-        F.when(row_id < head, F.floor(row_id / (small + 1)))
-        .otherwise(extra + F.floor((row_id - head) / F.greatest(small, F.lit(1))))
-        .cast("int")
-    )
+    late = extra + whole_part(row_id - head, max(small, 1))
+    return F.when(row_id < head, whole_part(row_id, small + 1)).otherwise(late).cast("int")
+
+
+def whole_part(value: Column, divisor: int) -> Column:
+    """Integer division, exact for any long."""
+    return F.call_function("div", value, F.lit(divisor).cast("long"))
 
 
 def shard_bounds(n: int, shards: int) -> list[tuple[int, int]]:

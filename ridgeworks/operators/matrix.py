@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeworks.functions.pixels import to_matrix
+from ridgeworks.operators.indexing import whole_part
+
 TILE = "bi int, bj int, h int, w int, tile binary"
 TILE_SCHEMA = pa.schema(
     [("bi", pa.int32()), ("bj", pa.int32()), ("h", pa.int32()), ("w", pa.int32()), ("tile", pa.binary())]
@@ -47,10 +50,39 @@ def tiles(matrix: DataFrame, shape: tuple[int, int], size: int) -> DataFrame:
             np.add.at(tile, (i, j), batch.column("v").to_numpy())
         yield _tile_batch([(bi, bj, tile)])
 
-    block = [F.floor(F.col(c) / size).cast("int").alias(b) for c, b in (("i", "bi"), ("j", "bj"))]
+    block = [whole_part(F.col(c), size).cast("int").alias(b) for c, b in (("i", "bi"), ("j", "bj"))]
     return matrix.select("*", *block).groupBy("bi", "bj").applyInArrow(pack, TILE)
 
 
+def row_tiles(df: DataFrame, row: str, features: str, shape: tuple[int, int], size: int) -> DataFrame:
+    """Tiles of a table of row vectors with dense row numbers: vectors move, not single cells."""
+    rows, columns = shape
+
+    def pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bi = key[0].as_py()
+        panel = np.zeros((min(size, rows - bi * size), columns))
+        for batch in batches:
+            if batch.num_rows:
+                panel[batch.column("i").to_numpy() - bi * size] = to_matrix(batch.column("features"))
+        tiled = [(bi, bj, panel[:, bj * size : (bj + 1) * size]) for bj in range(-(-columns // size))]
+        yield _tile_batch(tiled)
+
+    vectors = df.select(F.col(row).cast("long").alias("i"), F.col(features).alias("features"))
+    return vectors.withColumn("bi", whole_part(F.col("i"), size).cast("int")).groupBy("bi").applyInArrow(pack, TILE)
+
+
+def transpose_tiles(tiled: DataFrame) -> DataFrame:
+    """Tiles of the transposed matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bi, bj = batch.column("bi")[row].as_py(), batch.column("bj")[row].as_py()
+                yield _tile_batch([(bj, bi, np.ascontiguousarray(_tile(batch, row, "").T))])
+
+    return tiled.mapInArrow(run, TILE)
+
+
 def _tile_batch(entries: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
@@ -131,8 +163,13 @@ def matmul_blocks(
     a_shape, b_shape = a_shape or shape_of(a), b_shape or shape_of(b)
     if a_shape[1] != b_shape[0]:
         raise ValueError(f"inner sizes differ: {a_shape} and {b_shape}")
-    left = tiles(a, a_shape, size).toDF("bi", "_inner", "h_a", "w_a", "tile_a")
-    right = tiles(b, b_shape, size).toDF("_inner", "bj", "h_b", "w_b", "tile_b")
+    return matmul_tiles(tiles(a, a_shape, size), tiles(b, b_shape, size), size)
+
+
+def matmul_tiles(a: DataFrame, b: DataFrame, size: int = 128) -> DataFrame:
+    """Product of two tiled matrices, as cells (i, j, v)."""
+    left = a.toDF("bi", "_inner", "h_a", "w_a", "tile_a")
+    right = b.toDF("_inner", "bj", "h_b", "w_b", "tile_b")
     products = left.join(right, "_inner").mapInArrow(_multiply, TILE)
     whole = products.repartition("bi", "bj").mapInArrow(_add, TILE)
     return whole.mapInArrow(_unpack(size), "i long, j long, v double")

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import to_matrix
@@ -77,13 +77,20 @@ def batch_of(segment, kind, keys, counts, vals) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW_SCHEMA)
 
 
-def _partials(columns: tuple[int, int] | None, gram_segments: set[int] | None, with_sums: bool):
+def _partials(
+    columns: tuple[int, int] | None,
+    gram_segments: set[int] | None,
+    with_sums: bool,
+    shift: np.ndarray | None,
+):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Partial] = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             x = to_matrix(batch.column("features"))
+            if shift is not None:
+                x = x - shift
             y = batch.column("label").to_numpy(zero_copy_only=False)
             place = batch.column("segment").to_numpy(zero_copy_only=False)
             for segment in np.unique(place):
@@ -156,12 +163,13 @@ def class_moments(
     gram: bool = True,
     gram_segments: Iterable[int] | None = None,
     width: int | None = None,
+    shift: np.ndarray | None = None,
 ) -> DataFrame:
     """Sums per segment: (segment, kind, key, n, vals).
 
     ``kind`` "class": key is the label, n its rows, vals the sum of their vectors.
     ``kind`` "gram": key is i, vals the elements i, i+1, ... of row i of the sum of x x^T.
-    Rows with a null segment are skipped. A Gram matrix beyond the task budget is computed in
+    Rows with a null segment are skipped; ``shift`` is subtracted from every vector. A Gram matrix beyond the task budget is computed in
     column panels, one scan each: reading again is cheap beside the d^2 work per row.
     """
     rows = df.select(
@@ -180,7 +188,7 @@ def class_moments(
     else:
         panels = [None]
     parts = [
-        rows.mapInArrow(_partials(panel, wanted, with_sums=place == 0), SCHEMA)
+        rows.mapInArrow(_partials(panel, wanted, place == 0, shift), SCHEMA)
         for place, panel in enumerate(panels)
     ]
     partials = parts[0]
@@ -211,8 +219,8 @@ def class_sums(df: DataFrame, features: str = "features", label: str = "label")
     """
     sums = class_moments(df, features, label, gram=False)
     cells = sums.select(F.col("key").alias("label"), F.posexplode("vals").alias("pos", "_sum"))
-    totals = cells.groupBy("pos").agg(F.sum("_sum").alias("_total"))
-    return cells.join(totals, "pos").select("label", "pos", (2 * F.col("_sum") - F.col("_total")).alias("v"))
+    total = F.sum("_sum").over(Window.partitionBy("pos"))  # one row per class
+    return cells.select("label", "pos", (2 * F.col("_sum") - total).alias("v"))
 
 
 def centre(df: DataFrame, features: str = "features", name: str = "centred") -> DataFrame:

@@ -26,8 +26,8 @@ ARROW_SCHEMA = pa.schema(
         ("centre", pa.list_(pa.float64())),
     ]
 )
-# widest vector whose d x d system is solved inside one task (0.5 GB)
-DENSE_LIMIT = 8192
+# widest vector whose d x d system is solved inside one task (0.13 GB a matrix)
+DENSE_LIMIT = 4096
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,7 @@ class FoldMoments:
         mean = {"all": all_sum / self.n_all, "train": total / n, "none": np.zeros(d)}[center]
         self.mean = mean
         self.gram += np.triu(self.gram, 1).T
-        self.gram += n * np.outer(mean, mean) - np.outer(total, mean) - np.outer(mean, total)
+        self.gram += np.column_stack((n * mean - total, -mean)) @ np.vstack((mean, total))
         own = np.array([train_sum.get(k, np.zeros(d)) for k in classes])
         count = np.array([train_n.get(k, 0) for k in classes])
         self.targets = ((2 * own - total) - np.outer(2 * count - n, mean)).T  # d x classes
@@ -101,12 +101,14 @@ def solve_ridge(
     center: str = "all",
     reg_scale: str = "none",
     solver: str = "direct",
+    shift: np.ndarray | None = None,
 ) -> DataFrame:
     """Weights (fold, lambda_id, lambda, label, weights, centre).
 
     ``solver="direct"`` solves each lambda in a task of its own; ``"eigh"`` decomposes a fold's
     Gram matrix once and reuses it for all its lambdas. ``reg_scale="n"`` multiplies lambda by the
-    number of rows of the fold. A score is ``weights . (x - centre)``.
+    number of rows of the fold. A score is ``weights . (x - centre)``. ``shift`` is what was
+    subtracted from the vectors before their moments were taken.
     """
     if center not in ("all", "train", "none") or reg_scale not in ("none", "n"):
         raise ValueError(f"unknown center={center!r} or reg_scale={reg_scale!r}")
@@ -130,6 +132,7 @@ def solve_ridge(
         factor = m.n_all if reg_scale == "n" else 1.0
         solved = solve(m, [lambdas[i] * factor for i in ids])
         k = len(classes)
+        centre = m.mean if shift is None else m.mean + shift
         for i, weights in zip(ids, solved, strict=True):
             yield pa.RecordBatch.from_arrays(
                 [
@@ -138,7 +141,7 @@ def solve_ridge(
                     pa.array([lambdas[i]] * k, pa.float64()),
                     pa.array(classes, pa.int32()),
                     to_list_array(weights.T),
-                    to_list_array(np.broadcast_to(m.mean, (k, len(m.mean)))),
+                    to_list_array(np.broadcast_to(centre, (k, len(centre)))),
                 ],
                 schema=ARROW_SCHEMA,
             )

@@ -73,6 +73,7 @@ def _weights_of_fold(
     reg_scale: str,
     tolerance: float,
     max_iterations: int | None,
+    shift: np.ndarray | None,
 ) -> pa.Table:
     own, count = _vector_sums(moments, list(fold.train))
     everything, every_n = _vector_sums(moments, [*fold.train, *fold.others])
@@ -131,7 +132,7 @@ def _weights_of_fold(
             pa.array(np.repeat(lambdas, k).astype(np.float64)),
             pa.array(classes * len(lambdas), pa.int32()),
             to_list_array(x.T),
-            to_list_array(np.broadcast_to(mean, (len(penalty), d))),
+            to_list_array(np.broadcast_to(mean if shift is None else mean + shift, (len(penalty), d))),
         ],
         schema=ARROW_SCHEMA,
     )
@@ -146,11 +147,12 @@ def solve_wide(
     reg_scale: str = "none",
     tolerance: float = 1e-10,
     max_iterations: int | None = None,
+    shift: np.ndarray | None = None,
 ) -> DataFrame:
     """Same result as ``solve_ridge`` for moments kept in a checkpoint; raises if not converged."""
     tables = [
         _weights_of_fold(
-            moments, fold, lambdas, classes, center, reg_scale, tolerance, max_iterations
+            moments, fold, lambdas, classes, center, reg_scale, tolerance, max_iterations, shift
         )
         for fold in folds
     ]

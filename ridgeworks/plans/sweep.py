@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import to_matrix
 from ridgeworks.functions.vectors import lambda_array, log_spaced
 from ridgeworks.operators.indexing import shard_bounds, shard_of
-from ridgeworks.operators.moments import class_moments, feature_width
+from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width, mean_vector
 from ridgeworks.operators.score import Scorer
 from ridgeworks.operators.solve import DENSE_LIMIT, Fold, average_weights, solve_ridge
 from ridgeworks.operators.splits import Split, hash_split, positional_split, row_count
@@ -57,7 +58,15 @@ class RidgeFit:
         solver: str = "auto",
         columns: Columns = Columns(),
         validation: Column | None = None,
+        stable: bool = False,
+        clustered: bool = False,
     ):
+        """``validation`` narrows the rows that are scored, so that the scan can skip the others.
+
+        ``stable`` takes a pass for the mean first and subtracts it before squares are added up:
+        for vectors whose mean is large beside their spread. ``clustered`` says that the files
+        hold the rows in row_id order already.
+        """
         self.df, self.folds, self.segment, self.columns = df, folds, segment, columns
         self.lambdas = log_spaced() if lambdas is None else [float(v) for v in lambdas]
         self.width = feature_width(df, columns.features)
@@ -68,15 +77,24 @@ class RidgeFit:
             solver = "direct" if len(folds) == 1 else "eigh"
             solver = solver if self.width <= DENSE_LIMIT else "wide"
         self.solver = solver
+        self.shift = None
+        if stable and center != "none":
+            rows = mean_vector(df, columns.features).orderBy("pos").collect()
+            self.shift = np.array([r["mean"] for r in rows])
         training = {s for f in folds for s in f.train}
+        rows = df
+        if len(training) > 1 and len(training) * self.width**2 * 8 > TASK_BUDGET and not clustered:
+            # more Gram matrices than a task can hold: give each task neighbouring rows
+            rows = df.repartitionByRange(4 * len(training), columns.row_id)
         self.moments = checkpoint(
             class_moments(
-                df,
+                rows,
                 columns.features,
                 columns.label,
                 segment,
                 gram_segments=training,
                 width=self.width,
+                shift=self.shift,
             )
         )
         if classes is None:
@@ -89,7 +107,14 @@ class RidgeFit:
         solve = solve_wide if self.solver == "wide" else solve_ridge
         more = {} if self.solver == "wide" else {"solver": self.solver}
         return solve(
-            self.moments, self.folds, self.lambdas, self.classes, self.center, self.reg_scale, **more
+            self.moments,
+            self.folds,
+            self.lambdas,
+            self.classes,
+            self.center,
+            self.reg_scale,
+            shift=self.shift,
+            **more,
         )
 
     def scorer(self, average: bool = False) -> Scorer:
@@ -146,7 +171,7 @@ def ridge_sweep(df: DataFrame, **options) -> DataFrame:
     """Validation accuracy of every lambda: (lambda_id, lambda, accuracy).
 
     Options: lambdas, split ("positional" or "hash"), train_frac, drop_last, seed, center ("all",
-    "train", "none"), reg_scale ("none" or "n"), classes, solver, columns.
+    "train", "none"), reg_scale ("none" or "n"), classes, solver, stable, columns.
     """
     return fit_single(df, **options).accuracies().select("lambda_id", "lambda", "accuracy")
 

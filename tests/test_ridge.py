@@ -177,14 +177,28 @@ def test_solvers_agree_on_weights(spark):
         assert np.allclose(found[2][key], expected, atol=1e-8)
 
 
+@pytest.mark.parametrize("solver", ["direct", "eigh", "wide"])
+def test_large_mean(spark, solver):
+    x, y = separable()
+    far = x + 1e7
+    z = far[:96] - far.mean(axis=0)
+    expected = brute.fit(z, y[:96], [0, 1, 2], 1.0)
+    fit = sweep.fit_single(frame(spark, far, y), lambdas=[1.0], stable=True, solver=solver)
+    found = weight_rows(fit.weights())
+    assert np.allclose(np.array([found[0, k] for k in range(3)]).T, expected, atol=1e-7)
+    assert fit.accuracies().first()["accuracy"] == pytest.approx(brute.sweep(far, y, [1.0])[0])
+
+
 def test_column_panels_and_early_flush(spark, monkeypatch):
     x, y = separable(60, d=7)
     whole = np.round(100 * x)
     expected = moments.gram_matrix(frame(spark, whole, y)).orderBy("i", "j").collect()
-    monkeypatch.setattr(moments, "TASK_BUDGET", 8 * 7 * 2)
+    for module in (moments, sweep):
+        monkeypatch.setattr(module, "TASK_BUDGET", 8 * 7 * 2)
     assert moments.gram_matrix(frame(spark, whole, y)).orderBy("i", "j").collect() == expected
-    ours = accuracies(sweep.ridge_sweep_sharded(frame(spark, x, y), 4, lambdas=LAMBDAS))
-    assert ours == pytest.approx(brute.sharded_sweep(x, y, 4, LAMBDAS))
+    for clustered in (False, True):
+        ours = sweep.ridge_sweep_sharded(frame(spark, x, y), 4, lambdas=LAMBDAS, clustered=clustered)
+        assert accuracies(ours) == pytest.approx(brute.sharded_sweep(x, y, 4, LAMBDAS))
 
 
 @pytest.mark.parametrize("budget", [10**9, 16 * 6 * 3, 16 * 6 * 2, 1])
