@@ -58,10 +58,12 @@ class Partial:
             vals = [self.class_sum[label] for label in labels]
             yield batch_of(segment, "class", labels, [self.class_n[k] for k in labels], vals)
         if self.gram is not None:
-            first = self.columns[0]
-            keys = list(range(*self.columns))
-            upper = [self.gram[i - first, i - first :] for i in keys]
-            yield batch_of(segment, "gram", keys, [0] * len(keys), upper)
+            first, last = self.columns
+            step = max(1, BATCH_BYTES // (8 * self.gram.shape[1]))
+            for start in range(first, last, step):
+                keys = list(range(start, min(start + step, last)))
+                upper = [self.gram[i - first, i - first :] for i in keys]
+                yield batch_of(segment, "gram", keys, [0] * len(keys), upper)
 
 
 def batch_of(segment, kind, keys, counts, vals) -> pa.RecordBatch:
@@ -164,12 +166,14 @@ def class_moments(
     gram_segments: Iterable[int] | None = None,
     width: int | None = None,
     shift: np.ndarray | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Sums per segment: (segment, kind, key, n, vals).
 
     ``kind`` "class": key is the label, n its rows, vals the sum of their vectors.
     ``kind`` "gram": key is i, vals the elements i, i+1, ... of row i of the sum of x x^T.
-    Rows with a null segment are skipped; ``shift`` is subtracted from every vector. A Gram matrix beyond the task budget is computed in
+    Rows with a null segment are skipped; ``shift`` is subtracted from every vector;
+    ``partitions`` fixes the number of merging tasks. A Gram matrix beyond the task budget is computed in
     column panels, one scan each: reading again is cheap beside the d^2 work per row.
     """
     rows = df.select(
@@ -194,7 +198,9 @@ def class_moments(
     partials = parts[0]
     for part in parts[1:]:
         partials = partials.unionAll(part)
-    return partials.repartition("segment", "kind", "key").mapInArrow(merge_partials, SCHEMA)
+    keys = ["segment", "kind", "key"]
+    merged = partials.repartition(partitions, *keys) if partitions else partials.repartition(*keys)
+    return merged.mapInArrow(merge_partials, SCHEMA)
 
 
 def gram_matrix(df: DataFrame, features: str = "features") -> DataFrame:

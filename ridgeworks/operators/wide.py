@@ -22,6 +22,14 @@ from ridgeworks.operators.solve import ARROW_SCHEMA, Fold
 CHUNK = 256
 
 
+def _both_triangles(block: np.ndarray, keys: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """What the given upper rows of a symmetric matrix add to its product with p."""
+    product = np.zeros_like(p)
+    np.add.at(product, keys, block @ p)
+    block[np.arange(len(keys)), keys] = 0.0
+    return product + block.T @ p[keys]
+
+
 def _product_rows(shared, d: int):
     """Partial G P of one task from its upper-triangle rows, in chunks of rows."""
 
@@ -31,10 +39,13 @@ def _product_rows(shared, d: int):
         for batch in batches:
             vals = batch.column("vals")
             offsets, flat = vals.offsets.to_numpy(), vals.values.to_numpy()
-            for row, i in enumerate(batch.column("key").to_pylist()):
-                upper = flat[offsets[row] : offsets[row + 1]]
-                total[i] += upper @ p[i:]
-                total[i + 1 :] += np.outer(upper[1:], p[i])
+            keys = batch.column("key").to_numpy()
+            for first in range(0, len(keys), CHUNK):
+                some = keys[first : first + CHUNK]
+                block = np.zeros((len(some), d))
+                for row, i in enumerate(some):
+                    block[row, i:] = flat[offsets[first + row] : offsets[first + row + 1]]
+                total += _both_triangles(block, some, p)
         chunks = list(range(0, d, CHUNK))
         vals = [total[c : c + CHUNK].reshape(-1) for c in chunks]
         yield batch_of(0, "product", [c // CHUNK for c in chunks], [0] * len(chunks), vals)
@@ -100,27 +111,29 @@ def _weights_of_fold(
     precondition = np.maximum(diagonal, 0.0)[:, None] + penalty
     precondition = np.where(precondition > 0, precondition, 1.0)
 
-    def apply(p: np.ndarray) -> np.ndarray:
+    def apply(p: np.ndarray, penalties: np.ndarray) -> np.ndarray:
         inner_mean, inner_total = mean @ p, total @ p
         centred = _gram_times(gram, p) + np.outer(mean, n * inner_mean - inner_total)
-        return centred - np.outer(total, inner_mean) + p * penalty
+        return centred - np.outer(total, inner_mean) + p * penalties
+
+    def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->j", a, b)
 
     x, r = np.zeros_like(b), b.copy()
-    z = r / precondition
-    p, rho = z.copy(), np.einsum("ij,ij->j", r, z)
+    p = r / precondition
+    rho = inner(r, p)
     for _ in range(max_iterations or max(1000, 2 * d)):
-        open_columns = np.linalg.norm(r, axis=0) > tolerance * scale
-        if not open_columns.any():
+        left = np.flatnonzero(np.linalg.norm(r, axis=0) > tolerance * scale)
+        if len(left) == 0:
             break
-        q = apply(p)
-        slope = np.einsum("ij,ij->j", p, q)
-        step = np.where(open_columns & (slope > 0), rho / np.where(slope > 0, slope, 1.0), 0.0)
-        x += p * step
-        r -= q * step
-        z = r / precondition
-        fresh = np.einsum("ij,ij->j", r, z)
-        p = z + p * np.where(rho > 0, fresh / np.where(rho > 0, rho, 1.0), 0.0)
-        rho = fresh
+        q = apply(p[:, left], penalty[left])
+        step = rho[left] / inner(p[:, left], q)
+        x[:, left] += p[:, left] * step
+        r[:, left] -= q * step
+        z = r[:, left] / precondition[:, left]
+        fresh = inner(r[:, left], z)
+        p[:, left] = z + p[:, left] * (fresh / rho[left])
+        rho[left] = fresh
     else:
         raise RuntimeError("conjugate gradients did not converge; raise max_iterations or lambda")
 

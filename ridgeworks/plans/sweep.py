@@ -95,6 +95,8 @@ class RidgeFit:
                 gram_segments=training,
                 width=self.width,
                 shift=self.shift,
+                # later steps multiply with the stored rows again and again, 32 MB a task
+                partitions=max(8, self.width**2 // 2**23) if solver == "wide" else None,
             )
         )
         if classes is None:
