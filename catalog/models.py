@@ -150,6 +150,12 @@ def size_sweep(spark, folder):
     return _rounded(sweep.size_sweep(rows, sizes, columns=VECTORS), "n")
 
 
+def best_by_size(spark, folder):
+    rows = vectors(spark, folder)
+    n = row_count(rows)
+    return _rounded(score.best_lambda(sweep.size_sweep(rows, [n // 2, n], columns=VECTORS), "n"), "n")
+
+
 def ridge_sweep_orders(spark, folder):
     """Every order: four numbers against the priority class."""
     price, day = F.col("o_totalprice") / 100000, F.col("o_orderdate")
@@ -192,6 +198,7 @@ QUERIES = {
     "best_lambda": best_lambda,
     "ridge_sweep_sharded": ridge_sweep_sharded,
     "size_sweep": size_sweep,
+    "best_by_size": best_by_size,
     "ridge_sweep_orders": ridge_sweep_orders,
     "ridge_sweep_images": ridge_sweep_images,
 }
@@ -213,13 +220,17 @@ SHARDED = vector_rows(
                 count(*) OVER (PARTITION BY shard) AS size
          FROM (SELECT *, ntile({SHARDS}) OVER (ORDER BY vec_id) - 1 AS shard FROM embeddings))""",
 )
-SIZES = vector_rows(
-    "size",
-    "CASE WHEN vec_id < 4 * size // 5 THEN 'train' ELSE 'validation' END",
-    """(SELECT e.*, size FROM embeddings e JOIN
-         (SELECT unnest([count(*) // 5, 3 * count(*) // 5, count(*)]) AS size FROM embeddings)
-         ON vec_id < size)""",
-)
+
+
+def _sizes(sizes: str) -> str:
+    return vector_rows(
+        "size",
+        "CASE WHEN vec_id < 4 * size // 5 THEN 'train' ELSE 'validation' END",
+        f"""(SELECT e.*, size FROM embeddings e JOIN
+             (SELECT unnest([{sizes}]) AS size FROM embeddings) ON vec_id < size)""",
+    )
+
+
 ORDER_ROWS = """
     SELECT 0 AS fold, CASE WHEN o_orderkey < 4 * n // 5 THEN 'train' ELSE 'validation' END AS part,
            o_orderkey AS row_id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS label,
@@ -297,8 +308,12 @@ ORACLES = {
         w AS (SELECT lambda_id, pos, k, avg(w) AS w FROM each GROUP BY lambda_id, pos, k),
         {accuracy_ctes(fold_key=False)}
         SELECT lambda_id, round(avg(accuracy), 6) AS accuracy FROM acc GROUP BY lambda_id""",
-    "size_sweep": f"""{weights_ctes(SIZES)}, {accuracy_ctes()}
+    "size_sweep": f"""{weights_ctes(_sizes("count(*) // 5, 3 * count(*) // 5, count(*)"))}, {accuracy_ctes()}
         SELECT fold AS n, lambda_id, round(accuracy, 6) AS accuracy FROM acc""",
+    "best_by_size": f"""{weights_ctes(_sizes("count(*) // 2, count(*)"))}, {accuracy_ctes()},
+        best AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY accuracy DESC, lambda_id) AS place
+                 FROM acc)
+        SELECT fold AS n, lambda_id, round(accuracy, 6) AS accuracy FROM best WHERE place = 1""",
     "ridge_sweep_images": f"{dual_accuracy_ctes(IMAGE_ROWS)} {ACCURACY}",
     "ridge_sweep_orders": f"{weights_ctes(ORDER_ROWS)}, {accuracy_ctes()} {ACCURACY}",
 }

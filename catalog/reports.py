@@ -55,8 +55,12 @@ def cost_model(spark, folder):
         F.floor(n / 5).alias("v"),
         F.col("value").alias("parallel_s"),
         (F.col("value") / 8).alias("overhead_s"),
+        F.lit(2.0).alias("gamma"),
+        (F.pmod(F.col("event_id"), F.lit(8)) + 1).alias("ranks"),
+        F.lit(0.25).alias("cluster_overhead_s"),
     )
-    return reports.cost_model(runs).select("event_id", "operations", "total_s")
+    model = reports.cost_model(runs)
+    return model.select("event_id", "operations", "node_s", F.round("cluster_s", 6).alias("cluster_s"))
 
 
 def scaling_law(spark, folder):
@@ -110,7 +114,8 @@ ORACLES = {
         WITH r AS (SELECT event_id, event_id + 1000 AS n, user_id + 64 AS d, event_id % 9 + 2 AS k,
                           (event_id + 1000) // 5 AS v, value FROM events)
         SELECT event_id, CAST(2 * 10 * (n * d * d + k * d * (d + n + 2 * v)) AS BIGINT) AS operations,
-               value + value / 8 AS total_s
+               value + value / 8 AS node_s,
+               round(2.0::DOUBLE * (10.0::DOUBLE / (event_id % 8 + 1)) * (value + value / 8) + 0.25, 6) AS cluster_s
         FROM r""",
     "scaling_law": """
         WITH r AS (SELECT event_type AS config, CAST(event_id + 500 AS DOUBLE) AS n,

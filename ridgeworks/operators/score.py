@@ -188,12 +188,12 @@ class Scorer:
         budget: int = BROADCAST_BUDGET,
     ):
         self.context = df.sparkSession.sparkContext
-        self.rows = df.select(
+        self.df, self.row_id = df, row_id
+        self.columns = [
             F.col(features).alias("features"),
             (F.col(label) if label else F.lit(-1)).cast("int").alias("label"),
-            F.col(row_id).cast("long").alias("row_id"),
             (F.lit(0) if segment is None else segment).cast("int").alias("segment"),
-        )
+        ]
         self.folds, self.centres = folds, centres
         copies = 1 if centres is not None or folds is None else len(folds)
         each = copies * width * 16
@@ -201,7 +201,8 @@ class Scorer:
         self.split_classes = any(len(c) < len(classes) for _, c in self.passes)
         self.weights = weights if len(self.passes) == 1 else checkpoint(weights)
 
-    def _parts(self, emit, schema: str) -> DataFrame:
+    def _parts(self, emit, schema: str, row_id: Column) -> DataFrame:
+        rows = self.df.select(*self.columns, row_id.cast("long").alias("row_id"))
         parts = []
         for lambda_ids, classes in self.passes:
             chosen = self.weights
@@ -213,7 +214,7 @@ class Scorer:
             blocks = _blocks(chosen.toArrow(), self.centres)
             plain = [(b.lambda_ids, b.labels, b.weights, b.offsets) for b in blocks]
             shared = self.context.broadcast((plain, _routes(blocks, self.folds)))
-            parts.append(self.rows.mapInArrow(_scored(shared, emit), schema))
+            parts.append(rows.mapInArrow(_scored(shared, emit), schema))
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.unionAll(part)
@@ -221,7 +222,7 @@ class Scorer:
 
     def predictions(self) -> DataFrame:
         """(fold, lambda_id, row_id, label, prediction, score); ties go to the lowest class."""
-        rows = self._parts(_emit_predictions, PREDICTIONS)
+        rows = self._parts(_emit_predictions, PREDICTIONS, F.col(self.row_id))
         if not self.split_classes:
             return rows
         best = F.max(F.struct("score", (-F.col("prediction")).alias("_class")))
@@ -237,7 +238,7 @@ class Scorer:
             rows = self.predictions().withColumn("_hit", hit(F.col("label"), F.col("prediction")))
             totals = [F.sum("_hit").alias("hits"), F.count("*").alias("rows")]
         else:
-            rows = self._parts(_emit_hits, HITS)
+            rows = self._parts(_emit_hits, HITS, F.lit(0))
             totals = [F.sum("hits").alias("hits"), F.sum("rows").alias("rows")]
         return rows.groupBy("fold", "lambda_id").agg(*totals)
 
@@ -245,7 +246,7 @@ class Scorer:
         """(fold, lambda_id, row_id, label, scores) with scores in class order."""
         if self.split_classes:
             raise ValueError("score vectors need all classes of a lambda in one pass")
-        return self._parts(_emit_scores, SCORES)
+        return self._parts(_emit_scores, SCORES, F.col(self.row_id))
 
 
 def scorer(df: DataFrame, weights: DataFrame, **columns) -> Scorer:
@@ -287,6 +288,12 @@ def scores_by_class(scores: DataFrame, row_id: str = "row_id", label: str = "lab
     return scores.groupBy(row_id).agg(ordered.alias("_c")).select(row_id, F.col("_c.s").alias("scores"))
 
 
-def best_lambda(sweep: DataFrame) -> DataFrame:
-    """The row with the highest accuracy; on a tie the first lambda of the grid."""
-    return sweep.orderBy(F.desc("accuracy"), F.asc("lambda_id")).limit(1)
+def best_lambda(sweep: DataFrame, *keys: str) -> DataFrame:
+    """The row with the highest accuracy, overall or per key; on a tie the first lambda of the grid."""
+    if not keys:
+        return sweep.orderBy(F.desc("accuracy"), F.asc("lambda_id")).limit(1)
+    order = F.struct("accuracy", (-F.col("lambda_id")).alias("_first"), "lambda")
+    best = sweep.groupBy(*keys).agg(F.max(order).alias("_best"))
+    return best.select(
+        *keys, (-F.col("_best._first")).alias("lambda_id"), "_best.lambda", "_best.accuracy"
+    )

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeworks.plans.sweep import ridge_sweep
+from ridgeworks.plans.sweep import Columns, ridge_sweep
 from ridgeworks.session import checkpoint
-from ridgeworks.sources.images import image_features
+from ridgeworks.sources.images import image_vectors, read_image_tree
 
 
 def image_sweep(
     spark: SparkSession, path: str, shape: tuple[int, int] | None = (40, 60), seed: int = 0, **options
 ) -> DataFrame:
-    """Decode, binarise, down-sample and shuffle the images once, then sweep over them."""
-    return ridge_sweep(checkpoint(image_features(spark, path, shape, seed)), **options)
+    """Decode, binarise and down-sample the images once, then sweep over them.
+
+    Splitting by the hash of the file name is the same as shuffling by it and splitting by
+    position, without moving a pixel.
+    """
+    vectors = checkpoint(image_vectors(read_image_tree(spark, path), shape))
+    columns = Columns("origin", "label", "features")
+    return ridge_sweep(vectors, split="hash", seed=seed, columns=columns, **options)

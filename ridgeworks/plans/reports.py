@@ -38,11 +38,23 @@ def operations(n: Column, d: Column, k: Column, n_lambda: Column, v: Column) ->
     return 2 * n_lambda * (n * d * d + k * d * (d + n + 2 * v))
 
 
+def cluster_seconds(gamma: Column, n_lambda: Column, ranks: Column, node_s: Column, overhead_s: Column) -> Column:
+    """Time of a sweep over ranks: gamma (n_lambda / ranks) node_s + overhead_s."""
+    return gamma * (n_lambda / ranks) * node_s + overhead_s
+
+
 def cost_model(runs: DataFrame) -> DataFrame:
-    """Add operation count and total time to runs (n, d, k, n_lambda, v, parallel_s, overhead_s)."""
+    """Add operation count and node time to runs (n, d, k, n_lambda, v, parallel_s, overhead_s).
+
+    Runs that also have gamma, ranks and cluster_overhead_s get the time of the whole cluster.
+    """
     sizes = [F.col(c).cast("long") for c in ("n", "d", "k", "n_lambda", "v")]
     timed = runs.withColumn("operations", operations(*sizes))
-    return timed.withColumn("total_s", F.col("parallel_s") + F.col("overhead_s"))
+    timed = timed.withColumn("node_s", F.col("parallel_s") + F.col("overhead_s"))
+    if not {"gamma", "ranks", "cluster_overhead_s"} <= set(runs.columns):
+        return timed
+    parts = [F.col(c) for c in ("gamma", "n_lambda", "ranks", "node_s", "cluster_overhead_s")]
+    return timed.withColumn("cluster_s", cluster_seconds(*parts))
 
 
 def scaling_law(runs: DataFrame, config: str = "config", n: str = "n", elapsed: str = "elapsed_s", fixed: float = 0.0):

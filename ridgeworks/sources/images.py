@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import resample
 from ridgeworks.operators.indexing import seeded_order
+from ridgeworks.session import checkpoint
 
 
 def read_image_tree(spark: SparkSession, path: str, pattern: str = r"class_(\d+)/") -> DataFrame:
@@ -61,10 +62,7 @@ def image_vectors(images: DataFrame, shape: tuple[int, int] | None = None, layer
 def image_features(
     spark: SparkSession, path: str, shape: tuple[int, int] | None = (40, 60), seed: int = 0
 ) -> DataFrame:
-    """Image tree to shuffled training rows (row_id, label, features).
-
-    The permutation is worked out on file names before the pixels are decoded.
-    """
-    images = read_image_tree(spark, path)
-    order = seeded_order(images.select("origin"), "origin", seed, "row_id")
-    return image_vectors(images, shape).join(order, "origin").select("row_id", "label", "features")
+    """Image tree to shuffled training rows (row_id, label, features); decoded once."""
+    vectors = checkpoint(image_vectors(read_image_tree(spark, path), shape))
+    order = seeded_order(vectors.select("origin"), "origin", seed, "row_id")
+    return vectors.join(order, "origin").select("row_id", "label", "features")

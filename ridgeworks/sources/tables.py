@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from ridgeworks.operators.indexing import row_index
 
+# fixed values: column names of the hourly logs
 LOG_COLUMNS = ["date", "time", "AMPM", "delhipm", "delhiaqi", "chennaipm", "aqichenn", "pmkol"]
 RESULTS = "n long, accuracy double, lambda double, elapsed_s double"
 

@@ -101,7 +101,7 @@ def test_hour_skeleton(spark):
     assert rows.count() == 1464 and rows.distinct().count() == 1464
 
 
-# measured timings: thread, parallel, overhead, total
+# fixed values, measured timings: thread, parallel, overhead, total
 THREADS = [
     (1, 77.01753544807434, 11.55333495140075, 88.5874831676483),
     (2, 39.92824554443359, 12.86628627777099, 52.8112025260925),
@@ -141,4 +141,6 @@ def test_cost_model(spark):
         [row], "n int, d int, k int, n_lambda int, v int, parallel_s double, overhead_s double"
     )
     result = reports.cost_model(runs).first()
-    assert result["operations"] == 100_349_177_600 and result["total_s"] == 2.5
+    assert result["operations"] == 100_349_177_600 and result["node_s"] == 2.5
+    ranks = runs.select("*", F.lit(1.5).alias("gamma"), F.lit(4).alias("ranks"), F.lit(0.75).alias("cluster_overhead_s"))
+    assert reports.cost_model(ranks).first()["cluster_s"] == 1.5 * 10 / 4 * 2.5 + 0.75

@@ -11,6 +11,7 @@ from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.functions.vectors import log_spaced
 from ridgeworks.operators import moments, score, solve
 from ridgeworks.plans import sweep
+from ridgeworks.session import ensure_checkpoint_dir
 from tests import brute
 
 LAMBDAS = [0.01, 1.0, 100.0]
@@ -229,6 +230,50 @@ def test_best_lambda_prefers_the_first_on_a_tie(spark):
     assert score.best_lambda(df).first()["lambda"] == 0.1
 
 
+def test_best_lambda_per_key(spark):
+    rows = [("a", 0, 0.1, 0.5), ("a", 1, 1.0, 0.5), ("b", 0, 0.1, 0.2), ("b", 1, 1.0, 0.3), ("c", 0, 0.1, None)]
+    df = spark.createDataFrame(rows, "k string, lambda_id int, lambda double, accuracy double")
+    found = {r["k"]: (r["lambda"], r["accuracy"]) for r in score.best_lambda(df, "k").collect()}
+    assert found == {"a": (0.1, 0.5), "b": (1.0, 0.3), "c": (0.1, None)}
+
+
+def test_default_sizes(spark):
+    x, y = separable(1500, d=2)
+    found = sweep.size_sweep(frame(spark, x, y), lambdas=[1.0]).collect()
+    assert [r["n"] for r in found] == [1000]
+
+
+def test_checkpoint_folder():
+    class Context:
+        folder = None
+
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, folder=None):
+            self.sparkContext, self.folder, self.conf = Context(master), folder, self
+
+        def get(self, key, default):
+            assert key == "spark.checkpoint.dir"
+            return self.folder or default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session("yarn"))
+    for session in (Session("yarn", "hdfs:///shared"), Session("local[2]", "hdfs:///shared")):
+        ensure_checkpoint_dir(session)
+        assert session.sparkContext.folder == "hdfs:///shared"
+    local = Session("local[2]")
+    ensure_checkpoint_dir(local)
+    assert local.sparkContext.folder
+
+
 def test_bad_vectors_are_errors(spark):
     good = "row_id long, label int, features array<double>"
     for rows in (

@@ -92,6 +92,11 @@ def test_image_tree_to_sweep(spark, tmp_path):
     assert [r["label"] for r in collected] != sorted(r["label"] for r in collected)
     result = image_sweep(spark, str(tmp_path), (4, 6), seed=1, lambdas=[0.1, 1.0])
     assert [r["accuracy"] for r in result.collect()] == [1.0, 1.0]
+    by_position = ridge_sweep(rows, lambdas=[0.1, 1.0], drop_last=True, center="train")
+    by_hash = image_sweep(
+        spark, str(tmp_path), (4, 6), seed=1, lambdas=[0.1, 1.0], drop_last=True, center="train"
+    )
+    assert sorted(by_position.collect()) == sorted(by_hash.collect())
 
 
 def test_csv_headers_with_blanks(spark, tmp_path):
