@@ -42,21 +42,27 @@ class Partial:
 
     def add(self, x: np.ndarray, y: np.ndarray, with_sums: bool) -> None:
         if with_sums:
-            labels, place = np.unique(y, return_inverse=True)
-            member = (place[None, :] == np.arange(len(labels))[:, None]).astype(np.float64)
-            for label, count, total in zip(labels, member.sum(axis=1), member @ x, strict=True):
-                label = int(label)
-                self.class_n[label] = self.class_n.get(label, 0) + int(count)
+            labels, starts, counts = np.unique(np.sort(y), return_index=True, return_counts=True)
+            sums = np.add.reduceat(x[np.argsort(y, kind="stable")], starts, axis=0)
+            for label, count, total in zip(labels.tolist(), counts.tolist(), sums, strict=True):
+                self.class_n[label] = self.class_n.get(label, 0) + count
                 self.class_sum[label] = self.class_sum.get(label, 0.0) + total
         if self.gram is not None:
             first, last = self.columns
             self.gram += x[:, first:last].T @ x[:, first:]
 
+    def class_rows(self, segment: int) -> Iterator[pa.RecordBatch]:
+        """Ship the class sums and start them anew."""
+        labels = sorted(self.class_sum)
+        step = max(1, BATCH_BYTES // (8 * max((len(v) for v in self.class_sum.values()), default=1)))
+        for start in range(0, len(labels), step):
+            some = labels[start : start + step]
+            vals = [self.class_sum[label] for label in some]
+            yield batch_of(segment, "class", some, [self.class_n[k] for k in some], vals)
+        self.class_n, self.class_sum = {}, {}
+
     def rows(self, segment: int) -> Iterator[pa.RecordBatch]:
-        if self.class_sum:
-            labels = sorted(self.class_sum)
-            vals = [self.class_sum[label] for label in labels]
-            yield batch_of(segment, "class", labels, [self.class_n[k] for k in labels], vals)
+        yield from self.class_rows(segment)
         if self.gram is not None:
             first, last = self.columns
             step = max(1, BATCH_BYTES // (8 * self.gram.shape[1]))
@@ -112,6 +118,9 @@ def _partials(
                     held[segment].add(x, y, with_sums)
                 else:
                     held[segment].add(x[inside], y[inside], with_sums)
+            if 8 * x.shape[1] * sum(len(part.class_sum) for part in held.values()) > TASK_BUDGET // 2:
+                for segment, partial in held.items():
+                    yield from partial.class_rows(segment)
         for segment, partial in held.items():
             yield from partial.rows(segment)
 

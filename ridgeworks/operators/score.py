@@ -17,6 +17,8 @@ from ridgeworks.session import checkpoint
 
 # bytes of weights shipped to the executors at a time; larger sets are scored in several passes
 BROADCAST_BUDGET = 256 * 1024 * 1024
+# bytes of scores a task computes at a time
+SCORE_BYTES = 32 * 1024 * 1024
 
 PREDICTIONS = "fold int, lambda_id int, row_id long, label int, prediction int, score double"
 HITS = "fold int, lambda_id int, hits long, rows long"
@@ -104,7 +106,10 @@ def _scored(shared, emit):
                     rows, own, keys = (x, y, ids) if inside.all() else (x[inside], y[inside], ids[inside])
                     for index, fold in routes.get(int(segment), []):
                         block = blocks[index]
-                        yield block, fold, block.scores(rows, fold), own, keys
+                        step = max(1, SCORE_BYTES // (8 * block.weights.shape[1]))
+                        for at in range(0, len(rows), step):
+                            part = slice(at, at + step)
+                            yield block, fold, block.scores(rows[part], fold), own[part], keys[part]
 
         yield from emit(chunks())
 

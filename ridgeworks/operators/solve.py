@@ -50,11 +50,10 @@ class FoldMoments:
         all_sum, self.n_all = 0.0, 0
         self.lambdas: dict[int, float] = {}
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("fold", "in_train", "kind", "key", "n")]
+            columns = [batch.column(c).to_pylist() for c in ("in_train", "kind", "key", "n")]
             vals = batch.column("vals")
             offsets, flat = vals.offsets.to_numpy(), vals.values.to_numpy()
-            for row, (fold, in_train, kind, key, n) in enumerate(zip(*columns, strict=True)):
-                self.fold = fold
+            for row, (in_train, kind, key, n) in enumerate(zip(*columns, strict=True)):
                 part = flat[offsets[row] : offsets[row + 1]]
                 if kind == "class":
                     all_sum, self.n_all = all_sum + part, self.n_all + n
@@ -66,12 +65,11 @@ class FoldMoments:
                     if self.gram is None:
                         self.gram = np.zeros((d, d))
                     self.gram[key, key:] += part
-        if self.gram is None:
-            raise ValueError(f"fold {getattr(self, 'fold', '?')} has no training rows")
-        d = len(self.gram)
-        n = sum(train_n.values())
-        total = sum(train_sum.values())
-        mean = {"all": all_sum / self.n_all, "train": total / n, "none": np.zeros(d)}[center]
+        d, n = len(all_sum), sum(train_n.values())
+        if self.gram is None:  # too few rows to train on: all weights are 0
+            self.gram = np.zeros((d, d))
+        total = sum(train_sum.values(), np.zeros(d))
+        mean = {"all": all_sum / self.n_all, "train": total / max(n, 1), "none": np.zeros(d)}[center]
         self.mean = mean
         self.gram += np.triu(self.gram, 1).T
         self.gram += np.column_stack((n * mean - total, -mean)) @ np.vstack((mean, total))

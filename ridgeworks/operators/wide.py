@@ -90,11 +90,10 @@ def _weights_of_fold(
     everything, every_n = _vector_sums(moments, [*fold.train, *fold.others])
     gram = moments.where((F.col("kind") == "gram") & F.col("segment").isin(list(fold.train)))
     n, n_all = sum(count.values()), sum(every_n.values())
-    if n == 0:
-        raise ValueError(f"fold {fold.fold} has no training rows")
-    total = sum(own.values())
-    d = len(total)
-    mean = {"all": sum(everything.values()) / n_all, "train": total / n, "none": np.zeros(d)}[center]
+    every_sum = sum(everything.values())
+    d = len(every_sum)
+    total = sum(own.values(), np.zeros(d))
+    mean = {"all": every_sum / n_all, "train": total / max(n, 1), "none": np.zeros(d)}[center]
     sums = np.array([own.get(k, np.zeros(d)) for k in classes])
     counts = np.array([count.get(k, 0) for k in classes])
     targets = ((2 * sums - total) - np.outer(2 * counts - n, mean)).T

@@ -30,7 +30,7 @@ class Columns:
 
 def distinct_labels(df: DataFrame, label: str = "label") -> list[int]:
     """Classes that occur, ascending; reads the label column only."""
-    return [row[0] for row in df.select(label).distinct().orderBy(label).collect()]
+    return sorted(row[0] for row in df.select(label).distinct().collect())
 
 
 def make_split(
@@ -100,8 +100,7 @@ class RidgeFit:
             )
         )
         if classes is None:
-            seen = self.moments.where("kind = 'class'").select(F.col("key").alias(columns.label))
-            classes = distinct_labels(seen, columns.label)
+            classes = distinct_labels(self.moments.where("kind = 'class'"), "key")
         self.classes = sorted(classes)
 
     def weights(self) -> DataFrame:

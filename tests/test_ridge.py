@@ -178,6 +178,29 @@ def test_solvers_agree_on_weights(spark):
         assert np.allclose(found[2][key], expected, atol=1e-8)
 
 
+@pytest.mark.parametrize("solver", ["eigh", "wide"])
+def test_shards_too_small_to_train(spark, solver):
+    x, y = separable(6)
+    fit = sweep.fit_shards(frame(spark, x, y), 4, lambdas=[1.0], solver=solver)
+    w = weight_rows(solve.average_weights(fit.weights()))
+    parts = []
+    for a, b in zip(np.array_split(x, 4), np.array_split(y, 4), strict=True):
+        split = int(0.8 * len(a))
+        parts.append(brute.fit((a - a.mean(axis=0))[:split], b[:split], fit.classes, 1.0))
+    expected = np.mean(parts, axis=0)
+    assert np.allclose(np.array([w[0, k] for k in fit.classes]).T, expected)
+
+
+def test_many_classes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(90, 4)), rng.integers(0, 40, 90)
+    monkeypatch.setattr(moments, "TASK_BUDGET", 2 * 8 * 4 * 10)
+    monkeypatch.setattr(moments, "BATCH_BYTES", 8 * 4 * 3)
+    monkeypatch.setattr(score, "SCORE_BYTES", 1)
+    ours = accuracies(sweep.ridge_sweep(frame(spark, x, y, 1), lambdas=LAMBDAS))
+    assert ours == pytest.approx(brute.sweep(x, y, LAMBDAS))
+
+
 @pytest.mark.parametrize("solver", ["direct", "eigh", "wide"])
 def test_large_mean(spark, solver):
     x, y = separable()
