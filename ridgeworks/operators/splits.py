@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +64,7 @@ def hash_split(
     cut = int(train_frac * n)
     hashes = df.select(shuffle_key(F.col(row_id), seed).alias("_hash"))
     value = shuffle_key(F.col(row_id), seed)
-    train = value <= _kth_smallest(hashes, cut) if cut else F.lit(False)
+    train = value <= _kth_smallest(hashes, cut, n) if cut else F.lit(False)
     if drop_last and cut < n:
         last = value == hashes.agg(F.max("_hash")).first()[0]
     else:
@@ -71,13 +72,14 @@ def hash_split(
     return Split(train, ~train & ~last, ~train & last, n)
 
 
-def _kth_smallest(hashes: DataFrame, k: int, exact_below: int = 4096) -> str:
-    """k-th smallest (1-based) hex hash, by counting prefixes four digits at a time."""
-    prefix = ""
-    while True:
-        inside = hashes.where(F.col("_hash").startswith(prefix)) if prefix else hashes
+def _kth_smallest(hashes: DataFrame, k: int, n: int, exact_below: int = 4096) -> str:
+    """k-th smallest (1-based) of n hex hashes, by counting prefixes up to four digits at a time."""
+    prefix, inside = "", n
+    while inside > exact_below and len(prefix) < 32:
+        digits = len(prefix) + min(4, math.ceil(math.log(inside / exact_below, 16)) + 1)
+        near = hashes.where(F.col("_hash").startswith(prefix)) if prefix else hashes
         counts = (
-            inside.groupBy(F.substring("_hash", 1, len(prefix) + 4).alias("_prefix"))
+            near.groupBy(F.substring("_hash", 1, digits).alias("_prefix"))
             .agg(F.count("*").alias("_n"))
             .orderBy("_prefix")
             .collect()  # at most 65 536 rows
@@ -86,12 +88,11 @@ def _kth_smallest(hashes: DataFrame, k: int, exact_below: int = 4096) -> str:
             if k <= row["_n"]:
                 break
             k -= row["_n"]
-        prefix = row["_prefix"]
-        if len(prefix) == 32:
-            return prefix
-        if row["_n"] <= exact_below:
-            near = hashes.where(F.col("_hash").startswith(prefix)).orderBy("_hash")
-            return near.collect()[k - 1][0]
+        prefix, inside = row["_prefix"], row["_n"]
+    if len(prefix) == 32:
+        return prefix
+    near = hashes.where(F.col("_hash").startswith(prefix)) if prefix else hashes
+    return near.orderBy("_hash").collect()[k - 1][0]
 
 
 def split_rows(df: DataFrame, split: Split) -> tuple[DataFrame, DataFrame]:

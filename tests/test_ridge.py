@@ -197,6 +197,7 @@ def test_many_classes(spark, monkeypatch):
     monkeypatch.setattr(moments, "TASK_BUDGET", 2 * 8 * 4 * 10)
     monkeypatch.setattr(moments, "BATCH_BYTES", 8 * 4 * 3)
     monkeypatch.setattr(score, "SCORE_BYTES", 1)
+    monkeypatch.setattr(moments, "FEW_CLASSES", 5)
     ours = accuracies(sweep.ridge_sweep(frame(spark, x, y, 1), lambdas=LAMBDAS))
     assert ours == pytest.approx(brute.sweep(x, y, LAMBDAS))
 
