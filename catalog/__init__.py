@@ -1,9 +1,9 @@
 """Named queries over the test tables, each with the SQL it must agree with where SQL can say it."""
 
-from catalog import features, hourly, models, reports, splits
+from catalog import features, files, hourly, models, reports, splits
 
 QUERIES = {}
 ORACLES = {}
-for part in (features, splits, models, reports, hourly):
+for part in (features, splits, models, reports, hourly, files):
     QUERIES.update(part.QUERIES)
     ORACLES.update(part.ORACLES)

@@ -22,6 +22,7 @@ from ridgeworks.operators.moments import centre, class_sums, feature_width, gram
 from ridgeworks.operators.solve import lambda_class_grid, ridge_diagonal
 from ridgeworks.operators.splits import row_count
 from ridgeworks.plans.sweep import distinct_labels
+from ridgeworks.sources.images import class_of, image_vectors
 
 
 def _cells(df, name, *keys, kind="bigint"):
@@ -123,6 +124,26 @@ def downsample_images(spark, folder):
     return rows.select("vec_id", F.posexplode("small").alias("pos", "v")).withColumn("v", F.round("v", 6))
 
 
+def image_pixels(spark, folder):
+    """An 8 x 8 colour image per embedding, down-sampled to 4 x 6 black and white."""
+
+    def two_digits(byte):
+        return F.lpad(F.hex(byte.cast("long")), 2, "0")
+
+    red = F.transform("embedding", lambda x: F.pmod(F.floor(x.cast("double") * 65536), F.lit(256)))
+    bytes_ = F.transform("red", lambda v: F.concat(two_digits(255 - v), two_digits(F.floor(v / 2)), two_digits(v)))
+    origin = F.concat(F.lit("images/class_"), F.col("label"), F.lit("/"), F.col("vec_id"), F.lit(".png"))
+    images = vectors(spark, folder).withColumn("red", red).select(
+        origin.alias("origin"),
+        F.lit(8).alias("height"),
+        F.lit(8).alias("width"),
+        F.lit(3).alias("nChannels"),
+        F.unhex(F.array_join(bytes_, "")).alias("data"),
+    )
+    images = images.withColumn("label", class_of(F.col("origin")))
+    return image_vectors(images, (4, 6)).select("origin", "label", F.posexplode("features").alias("pos", "v"))
+
+
 def mean_image(spark, folder):
     means = mean_vector(vectors(spark, folder), "embedding")
     return means.select("pos", F.round("mean", 9).alias("mean"))
@@ -179,6 +200,7 @@ QUERIES = {
     "rename_reorder": rename_reorder,
     "select_channel": select_channels,
     "downsample": downsample_images,
+    "image_pixels": image_pixels,
     "mean_image": mean_image,
     "gram_matrix": gram,
     "xty": xty,
@@ -261,6 +283,21 @@ ORACLES = {
                + (y - y0) * (1 - (x - x0)) * embedding[(y0 + 1) * 8 + x0 + 1]::DOUBLE
                + (y - y0) * (x - x0) * embedding[(y0 + 1) * 8 + x0 + 2]::DOUBLE, 6) + 0.0 AS v
         FROM embeddings, f""",
+    "image_pixels": """
+        WITH p AS (SELECT vec_id, label, list_transform(embedding, lambda e:
+                     CASE WHEN (CAST(floor(CAST(e AS DOUBLE) * 65536) AS BIGINT) % 256 + 256) % 256 > 127
+                          THEN 1.0::DOUBLE ELSE 0 END) AS f FROM embeddings),
+             t AS (SELECT r * 6 + c AS pos, 7 * r / 3.0::DOUBLE AS y, 7 * c / 5.0::DOUBLE AS x
+                   FROM range(0, 4) a(r), range(0, 6) b(c)),
+             g AS (SELECT pos, least(floor(y), 6)::BIGINT AS y0, least(floor(x), 6)::BIGINT AS x0, y, x FROM t),
+             v AS (SELECT vec_id, label, pos,
+                 (1 - (y - y0)) * (1 - (x - x0)) * f[y0 * 8 + x0 + 1]
+               + (1 - (y - y0)) * (x - x0) * f[y0 * 8 + x0 + 2]
+               + (y - y0) * (1 - (x - x0)) * f[(y0 + 1) * 8 + x0 + 1]
+               + (y - y0) * (x - x0) * f[(y0 + 1) * 8 + x0 + 2] AS v
+             FROM p, g)
+        SELECT 'images/class_' || label || '/' || vec_id || '.png' AS origin, label, CAST(pos AS INTEGER) AS pos,
+               CASE WHEN v > 0.5 THEN 1.0::DOUBLE ELSE 0 END AS v FROM v""",
     "mean_image": """
         WITH x AS (SELECT generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
                    FROM embeddings)

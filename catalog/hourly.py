@@ -43,7 +43,8 @@ def hour_skeleton(spark, folder):
     spans = table(spark, folder, "events").groupBy("event_type").agg(
         F.min("ts").alias("first"), F.max("ts").alias("last")
     )
-    return hourly.hour_skeleton(spans, "first", "last", "event_type")
+    rows = hourly.hour_skeleton(spans, "first", "last", "event_type")
+    return rows.select("event_type", iso_date(F.col("date")).alias("date"), "hour")
 
 
 def log_lines(spark, folder):
@@ -108,7 +109,7 @@ ORACLES = {
     "sentinel_to_null": f"SELECT event_id, {VALUE_SQL} AS pm25 FROM events",
     "hour_skeleton": """
         WITH s AS (SELECT event_type, min(ts)::DATE AS a, max(ts)::DATE AS b FROM events GROUP BY event_type)
-        SELECT event_type, CAST(a + CAST(i AS INTEGER) AS DATE) AS date, CAST(h AS INTEGER) AS hour
+        SELECT event_type, strftime(a + CAST(i AS INTEGER), '%Y-%m-%d') AS date, CAST(h AS INTEGER) AS hour
         FROM s, range(0, 10000) t(i), range(0, 24) u(h) WHERE a + CAST(i AS INTEGER) <= b""",
     "parse_log": """
         SELECT strftime(ts, '%H:%M') AS time, strftime(ts, '%p') AS "AMPM",

@@ -6,23 +6,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.functions.pixels import resample
+from ridgeworks.functions.pixels import resample, to_list_array
 from ridgeworks.operators.indexing import seeded_order
 from ridgeworks.session import checkpoint
 
+# fixed value: image files lie in directories class_0, class_1, ...
+CLASS_DIRECTORY = r"class_(\d+)/"
+# bytes of decoded pixels a task works on at a time
+IMAGE_BYTES = 32 * 1024 * 1024
 
-def read_image_tree(spark: SparkSession, path: str, pattern: str = r"class_(\d+)/") -> DataFrame:
+
+def class_of(origin: Column, pattern: str = CLASS_DIRECTORY) -> Column:
+    """Label from the directory name; null outside a class directory."""
+    return F.nullif(F.regexp_extract(origin, pattern, 1), F.lit("")).cast("int")
+
+
+def read_image_tree(spark: SparkSession, path: str, pattern: str = CLASS_DIRECTORY) -> DataFrame:
     """(origin, label, height, width, nChannels, data); the label comes from the directory name.
 
     Files that are not images, or lie outside a class directory, are left out.
     """
     reader = spark.read.format("image").option("recursiveFileLookup", True).option("dropInvalid", True)
-    found = F.regexp_extract("image.origin", pattern, 1)
-    rows = reader.load(path).select("image.*", found.alias("_class")).where(F.col("_class") != "")
-    return rows.select("origin", F.col("_class").cast("int").alias("label"), "height", "width", "nChannels", "data")
+    rows = reader.load(path).select("image.*", class_of(F.col("image.origin"), pattern).alias("label"))
+    rows = rows.where(F.col("label").isNotNull())
+    return rows.select("origin", "label", "height", "width", "nChannels", "data")
 
 
 def _threshold(x: np.ndarray) -> np.ndarray:
@@ -36,25 +46,31 @@ def image_vectors(images: DataFrame, shape: tuple[int, int] | None = None, layer
     Down-sampled images are binarised again. Rows are flattened row by row.
     """
 
+    def vectors_of(data: pa.Array, rows: list[int], size: tuple[int, int, int]) -> np.ndarray:
+        height, width, channels = size
+        place = 0 if channels == 1 else 2 - layer
+        raw = [np.frombuffer(data[row].as_buffer(), np.uint8) for row in rows]
+        pixels = _threshold(np.stack(raw).reshape(-1, height, width, channels)[:, :, :, place] / 255.0)
+        if shape is not None:
+            pixels = _threshold(resample(pixels, *shape))
+        return pixels.reshape(len(rows), -1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column("label").to_pylist()
+            by_size: dict[tuple[int, int, int], list[int]] = {}
             sizes = zip(*[batch.column(c).to_pylist() for c in ("height", "width", "nChannels")], strict=True)
-            vectors = []
-            for row, (h, w, channels) in enumerate(sizes):
-                raw = np.frombuffer(batch.column("data")[row].as_buffer(), np.uint8)
-                place = 0 if channels == 1 else 2 - layer
-                pixels = _threshold(raw.reshape(h, w, channels)[:, :, place] / 255.0)
-                if shape is not None:
-                    pixels = _threshold(resample(pixels[None], *shape)[0])
-                vectors.append(pixels.reshape(-1))
-            offsets = np.concatenate(([0], np.cumsum([len(v) for v in vectors]))).astype(np.int32)
-            values = np.concatenate(vectors) if vectors else np.zeros(0)
-            features = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("origin"), pa.array(labels, pa.int32()), features],
-                names=["origin", "label", "features"],
-            )
+            for row, size in enumerate(sizes):
+                by_size.setdefault(size, []).append(row)
+            for size, rows in by_size.items():
+                step = max(1, IMAGE_BYTES // (8 * size[0] * size[1]))
+                for start in range(0, len(rows), step):
+                    some = rows[start : start + step]
+                    found = vectors_of(batch.column("data"), some, size)
+                    keep = pa.array(some)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("origin").take(keep), batch.column("label").take(keep), to_list_array(found)],
+                        names=["origin", "label", "features"],
+                    )
 
     return images.mapInArrow(run, "origin string, label int, features array<double>")
 

@@ -35,6 +35,9 @@ def _rows(names, rows):
     return sorted(names), sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def differences(spark, connection, query, sql, folder) -> list[str]:
     began = time.time()
     df = query(spark, folder)
@@ -46,6 +49,10 @@ def differences(spark, connection, query, sql, folder) -> list[str]:
     print(f"  spark {middle - began:.2f} s, sql {time.time() - middle:.2f} s, {len(ours[1])} rows")
     if ours[0] != theirs[0]:
         return [f"columns {ours[0]} against {theirs[0]}"]
+    kinds = {column[0]: str(column[1]) for column in cursor.description}
+    wrong = [f"{n}: {k} against {kinds[n]}" for n, k in df.dtypes if KINDS.get(k) != kinds[n]]
+    if wrong:
+        return wrong
     if len(ours[1]) != len(theirs[1]):
         return [f"{len(ours[1])} rows against {len(theirs[1])}"]
     return [f"{a} against {b}" for a, b in zip(ours[1], theirs[1], strict=True) if a != b][:5]
