@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import LAMBDA_VALUES, VECTORS, WHOLE_SQL, table, vectors, whole_vectors
+from catalog.common import VECTORS, WHOLE_SQL, table, vectors, whole_vectors
 from catalog.ridge_sql import accuracy_ctes, dual_accuracy_ctes, vector_rows, weights_ctes
 from ridgeworks.functions.vectors import argmax_position
 from ridgeworks.operators import score, solve

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# fixed values: lowest and highest exponent and size of the default lambda grid
+GRID = (-5.0, 5.0, 10)
+
 
 def quantise(features: Column, scale: int = 65536) -> Column:
     """``floor(x * scale)`` per element, kept as double so that sums of products stay exact."""
@@ -63,7 +66,7 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def log_spaced(low: float = -5.0, high: float = 5.0, count: int = 10) -> list[float]:
+def log_spaced(low: float = GRID[0], high: float = GRID[1], count: int = GRID[2]) -> list[float]:
     """``count`` powers of ten with evenly spaced exponents, both ends included."""
     step = (high - low) / (count - 1) if count > 1 else 0.0
     return [10.0 ** (low + i * step) for i in range(count)]
@@ -79,6 +82,8 @@ def lambda_array(lambdas: list[float]) -> Column:
     )
 
 
-def lambda_grid(spark: SparkSession, low: float = -5.0, high: float = 5.0, count: int = 10) -> DataFrame:
+def lambda_grid(
+    spark: SparkSession, low: float = GRID[0], high: float = GRID[1], count: int = GRID[2]
+) -> DataFrame:
     """(lambda_id, lambda) for the log-spaced grid."""
     return spark.range(1).select(F.inline(lambda_array(log_spaced(low, high, count))))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ridgeworks.operators.indexing import shuffle_key
 
+# fixed value: default share of training rows
+TRAIN_SHARE = 0.8
+
 
 def row_count(df: DataFrame) -> int:
     """Number of rows; on Parquet this reads file footers only."""
@@ -34,7 +37,7 @@ class Split:
 def positional_split(
     df: DataFrame,
     row_id: str = "row_id",
-    train_frac: float = 0.8,
+    train_frac: float = TRAIN_SHARE,
     drop_last: bool = False,
     n: int | None = None,
 ) -> Split:
@@ -51,7 +54,7 @@ def positional_split(
 def hash_split(
     df: DataFrame,
     row_id: str = "row_id",
-    train_frac: float = 0.8,
+    train_frac: float = TRAIN_SHARE,
     drop_last: bool = False,
     seed: int = 0,
 ) -> Split:

@@ -14,10 +14,13 @@ from ridgeworks.operators.indexing import shard_bounds, shard_of
 from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width, mean_vector
 from ridgeworks.operators.score import Scorer
 from ridgeworks.operators.solve import DENSE_LIMIT, Fold, average_weights, solve_ridge
-from ridgeworks.operators.splits import Split, hash_split, positional_split, row_count
+from ridgeworks.operators.splits import TRAIN_SHARE, Split, hash_split, positional_split, row_count
 from ridgeworks.operators.wide import solve_wide
 from ridgeworks.session import checkpoint
 
+# fixed values: default row counts of a size sweep
+SIZES = list(range(1000, 60000, 10000))
+
 
 @dataclass(frozen=True)
 class Columns:
@@ -155,7 +158,7 @@ class RidgeFit:
 def fit_single(
     df: DataFrame,
     split: str = "positional",
-    train_frac: float = 0.8,
+    train_frac: float = TRAIN_SHARE,
     drop_last: bool = False,
     seed: int = 0,
     columns: Columns = Columns(),
@@ -185,7 +188,7 @@ def ridge_weights(df: DataFrame, **options) -> DataFrame:
 def fit_shards(
     df: DataFrame,
     shards: int,
-    train_frac: float = 0.8,
+    train_frac: float = TRAIN_SHARE,
     drop_last: bool = False,
     columns: Columns = Columns(),
     **options,
@@ -226,7 +229,7 @@ def ridge_sweep_sharded(df: DataFrame, shards: int, **options) -> DataFrame:
 def size_sweep(
     df: DataFrame,
     sizes: list[int] | None = None,
-    train_frac: float = 0.8,
+    train_frac: float = TRAIN_SHARE,
     drop_last: bool = False,
     columns: Columns = Columns(),
     **options,
@@ -240,7 +243,7 @@ def size_sweep(
     row = F.col(columns.row_id)
     if sizes is None:
         n = row_count(df)
-        sizes = [size for size in range(1000, 60000, 10000) if size <= n]
+        sizes = [size for size in SIZES if size <= n]
     ends = {n: (int(train_frac * n), n - int(drop_last), n) for n in sorted(set(sizes))}
     borders = sorted({b for three in ends.values() for b in three})
     places = {b: i for i, b in enumerate([0, *borders])}

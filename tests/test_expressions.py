@@ -108,7 +108,15 @@ THREADS = [
     (4, 20.61007261276245, 13.03828358650207, 33.6653475761413),
     (8, 19.19526314735412, 16.36505699157715, 35.5772066116333),
 ]
-SIZES = [(500, 7.015), (1000, 9.045), (2000, 13.056), (4000, 20.912), (8000, 37.081), (16000, 69.404), (32000, 133.945)]
+SIZES = [
+    (500, 7.015),
+    (1000, 9.045),
+    (2000, 13.056),
+    (4000, 20.912),
+    (8000, 37.081),
+    (16000, 69.404),
+    (32000, 133.945),
+]
 
 
 def test_scaling_report_of_measured_runs(spark):
@@ -142,5 +150,6 @@ def test_cost_model(spark):
     )
     result = reports.cost_model(runs).first()
     assert result["operations"] == 100_349_177_600 and result["node_s"] == 2.5
-    ranks = runs.select("*", F.lit(1.5).alias("gamma"), F.lit(4).alias("ranks"), F.lit(0.75).alias("cluster_overhead_s"))
+    extra = {"gamma": F.lit(1.5), "ranks": F.lit(4), "cluster_overhead_s": F.lit(0.75)}
+    ranks = runs.withColumns(extra)
     assert reports.cost_model(ranks).first()["cluster_s"] == 1.5 * 10 / 4 * 2.5 + 0.75
