@@ -114,7 +114,16 @@ def solve_ridge(
     spark = moments.sparkSession
     roles = [(s, f.fold, True) for f in folds for s in f.train]
     roles += [(s, f.fold, False) for f in folds for s in f.others]
-    roles = spark.createDataFrame(roles, "segment int, fold int, in_train boolean")
+    segments, owners, in_train = zip(*roles, strict=True)
+    roles = spark.createDataFrame(
+        pa.table(
+            {
+                "segment": pa.array(segments, pa.int32()),
+                "fold": pa.array(owners, pa.int32()),
+                "in_train": pa.array(in_train),
+            }
+        )
+    )
     needed = (F.col("kind") == "class") | F.col("in_train")
     rows = moments.join(roles, "segment").where(needed)
     if solver == "direct":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,7 +150,7 @@ class RidgeFit:
         """(fold, lambda_id, lambda, hits, rows, accuracy); null accuracy without validation rows."""
         hits = self.scorer(average).hits()
         spark = self.df.sparkSession
-        grid = spark.createDataFrame([(f.fold,) for f in self.folds], "fold int")
+        grid = spark.createDataFrame(pa.table({"fold": pa.array([f.fold for f in self.folds], pa.int32())}))
         grid = grid.select("fold", F.inline(lambda_array(self.lambdas)))
         joined = grid.join(hits, ["fold", "lambda_id"], "left")
         return joined.withColumn("accuracy", F.try_divide(F.col("hits"), F.col("rows")))
