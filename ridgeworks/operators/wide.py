@@ -2,7 +2,7 @@
 
 The Gram matrix stays distributed, one row per table row. Conjugate gradients run for all
 (lambda, class) columns at once; a step multiplies the stored Gram rows with the direction block
-in tasks. The driver holds vectors only: d x (lambdas * classes).
+in tasks. The driver holds vectors only, a bounded number of columns at a time.
 """
 
 from __future__ import annotations
@@ -18,8 +18,11 @@ from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.operators.moments import SCHEMA as MOMENTS
 from ridgeworks.operators.moments import batch_of, merge_partials
 from ridgeworks.operators.solve import ARROW_SCHEMA, Fold
+from ridgeworks.session import checkpoint
 
 CHUNK = 256
+# bytes of direction vectors held by the driver and broadcast at a time
+COLUMN_BUDGET = 128 * 1024 * 1024
 
 
 def _both_triangles(block: np.ndarray, keys: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -65,90 +68,79 @@ def _gram_times(gram: DataFrame, p: np.ndarray) -> np.ndarray:
     return result
 
 
-def _vector_sums(moments: DataFrame, segments: list[int]) -> tuple[dict[int, np.ndarray], dict[int, int]]:
-    rows = moments.where((F.col("kind") == "class") & F.col("segment").isin(segments)).collect()
-    sums: dict[int, np.ndarray] = {}
-    counts: dict[int, int] = {}
-    for row in rows:
-        sums[row["key"]] = sums.get(row["key"], 0.0) + np.array(row["vals"])
-        counts[row["key"]] = counts.get(row["key"], 0) + row["n"]
-    return sums, counts
-
-
-def _weights_of_fold(
-    moments: DataFrame,
-    fold: Fold,
-    lambdas: list[float],
-    classes: list[int],
-    center: str,
-    reg_scale: str,
-    tolerance: float,
-    max_iterations: int | None,
-    shift: np.ndarray | None,
-) -> pa.Table:
-    own, count = _vector_sums(moments, list(fold.train))
-    everything, every_n = _vector_sums(moments, [*fold.train, *fold.others])
-    gram = moments.where((F.col("kind") == "gram") & F.col("segment").isin(list(fold.train)))
-    n, n_all = sum(count.values()), sum(every_n.values())
-    every_sum = sum(everything.values())
-    d = len(every_sum)
-    total = sum(own.values(), np.zeros(d))
-    mean = {"all": every_sum / n_all, "train": total / max(n, 1), "none": np.zeros(d)}[center]
-    sums = np.array([own.get(k, np.zeros(d)) for k in classes])
-    counts = np.array([count.get(k, 0) for k in classes])
-    targets = ((2 * sums - total) - np.outer(2 * counts - n, mean)).T
-    diagonal = np.zeros(d)
-    corner = gram.groupBy("key").agg(F.sum(F.element_at("vals", 1)).alias("v"))
-    for row in corner.collect():
-        diagonal[row["key"]] = row["v"]
-    diagonal += n * mean * mean - 2 * total * mean
-
-    factor = n_all if reg_scale == "n" else 1.0
-    penalty = np.repeat([v * factor for v in lambdas], len(classes))
-    b = np.tile(targets, (1, len(lambdas)))
-    scale = np.maximum(np.linalg.norm(b, axis=0), np.finfo(float).tiny)
-    precondition = np.maximum(diagonal, 0.0)[:, None] + penalty
-    precondition = np.where(precondition > 0, precondition, 1.0)
-
-    def apply(p: np.ndarray, penalties: np.ndarray) -> np.ndarray:
-        inner_mean, inner_total = mean @ p, total @ p
-        centred = _gram_times(gram, p) + np.outer(mean, n * inner_mean - inner_total)
-        return centred - np.outer(total, inner_mean) + p * penalties
-
-    def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.einsum("ij,ij->j", a, b)
-
-    x, r = np.zeros_like(b), b.copy()
-    p = r / precondition
-    rho = inner(r, p)
-    for _ in range(max_iterations or max(1000, 2 * d)):
-        left = np.flatnonzero(np.linalg.norm(r, axis=0) > tolerance * scale)
-        if len(left) == 0:
-            break
-        q = apply(p[:, left], penalty[left])
-        step = rho[left] / inner(p[:, left], q)
-        x[:, left] += p[:, left] * step
-        r[:, left] -= q * step
-        z = r[:, left] / precondition[:, left]
-        fresh = inner(r[:, left], z)
-        p[:, left] = z + p[:, left] * (fresh / rho[left])
-        rho[left] = fresh
-    else:
+def _class_rows(moments: DataFrame, segments: tuple[int, ...]) -> DataFrame:
+    return moments.where((F.col("kind") == "class") & F.col("segment").isin(list(segments)))
+
+
+def _total(rows: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """Sum of all vectors and number of rows, added up by Spark whatever the number of classes."""
+    cells = rows.select(F.posexplode("vals").alias("pos", "v")).groupBy("pos").agg(F.sum("v").alias("v"))
+    total = np.zeros(width)
+    for row in cells.collect():
+        total[row["pos"]] = row["v"]
+    return total, rows.agg(F.sum("n")).first()[0] or 0
+
+
+class WideFold:
+    """What the columns of one fold share: mean, totals, diagonal, and the stored Gram rows."""
+
+    def __init__(self, moments: DataFrame, fold: Fold, width: int, center: str):
+        self.fold, self.width = fold.fold, width
+        self.train = _class_rows(moments, fold.train)
+        self.total, self.n = _total(self.train, width)
+        every, self.n_all = _total(_class_rows(moments, (*fold.train, *fold.others)), width)
+        self.mean = {
+            "all": every / self.n_all,
+            "train": self.total / max(self.n, 1),
+            "none": np.zeros(width),
+        }[center]
+        self.gram = moments.where((F.col("kind") == "gram") & F.col("segment").isin(list(fold.train)))
+        corner = self.gram.groupBy("key").agg(F.sum(F.element_at("vals", 1)).alias("v"))
+        self.diagonal = self.n * self.mean**2 - 2 * self.total * self.mean
+        for row in corner.collect():
+            self.diagonal[row["key"]] += row["v"]
+
+    def targets(self, classes: list[int]) -> np.ndarray:
+        """X^T Y of some classes, d x classes."""
+        places = {label: place for place, label in enumerate(classes)}
+        sums, counts = np.zeros((len(classes), self.width)), np.zeros(len(classes))
+        for row in self.train.where(F.col("key").isin(classes)).collect():
+            sums[places[row["key"]]] += np.array(row["vals"])
+            counts[places[row["key"]]] += row["n"]
+        return ((2 * sums - self.total) - np.outer(2 * counts - self.n, self.mean)).T
+
+    def times(self, p: np.ndarray) -> np.ndarray:
+        """Centred Gram matrix times p."""
+        inner_mean, inner_total = self.mean @ p, self.total @ p
+        centred = _gram_times(self.gram, p) + np.outer(self.mean, self.n * inner_mean - inner_total)
+        return centred - np.outer(self.total, inner_mean)
+
+    def solve(self, b: np.ndarray, penalty: np.ndarray, tolerance: float, most: int) -> np.ndarray:
+        """Conjugate gradients for all columns at once; a column rests once it has converged."""
+
+        def inner(a: np.ndarray, c: np.ndarray) -> np.ndarray:
+            return np.einsum("ij,ij->j", a, c)
+
+        scale = np.maximum(np.linalg.norm(b, axis=0), np.finfo(float).tiny)
+        precondition = np.maximum(self.diagonal, 0.0)[:, None] + penalty
+        precondition = np.where(precondition > 0, precondition, 1.0)
+        x, r = np.zeros_like(b), b.copy()
+        p = r / precondition
+        rho = inner(r, p)
+        for _ in range(most):
+            left = np.flatnonzero(np.linalg.norm(r, axis=0) > tolerance * scale)
+            if len(left) == 0:
+                return x
+            q = self.times(p[:, left]) + p[:, left] * penalty[left]
+            step = rho[left] / inner(p[:, left], q)
+            x[:, left] += p[:, left] * step
+            r[:, left] -= q * step
+            z = r[:, left] / precondition[:, left]
+            fresh = inner(r[:, left], z)
+            p[:, left] = z + p[:, left] * (fresh / rho[left])
+            rho[left] = fresh
         raise RuntimeError("conjugate gradients did not converge; raise max_iterations or lambda")
 
-    k = len(classes)
-    return pa.Table.from_arrays(
-        [
-            pa.array([fold.fold] * len(penalty), pa.int32()),
-            pa.array(np.repeat(np.arange(len(lambdas)), k).astype(np.int32)),
-            pa.array(np.repeat(lambdas, k).astype(np.float64)),
-            pa.array(classes * len(lambdas), pa.int32()),
-            to_list_array(x.T),
-            to_list_array(np.broadcast_to(mean if shift is None else mean + shift, (len(penalty), d))),
-        ],
-        schema=ARROW_SCHEMA,
-    )
-
 
 def solve_wide(
     moments: DataFrame,
@@ -160,12 +152,45 @@ def solve_wide(
     tolerance: float = 1e-10,
     max_iterations: int | None = None,
     shift: np.ndarray | None = None,
+    budget: int = COLUMN_BUDGET,
 ) -> DataFrame:
-    """Same result as ``solve_ridge`` for moments kept in a checkpoint; raises if not converged."""
-    tables = [
-        _weights_of_fold(
-            moments, fold, lambdas, classes, center, reg_scale, tolerance, max_iterations, shift
-        )
-        for fold in folds
-    ]
-    return moments.sparkSession.createDataFrame(pa.concat_tables(tables))
+    """Same result as ``solve_ridge`` for moments kept in a checkpoint; raises if not converged.
+
+    Columns are solved in sets of at most ``budget`` bytes, so neither the driver nor a broadcast
+    grows with the number of classes.
+    """
+    spark = moments.sparkSession
+    width = moments.agg(F.max(F.size("vals"))).first()[0]
+    fits = max(1, budget // (8 * width))
+    some_lambdas = max(1, min(len(lambdas), fits // len(classes)))
+    some_classes = max(1, min(len(classes), fits // some_lambdas))
+    parts = []
+    for fold in folds:
+        wide = WideFold(moments, fold, width, center)
+        centre = wide.mean if shift is None else wide.mean + shift
+        factor = wide.n_all if reg_scale == "n" else 1.0
+        for k in range(0, len(classes), some_classes):
+            chosen = classes[k : k + some_classes]
+            targets = wide.targets(chosen)
+            for i in range(0, len(lambdas), some_lambdas):
+                values = lambdas[i : i + some_lambdas]
+                penalty = np.repeat(np.array(values) * factor, len(chosen))
+                b = np.tile(targets, (1, len(values)))
+                weights = wide.solve(b, penalty, tolerance, max_iterations or max(1000, 2 * width))
+                ids = np.repeat(np.arange(i, i + len(values)), len(chosen))
+                table = pa.Table.from_arrays(
+                    [
+                        pa.array([fold.fold] * len(penalty), pa.int32()),
+                        pa.array(ids.astype(np.int32)),
+                        pa.array(np.repeat(values, len(chosen)).astype(np.float64)),
+                        pa.array(chosen * len(values), pa.int32()),
+                        to_list_array(weights.T),
+                        to_list_array(np.broadcast_to(centre, (len(penalty), width))),
+                    ],
+                    schema=ARROW_SCHEMA,
+                )
+                parts.append(checkpoint(spark.createDataFrame(table)))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionAll(part)
+    return whole

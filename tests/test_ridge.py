@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.functions.vectors import log_spaced
 from ridgeworks.operators import moments, score, solve
+from ridgeworks.operators.wide import solve_wide
 from ridgeworks.plans import sweep
 from ridgeworks.session import ensure_checkpoint_dir
 from tests import brute
@@ -214,6 +215,24 @@ def test_large_mean(spark, solver):
     assert fit.accuracies().first()["accuracy"] == pytest.approx(brute.sweep(far, y, [1.0])[0])
 
 
+@pytest.mark.parametrize("columns", [1, 2, 5, 9])
+def test_wide_solver_in_several_column_sets(spark, columns):
+    x, y = separable()
+    fit = sweep.fit_single(frame(spark, x, y), lambdas=LAMBDAS, solver="wide")
+    parts = solve_wide(fit.moments, fit.folds, LAMBDAS, fit.classes, budget=8 * 6 * columns)
+    expected = weight_rows(solve.solve_ridge(fit.moments, fit.folds, LAMBDAS, fit.classes))
+    found = weight_rows(parts)
+    assert found.keys() == expected.keys()
+    assert all(np.allclose(found[key], expected[key], atol=1e-8) for key in expected)
+
+
+def test_wide_solver_says_when_it_fails(spark):
+    x, y = separable()
+    fit = sweep.fit_single(frame(spark, x, y), lambdas=[0.01], solver="wide")
+    with pytest.raises(RuntimeError, match="converge"):
+        solve_wide(fit.moments, fit.folds, [0.01], fit.classes, max_iterations=1)
+
+
 def test_column_panels_and_early_flush(spark, monkeypatch):
     x, y = separable(60, d=7)
     whole = np.round(100 * x)
