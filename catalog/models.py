@@ -77,7 +77,7 @@ def _sharded_guesses(spark, folder):
 
 def mean_shard_accuracy(spark, folder):
     parts = score.evaluate(_sharded_guesses(spark, folder), "shard")
-    return parts.agg(F.round(F.avg("accuracy"), 6).alias("accuracy"))
+    return sweep.mean_shard_accuracy(parts, keys=()).select(F.round("accuracy", 6).alias("accuracy"))
 
 
 def gathered(spark, folder):

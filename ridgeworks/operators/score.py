@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import to_list_array, to_matrix
 from ridgeworks.functions.vectors import hit
-from ridgeworks.operators.solve import Fold
+from ridgeworks.operators.solve import Fold, distinct_columns
 from ridgeworks.session import checkpoint
 
 # bytes of weights shipped to the executors at a time; larger sets are scored in several passes
@@ -31,11 +31,12 @@ class Block:
 
     lambda_ids: np.ndarray  # (L,)
     labels: np.ndarray  # (K,) ascending
-    weights: np.ndarray  # (d, L * K)
+    weights: np.ndarray  # (d, different columns)
+    place: np.ndarray  # (L * K,) column of each (lambda, class)
     offsets: dict[int, np.ndarray]  # fold -> (L * K,)
 
     def scores(self, x: np.ndarray, fold: int) -> np.ndarray:
-        flat = x @ self.weights - self.offsets[fold]
+        flat = (x @ self.weights)[:, self.place] - self.offsets[fold]
         return flat.reshape(len(x), len(self.lambda_ids), len(self.labels))
 
 
@@ -60,7 +61,8 @@ def _blocks(table: pa.Table, centres: dict[int, np.ndarray] | None) -> list[Bloc
         lambda_ids, classes = np.unique(ids[own]), np.unique(labels[own])
         if own.sum() != len(lambda_ids) * len(classes):
             raise ValueError("weights are missing for some (lambda, class)")
-        blocks.append(Block(lambda_ids, classes, np.ascontiguousarray(weights[own].T), offsets))
+        different, place = distinct_columns(weights[own].T)
+        blocks.append(Block(lambda_ids, classes, different, np.array(place), offsets))
     return blocks
 
 
@@ -78,10 +80,10 @@ def _passes(lambda_ids: list[int], classes: list[int], bytes_each: int, budget:
 def _routes(blocks: list[Block], folds: list[Fold] | None) -> dict[int, list[tuple[int, int]]]:
     """segment -> [(block, fold)] to score its rows with."""
     routes: dict[int, list[tuple[int, int]]] = {}
+    scored = {f.fold: f.validation for f in folds or []}
     for place, block in enumerate(blocks):
         for fold in block.offsets:
-            segments = [0] if folds is None else next(f.validation for f in folds if f.fold == fold)
-            for segment in segments:
+            for segment in scored.get(fold, ()) if folds is not None else (0,):
                 routes.setdefault(segment, []).append((place, fold))
     return routes
 
@@ -106,7 +108,7 @@ def _scored(shared, emit):
                     rows, own, keys = (x, y, ids) if inside.all() else (x[inside], y[inside], ids[inside])
                     for index, fold in routes.get(int(segment), []):
                         block = blocks[index]
-                        step = max(1, SCORE_BYTES // (8 * block.weights.shape[1]))
+                        step = max(1, SCORE_BYTES // (8 * len(block.place)))
                         for at in range(0, len(rows), step):
                             part = slice(at, at + step)
                             yield block, fold, block.scores(rows[part], fold), own[part], keys[part]
@@ -217,7 +219,7 @@ class Scorer:
                     & F.col("label").between(classes[0], classes[-1])
                 )
             blocks = _blocks(chosen.toArrow(), self.centres)
-            plain = [(b.lambda_ids, b.labels, b.weights, b.offsets) for b in blocks]
+            plain = [(b.lambda_ids, b.labels, b.weights, b.place, b.offsets) for b in blocks]
             shared = self.context.broadcast((plain, _routes(blocks, self.folds)))
             parts.append(rows.mapInArrow(_scored(shared, emit), schema))
         whole = parts[0]

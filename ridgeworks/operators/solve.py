@@ -40,6 +40,22 @@ class Fold:
     validation: tuple[int, ...] = field(default=())
 
 
+def distinct_columns(matrix: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The different columns, and for each column its place among them.
+
+    Equal columns (classes without training rows) then give equal results to the last bit, so
+    that ties between them are ties.
+    """
+    seen: dict[bytes, int] = {}
+    place, first = [], []
+    for column, values in enumerate(np.ascontiguousarray(matrix.T)):
+        at = seen.setdefault(values.tobytes(), len(first))
+        if at == len(first):
+            first.append(column)
+        place.append(at)
+    return np.ascontiguousarray(matrix[:, first]), place
+
+
 class FoldMoments:
     """Centred Gram matrix, targets and mean of one fold, assembled from its segments' sums."""
 
@@ -75,7 +91,8 @@ class FoldMoments:
         self.gram += np.column_stack((n * mean - total, -mean)) @ np.vstack((mean, total))
         own = np.array([train_sum.get(k, np.zeros(d)) for k in classes])
         count = np.array([train_n.get(k, 0) for k in classes])
-        self.targets = ((2 * own - total) - np.outer(2 * count - n, mean)).T  # d x classes
+        targets = ((2 * own - total) - np.outer(2 * count - n, mean)).T  # d x classes
+        self.targets, self.place = distinct_columns(targets)
 
 
 def _solve_direct(m: FoldMoments, penalties: list[float]) -> Iterator[np.ndarray]:
@@ -147,7 +164,7 @@ def solve_ridge(
                     pa.array([i] * k, pa.int32()),
                     pa.array([lambdas[i]] * k, pa.float64()),
                     pa.array(classes, pa.int32()),
-                    to_list_array(weights.T),
+                    to_list_array(weights.T[m.place]),
                     to_list_array(np.broadcast_to(centre, (k, len(centre)))),
                 ],
                 schema=ARROW_SCHEMA,

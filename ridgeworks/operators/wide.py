@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.operators.moments import SCHEMA as MOMENTS
 from ridgeworks.operators.moments import batch_of, merge_partials
-from ridgeworks.operators.solve import ARROW_SCHEMA, Fold
+from ridgeworks.operators.solve import ARROW_SCHEMA, Fold, distinct_columns
 from ridgeworks.session import checkpoint
 
 CHUNK = 256
@@ -171,21 +171,22 @@ def solve_wide(
         factor = wide.n_all if reg_scale == "n" else 1.0
         for k in range(0, len(classes), some_classes):
             chosen = classes[k : k + some_classes]
-            targets = wide.targets(chosen)
+            targets, place = distinct_columns(wide.targets(chosen))
             for i in range(0, len(lambdas), some_lambdas):
                 values = lambdas[i : i + some_lambdas]
-                penalty = np.repeat(np.array(values) * factor, len(chosen))
+                penalty = np.repeat(np.array(values) * factor, targets.shape[1])
                 b = np.tile(targets, (1, len(values)))
-                weights = wide.solve(b, penalty, tolerance, max_iterations or max(1000, 2 * width))
+                solved = wide.solve(b, penalty, tolerance, max_iterations or max(1000, 2 * width))
+                weights = solved.reshape(width, len(values), -1)[:, :, place].reshape(width, -1)
                 ids = np.repeat(np.arange(i, i + len(values)), len(chosen))
                 table = pa.Table.from_arrays(
                     [
-                        pa.array([fold.fold] * len(penalty), pa.int32()),
+                        pa.array([fold.fold] * len(ids), pa.int32()),
                         pa.array(ids.astype(np.int32)),
                         pa.array(np.repeat(values, len(chosen)).astype(np.float64)),
                         pa.array(chosen * len(values), pa.int32()),
                         to_list_array(weights.T),
-                        to_list_array(np.broadcast_to(centre, (len(penalty), width))),
+                        to_list_array(np.broadcast_to(centre, (len(ids), width))),
                     ],
                     schema=ARROW_SCHEMA,
                 )

@@ -217,9 +217,11 @@ def shard_accuracies(df: DataFrame, shards: int, **options) -> DataFrame:
     return fit_shards(df, shards, **options).accuracies(average=True).withColumnRenamed("fold", "shard")
 
 
-def mean_shard_accuracy(accuracies: DataFrame) -> DataFrame:
-    """Unweighted mean over shards: (lambda_id, lambda, accuracy)."""
-    return accuracies.groupBy("lambda_id", "lambda").agg(F.avg("accuracy").alias("accuracy"))
+def mean_shard_accuracy(
+    accuracies: DataFrame, keys: tuple[str, ...] = ("lambda_id", "lambda")
+) -> DataFrame:
+    """Unweighted mean over shards, per lambda or other keys; shards without an accuracy do not count."""
+    return accuracies.groupBy(*keys).agg(F.avg("accuracy").alias("accuracy"))
 
 
 def ridge_sweep_sharded(df: DataFrame, shards: int, **options) -> DataFrame:

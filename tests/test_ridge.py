@@ -124,6 +124,16 @@ def test_absent_class_gets_minus_one_targets(spark):
     assert np.allclose(w[0, 9], np.linalg.solve(z.T @ z + np.eye(6), -z.sum(axis=0)))
 
 
+@pytest.mark.parametrize("solver", ["direct", "eigh", "wide"])
+def test_absent_classes_tie_exactly(spark, solver):
+    x, y = separable(90, d=11)
+    classes = [0, 1, 2, *range(10, 31)]
+    fit = sweep.fit_single(frame(spark, x, y), lambdas=LAMBDAS, classes=classes, solver=solver)
+    for row in fit.scorer().scores().collect():
+        assert len(set(row["scores"][3:])) == 1
+    assert accuracies(fit.accuracies()) == pytest.approx(brute.sweep(x, y, LAMBDAS, classes=classes))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(n=st.integers(6, 40), d=st.integers(1, 5), parts=st.integers(1, 6), seed=st.integers(0, 99))
 def test_moments_do_not_depend_on_partitions(spark, n, d, parts, seed):
