@@ -135,6 +135,22 @@ def test_scaling_report_of_measured_runs(spark):
     assert rows["total_s"] == [t[3] for t in THREADS] and rows["parallel_s"] == [t[1] for t in THREADS]
 
 
+def test_scaling_report_with_most_runs_in_one_configuration(spark):
+    runs = [("hot", 1 + i % 3, 10.0 / (1 + i % 3) + i / 1000) for i in range(900)]
+    runs += [("cold", 2, 8.0), ("cold", 4, 4.0), ("zero", 1, 0.0)]
+    df = spark.createDataFrame(runs, "config string, threads int, elapsed_s double").repartition(5)
+    report = reports.scaling_report(df)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max" in plan
+    found = {(r["config"], r["threads"]): (r["speedup"], r["efficiency"]) for r in report.collect()}
+    slowest = {t: max(e for c, n, e in runs if c == "hot" and n == t) for t in (1, 2, 3)}
+    for t in (1, 2, 3):
+        assert found["hot", t] == pytest.approx((slowest[1] / slowest[t], slowest[1] / slowest[t] / t))
+    assert found["cold", 4] == (2.0, 1.0) and found["zero", 1] == (None, None)
+    most = {r["config"]: r["elapsed_s"] for r in reports.max_elapsed(df, "config").collect()}
+    assert most == {"hot": slowest[1], "cold": 8.0, "zero": 0.0}
+
+
 def test_scaling_law_of_measured_runs(spark):
     runs = spark.createDataFrame([("serial", *row) for row in SIZES], "config string, n int, elapsed_s double")
     fit = reports.scaling_law(runs, fixed=5.0).first()

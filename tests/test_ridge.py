@@ -277,6 +277,27 @@ def test_weights_in_several_passes(spark, budget):
     assert parts.hits().orderBy("lambda_id").collect() == whole.hits().orderBy("lambda_id").collect()
 
 
+@pytest.mark.parametrize("run", ["sweep", "shards", "sizes"])
+def test_number_of_passes_over_the_rows(spark, run):
+    """Count, first row, moments, scores: whatever the number of lambdas, classes, shards or sizes."""
+    x, y = separable(200)
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = frame(spark, x, y).mapInArrow(watch, "row_id long, label int, features array<double>")
+    if run == "sweep":
+        sweep.ridge_sweep(rows).collect()
+    elif run == "shards":
+        sweep.ridge_sweep_sharded(rows, 5).collect()
+    else:
+        sweep.size_sweep(rows, [50, 100, 150, 200]).collect()
+    assert seen.value <= 4 * 200
+
+
 def test_best_lambda_prefers_the_first_on_a_tie(spark):
     rows = [(0, 0.01, 0.5), (1, 0.1, 0.9), (2, 10.0, 0.9), (3, 20.0, None)]
     df = spark.createDataFrame(rows, "lambda_id int, lambda double, accuracy double")
