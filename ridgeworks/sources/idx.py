@@ -11,17 +11,19 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ridgeworks.functions.pixels import to_list_array
+
 # fixed value: type code of unsigned bytes in an IDX header
 UNSIGNED_BYTE = 0x08
-ROWS_PER_BATCH_BYTES = 8 * 1024 * 1024
+ROWS_PER_BATCH = 4096
 
 
 def _open(path: str):
     where, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return where.open_input_file(inner)
+    raw = where.open_input_file(inner)
+    return gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
 
 
 def _header(stream) -> tuple[int, list[int]]:
@@ -38,43 +40,58 @@ class RecordRange(InputPartition):
         self.first, self.count = first, count
 
 
+def _sizes(path: str) -> list[int]:
+    with _open(path) as stream:
+        return _header(stream)[1]
+
+
+def _records(path: str, first: int, count: int) -> Iterator[np.ndarray]:
+    """Records first, first + 1, ... in blocks of at most ROWS_PER_BATCH rows."""
+    with _open(path) as stream:
+        start, sizes = _header(stream)
+        width = math.prod(sizes[1:])
+        stream.seek(start + first * width)
+        for row in range(0, count, ROWS_PER_BATCH):
+            n = min(ROWS_PER_BATCH, count - row)
+            data = np.frombuffer(stream.read(n * width), np.uint8)
+            if len(data) != n * width:
+                raise ValueError(f"{path} ends early")
+            yield data.reshape(n, width)
+
+
 class IdxReader(DataSourceReader):
-    """Fixed-width records, so any byte range of an uncompressed file is a partition of its own."""
+    """Fixed-width records, so any byte range of an uncompressed file is a partition of its own.
+
+    A label file given beside an image file is read over the same range of records.
+    """
 
     def __init__(self, options):
-        self.path = options["path"]
-        self.packed = self.path.endswith(".gz")
+        self.path, self.labels = options["path"], options.get("labels")
         self.partition_bytes = int(options.get("partitionBytes", 64 * 1024 * 1024))
 
-    def _stream(self):
-        raw = _open(self.path)
-        return gzip.GzipFile(fileobj=raw) if self.packed else raw
-
     def partitions(self):
-        with self._stream() as stream:
-            _, sizes = _header(stream)
-        width = math.prod(sizes[1:])
-        step = sizes[0] if self.packed else max(1, self.partition_bytes // width)
-        return [RecordRange(i, min(step, sizes[0] - i)) for i in range(0, sizes[0], max(1, step))]
+        rows, *shape = _sizes(self.path)
+        if self.labels and _sizes(self.labels) != [rows]:
+            raise ValueError(f"{self.labels} does not hold one label for each of {rows} records")
+        step = rows if self.path.endswith(".gz") else self.partition_bytes // math.prod(shape)
+        step = max(1, step)
+        return [RecordRange(i, min(step, rows - i)) for i in range(0, rows, step)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
-        with self._stream() as stream:
-            start, sizes = _header(stream)
-            width = math.prod(sizes[1:])
-            stream.seek(start + partition.first * width)
-            step = max(1, ROWS_PER_BATCH_BYTES // width)
-            for row in range(0, partition.count, step):
-                n = min(step, partition.count - row)
-                data = np.frombuffer(stream.read(n * width), np.uint8)
-                if len(data) != n * width:
-                    raise ValueError(f"{self.path} ends early")
-                ids = pa.array(np.arange(n, dtype=np.int64) + partition.first + row)
-                if len(sizes) == 1:
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(data.astype(np.int32))], ["row_id", "label"])
-                    continue
-                offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
-                pixels = pa.ListArray.from_arrays(offsets, pa.array(data.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([ids, pixels], ["row_id", "features"])
+        span = partition.first, partition.count
+        vectors = len(_sizes(self.path)) > 1
+        labels = _records(self.labels, *span) if self.labels else None
+        row = partition.first
+        for data in _records(self.path, *span):
+            columns = {"row_id": pa.array(np.arange(row, row + len(data), dtype=np.int64))}
+            row += len(data)
+            if labels is not None:
+                columns["label"] = pa.array(next(labels).reshape(-1).astype(np.int32))
+            if vectors:
+                columns["features"] = to_list_array(data.astype(np.int32), pa.int32())
+            else:
+                columns["label"] = pa.array(data.reshape(-1).astype(np.int32))
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 class IdxSource(DataSource):
@@ -85,24 +102,27 @@ class IdxSource(DataSource):
         return "idx"
 
     def schema(self):
-        reader = IdxReader(self.options)
-        with reader._stream() as stream:
-            _, sizes = _header(stream)
-        return "row_id long, label int" if len(sizes) == 1 else "row_id long, features array<int>"
+        if len(_sizes(self.options["path"])) == 1:
+            return "row_id long, label int"
+        return f"row_id long,{' label int,' if self.options.get('labels') else ''} features array<int>"
 
     def reader(self, schema):
         return IdxReader(self.options)
 
 
-def read_idx(spark: SparkSession, path: str, partition_bytes: int | None = None) -> DataFrame:
+def read_idx(
+    spark: SparkSession, path: str, labels: str | None = None, partition_bytes: int | None = None
+) -> DataFrame:
+    """One IDX file, or an image file with its label file."""
     spark.dataSource.register(IdxSource)
     reader = spark.read.format("idx")
+    if labels:
+        reader = reader.option("labels", labels)
     if partition_bytes:
         reader = reader.option("partitionBytes", partition_bytes)
     return reader.load(path)
 
 
 def read_idx_images(spark: SparkSession, images: str, labels: str, **options) -> DataFrame:
-    """(row_id, label, features) from an image file and its label file."""
-    pixels = read_idx(spark, images, **options)
-    return pixels.join(read_idx(spark, labels), "row_id").select("row_id", F.col("label"), "features")
+    """(row_id, label, features) from an image file and its label file; nothing is joined."""
+    return read_idx(spark, images, labels, **options)

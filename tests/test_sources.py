@@ -54,6 +54,22 @@ def test_idx_images_and_labels(spark, tmp_path, suffix):
     assert 0 <= sweep.first()["accuracy"] <= 1
 
 
+def test_idx_labels_must_fit(spark, tmp_path):
+    images_path = write_idx(tmp_path / "images", np.zeros((5, 2, 2)))
+    labels_path = write_idx(tmp_path / "labels", np.zeros(4))
+    with pytest.raises(Exception, match="one label for each of 5"):
+        idx.read_idx_images(spark, images_path, labels_path).collect()
+    (tmp_path / "short").write_bytes((tmp_path / "images").read_bytes()[:-1])
+    with pytest.raises(Exception, match="ends early"):
+        idx.read_idx(spark, str(tmp_path / "short")).collect()
+
+
+def test_idx_labels_alone(spark, tmp_path):
+    path = write_idx(tmp_path / "labels", np.arange(9))
+    rows = idx.read_idx(spark, path, partition_bytes=4).orderBy("row_id").collect()
+    assert [(r["row_id"], r["label"]) for r in rows] == [(i, i) for i in range(9)]
+
+
 def test_idx_rejects_other_files(spark, tmp_path):
     path = tmp_path / "other"
     path.write_bytes(b"not an index file")
