@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Memory
+from ridgeworks.llm.common import Memory, slices
 
 # stretches and pieces whose ids a Python worker remembers, twice that many of each at most
 CACHE = 300_000
@@ -250,8 +250,8 @@ def encode_texts(
             model["codec"] = Codec(model["ranks"], pattern)
         codec = model["codec"]
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
+            for first, end in slices(batch.column(1)):
+                part = batch.slice(first, end - first)
                 ids = codec.encode([x or "" for x in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,31 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(texts: pa.Array, limit: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of rows with about ``limit`` bytes of text, so that memory is bounded."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        reach = limit + (int(ends[first - 1]) if first else 0)
+        end = max(first + 1, int(np.searchsorted(ends, reach, side="right")))
+        yield first, end
+        first = end
+
+
+class Bags:
+    """Words of many texts: the different ones, and for each text their places, one after the other."""
+
+    def __init__(self, texts: list[list[str]]):
+        self.words = list(set().union(*texts))
+        place = dict(zip(self.words, range(len(self.words)), strict=True))
+        self.lengths = np.array([len(x) for x in texts], dtype=np.int64)
+        self.places = np.fromiter(
+            map(place.__getitem__, chain.from_iterable(texts)), np.int64, int(self.lengths.sum())
+        )
+        self.full = np.flatnonzero(self.lengths)
+        self.starts = (np.cumsum(self.lengths) - self.lengths)[self.full]
+
+
 class Memory:
     """What a Python worker remembers of what it worked out, for about two times ``size`` keys at most.
 
@@ -54,7 +83,7 @@ class Memory:
         self.recent: dict = {}
         self.older: dict = {}
 
-    def look_up(self, keys: set, find) -> dict:
+    def look_up(self, keys, find) -> dict:
         """Key -> value for all ``keys``; ``find`` gives the values of a list of keys not known."""
         recent, older = self.recent, self.older
         found, new = {}, []
