@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from catalog import ORACLES, QUERIES
 from ridgeworks.functions.vectors import log_spaced
 from tests import brute
 from tests.compare import connect, differences
@@ -14,15 +15,15 @@ def duck(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, small, name):
-    sql = entry.oracle_sql()[name]
-    assert differences(spark, duck, entry.queries()[name], sql, small) == []
+    sql = ORACLES[name]
+    assert differences(spark, duck, QUERIES[name], sql, small) == []
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cross_product(spark, small, name):
-    plan = entry.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
