@@ -35,7 +35,7 @@ def _rows(names, rows):
     return sorted(names), sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def differences(spark, connection, query, sql, folder) -> list[str]:
