@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.llm.common import written
 
-TABLES = 8
+TABLES = 12
 PROBES = 8
 NEAREST = 10
 SEED = 11

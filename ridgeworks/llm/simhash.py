@@ -103,6 +103,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataF
         raise ValueError("max_bits must be 0, 1 or 2: the way for crowded variants holds up to two bits")
     if max_bits == 0:
         return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
+    crowd = max(crowd, 2)  # within one bit a variant is the whole value but a bit: two share it at most
     indexed = variants(fps, max_bits)
     counts = written(
         indexed.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") > 1), "variants"

@@ -26,12 +26,14 @@ WIDTH = 8
 FILTERS = 8
 SPANS = (1, 2, 3)
 GRAMS = (4, 5)
-EPOCHS = 6
+EPOCHS = 4
 BATCH = 64
-RATE = 0.05
+RATE = 0.02
+# texts that a bucket's log odds count as seen before, at the usual rate
+EVIDENCE = 10.0
 THRESHOLD = 0.7
 # labelled rows of either label that a language needs for a threshold of its own
-FEWEST = 8
+FEWEST = 20
 CACHE = 150_000
 
 
@@ -53,6 +55,12 @@ class Features:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.buckets = np.array([b for x in found for b in x], dtype=np.int64)
 
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the words at these places, one after the other, and how many each has."""
+        lengths = self.lengths[words]
+        shift = np.repeat(self.starts[words] - (np.cumsum(lengths) - lengths), lengths)
+        return self.buckets[shift + np.arange(lengths.sum())], lengths
+
     def embed(self, table: np.ndarray) -> np.ndarray:
         """Mean of the embeddings of each word's buckets."""
         if not len(self.lengths):
@@ -88,11 +96,9 @@ class Network:
     def arrays(self) -> list[np.ndarray]:
         return [self.table, *self.filters, self.bias, self.weights]
 
-    def train(self, texts: list[list[str]], labels: np.ndarray) -> None:
+    def train(self, bags: Bags, features: Features, labels: np.ndarray) -> None:
         """Adagrad over shuffled batches; either label weighs as much in sum."""
         random = np.random.default_rng(5)
-        bags = Bags(texts)
-        features = Features(bags.words)
         firsts = np.cumsum(bags.lengths) - bags.lengths
         weigh = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
         past = [np.full(x.shape, 1e-3, np.float32) for x in self.arrays()]
@@ -106,9 +112,7 @@ class Network:
                 words, own = np.unique(np.concatenate(places), return_inverse=True)
                 lengths = bags.lengths[chosen]
                 starts = np.cumsum(lengths) - lengths
-                take = [np.arange(features.starts[w], features.starts[w] + features.lengths[w]) for w in words]
-                counts = features.lengths[words]
-                buckets = features.buckets[np.concatenate(take)]
+                buckets, counts = features.of(words)
                 vectors = np.add.reduceat(self.table[buckets], np.cumsum(counts) - counts, axis=0) / counts[:, None]
                 x = np.concatenate([vectors[own], np.zeros((max(SPANS), WIDTH))]).astype(np.float32)
                 tail = starts + lengths  # a window may not reach into the next text
@@ -147,7 +151,7 @@ class Network:
                 grad_words /= counts[:, None]
                 touched = np.flatnonzero(grad_words.any(axis=1))
                 for w in touched.tolist():
-                    rows = features.buckets[take[w]]
+                    rows = features.of(words[w : w + 1])[0]
                     past[0][rows] += grad_words[w] ** 2
                     self.table[rows] -= RATE * grad_words[w] / np.sqrt(past[0][rows])
                 for array, grad, sums in zip(self.arrays()[1:], grads, past[1:], strict=True):
@@ -196,15 +200,16 @@ class Scorer:
         return hidden @ self.weights + self.offset
 
 
-def log_odds(texts: list[list[str]], labels: np.ndarray) -> np.ndarray:
+def log_odds(bags: Bags, features: Features, labels: np.ndarray) -> np.ndarray:
     """Log odds of either label for texts that hold a bucket, against those of all texts."""
     held = np.zeros((2, BUCKETS))
-    for words, label in zip(texts, labels.tolist(), strict=True):
-        seen = {b for word in set(words) for b in buckets_of(word)}
-        held[label][list(seen)] += 1
-    sizes = np.array([(labels == 0).sum(), (labels == 1).sum()])
-    odds = np.log((held[1] + 1) / (sizes[1] + 2)) - np.log((held[0] + 1) / (sizes[0] + 2))
-    return np.where(held.sum(axis=0) > 0, odds, 0.0)
+    ends = np.cumsum(bags.lengths)
+    for first, end, label in zip(ends - bags.lengths, ends, labels.tolist(), strict=True):
+        seen, _ = features.of(np.unique(bags.places[first:end]))
+        held[label][np.unique(seen)] += 1
+    share = labels.mean()
+    odds = np.log((held[1] + EVIDENCE * share) / (held[0] + EVIDENCE * (1 - share)))
+    return odds - np.log(share / (1 - share))
 
 
 def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -255,9 +260,10 @@ class ToxicityModel:
             learn, check = np.flatnonzero(parts > 0), np.flatnonzero(parts == 0)
             if len(np.unique(marks[learn])) < 2:
                 return
-            own = [texts[i] for i in learn]
-            network = Network(log_odds(own, marks[learn]))
-            network.train(own, marks[learn])
+            own = Bags([texts[i] for i in learn])
+            features = Features(own.words)
+            network = Network(log_odds(own, features, marks[learn]))
+            network.train(own, features, marks[learn])
             model = (network.table, network.filters, network.bias, network.weights, network.offset)
             check = check if len(np.unique(marks[check])) == 2 else learn
             bags = Bags([texts[i] for i in check])
