@@ -106,13 +106,20 @@ class Memory:
         return found
 
 
+# groups of a join that are broadcast whole; above it only the largest are
+FEW_GROUPS = 200_000
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with one row per ``key`` when a key may hold a third of all rows.
 
-    ``size`` of ``groups`` is the number of rows of the key and ``total`` their sum. Fewer than 1000
-    keys can hold more than a thousandth of the rows each; only those are broadcast, and their rows
-    never shuffle. No other key is large enough to weigh on a task.
+    ``size`` of ``groups`` is the number of rows of the key and ``total`` their sum. Up to FEW_GROUPS
+    groups, counted first, are broadcast. Beyond that both sides are shuffled, but for the fewer than
+    1000 keys that hold more than a thousandth of the rows each: those are broadcast and their rows never
+    shuffle; no other key is large enough to weigh on a task. The result is the same either way.
     """
+    if groups.count() <= FEW_GROUPS:
+        return rows.join(F.broadcast(groups), key)
     hot = F.col(size) * 1000 > total
     few = F.broadcast(groups.filter(hot))
     cold = rows.join(F.broadcast(groups.filter(hot).select(key)), key, "left_anti")

@@ -16,7 +16,7 @@ ROUNDS = 60
 
 def _with_least(edges: DataFrame, total: int) -> DataFrame:
     """(u, v) of every edge with the least v of its u; a u with very many edges does not shuffle."""
-    least = edges.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("degree"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("degree")), "least")
     return join_groups(edges, least, "u", "degree", total)
 
 
