@@ -74,8 +74,7 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = remainder(F.col("doc_id"), 7) == 2
-    model = hmm.HiddenMarkov(docs.filter(~held_out).select("text", "doc_id"), F.col("doc_id"))
-    return model.scores(docs, "doc_id", "text", held_out)
+    return hmm.HiddenMarkov(docs, held_out).scores()
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -188,9 +188,9 @@ def test_rare_words_are_joined(spark, odd, monkeypatch):
     monkeypatch.setattr(hmm, "SHARE", 12)
     docs = odd.filter("doc_id not in (6, 7)")
     held = queries.remainder(F.col("doc_id"), 7) == 2
-    model = hmm.HiddenMarkov(docs.filter(~held).select("text", "doc_id"), F.col("doc_id"))
+    model = hmm.HiddenMarkov(docs, held)
     assert 0 < len(model.often) < model.v
-    found = model.scores(docs, "doc_id", "text", held).collect()
+    found = model.scores().collect()
     check_language_model(docs, found)
     # what the words that share a symbol have between them is one
     c = [x.c for x in model.counts.collect() if x.word not in model.often]
