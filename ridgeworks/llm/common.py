@@ -58,6 +58,12 @@ def slices(texts: pa.Array, limit: int = 8 << 20) -> Iterator[tuple[int, int]]:
         first = end
 
 
+def split_rows(table: np.ndarray) -> list[bytes]:
+    """The bytes of every row."""
+    data, width = table.tobytes(), table.shape[1] * table.itemsize
+    return [data[i : i + width] for i in range(0, len(data), width)]
+
+
 class Bags:
     """Words of many texts: the different ones, and for each text their places, one after the other."""
 

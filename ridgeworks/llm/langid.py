@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Bags, Memory, slices, written
+from ridgeworks.llm.common import Bags, Memory, slices, split_rows, written
 
 LONGEST = 5
 # a word or n-gram is known if it is at least this share of its language's words or n-grams of its
@@ -26,38 +26,62 @@ LETTERS = r"[^\W\d_]+"
 NO_LANGUAGE = "und"
 
 
+_words = re.compile(LETTERS).findall
+
+
 def words_of(text: str) -> list[str]:
-    return re.findall(LETTERS, text.lower())
+    """Words of letters only, in lower case."""
+    return _words(text.lower())
 
 
-def grams(word: str, longest: int = LONGEST) -> Iterator[tuple[int, str]]:
-    """(length, n-gram) of a word with its two edges marked."""
+def grams(word: str, n: int) -> list[str]:
+    """The n-grams of a word with its two edges marked."""
     marked = f"<{word}>"
-    for n in range(1, longest + 1):
-        for i in range(len(marked) - n + 1):
-            yield n, marked[i : i + n]
+    return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
-def _counted(df: DataFrame, each, schema: str, keys: list[str]) -> DataFrame:
-    """Sums over all rows of what ``each`` adds to a counter; counted in tasks before the shuffle."""
+def count_words(rows: DataFrame) -> DataFrame:
+    """(lang, gram, n): how often each word stands in the texts (lang, text) of each language.
 
-    def rows(seen: Counter) -> pa.RecordBatch:
-        found = list(seen)
-        columns = [pa.array([x[i] for x in found]) for i in range(len(keys))]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(list(seen.values()), pa.int64())], [*keys, "n"])
+    Tasks count first; what is shuffled is one row for each word that a task has met.
+    """
+
+    def counted(seen: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for code, counter in seen.items():
+            columns = [
+                pa.array([code] * len(counter), pa.string()),
+                pa.array(list(counter), pa.string()),
+                pa.array(list(counter.values()), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: dict[str, Counter] = {}
         for batch in batches:
-            for row in zip(*[x.to_pylist() for x in batch.columns], strict=True):
-                each(seen, row)
-                if len(seen) >= FLUSH:
-                    yield rows(seen)
-                    seen = Counter()
-        if seen:
-            yield rows(seen)
+            for code, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if code not in seen:
+                    seen[code] = Counter()
+                seen[code].update(words_of(text))
+                if len(seen[code]) >= FLUSH:
+                    yield from counted({code: seen.pop(code)})
+        yield from counted(seen)
+
+    found = rows.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
-    return df.mapInArrow(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+def count_grams(words: DataFrame) -> DataFrame:
+    """(lang, length, gram, n): how often each n-gram stands in the words (lang, gram, n)."""
+    marked = F.concat(F.lit("<"), "gram", F.lit(">"))
+
+    def of_length(n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.length(marked)), lambda i: i <= F.length(marked) - n + 1)
+        return F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
+
+    lists = [of_length(n) for n in range(1, LONGEST + 1)]
+    each = words.select("lang", F.explode(F.concat(*lists)).alias("gram"), "n")
+    counts = each.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return counts.select("lang", F.length("gram").alias("length"), "gram", "n")
 
 
 class LanguageModel:
@@ -68,26 +92,11 @@ class LanguageModel:
     """
 
     def __init__(self, labelled: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE):
-        def count_words(seen, row):
-            code, content = row
-            for word, n in Counter(words_of(content)).items():
-                seen[code, word] += n
-
-        def count_grams(seen, row):
-            code, word, n = row
-            for length, gram in grams(word):
-                seen[code, length, gram] += n
-
         rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
         rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-        words = _counted(rows, count_words, "lang string, word string, n long", ["lang", "word"])
-        words = written(words, "lang-words")
-        parts = _counted(
-            words, count_grams, "lang string, length long, gram string, n long", ["lang", "length", "gram"]
-        )
-        parts = written(parts, "lang-grams")
-        known = words.select("lang", F.lit(0).cast("long").alias("length"), F.col("word").alias("gram"), "n")
-        known = known.unionByName(parts)
+        words = written(count_words(rows), "lang-words")
+        parts = written(count_grams(words), "lang-grams")
+        known = words.withColumn("length", F.lit(0)).unionByName(parts)
         totals = known.groupBy("lang", "length").agg(F.sum("n").alias("total"))
         often = known.join(F.broadcast(totals), ["lang", "length"]).filter(F.col("n") >= F.col("total") * share)
         self.langs = [row[0] for row in totals.select("lang").distinct().orderBy("lang").collect()]
@@ -157,30 +166,35 @@ class WordScorer:
 
     def __init__(self, index: list[dict[str, int]], logs: np.ndarray):
         self.words, self.levels = index[0], index[:0:-1]
-        self.logs = logs
+        self.logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: nothing is known
         self.memory = Memory(CACHE)
 
-    def _find(self, word: str) -> np.ndarray:
-        place = self.words.get(word)
-        if place is not None:
-            return self.logs[place]
-        marked = f"<{word}>"
-        found = []
-        for i in range(len(marked)):
-            for level, index in enumerate(self.levels):
-                gram = marked[i : i + LONGEST - level]
-                if len(gram) == LONGEST - level and gram in index:
-                    found.append(index[gram])
-                    break
-        if not found:
-            return np.zeros(self.logs.shape[1])
-        return self.logs[found].mean(axis=0)
+    def _find(self, words: list[str]) -> list[bytes]:
+        """Scores of every word as bytes: its own, or the mean over its known n-grams of the longest
+        length that has any, or none."""
+        found, lengths = [], []
+        for word in words:
+            place = self.words.get(word)
+            if place is not None:
+                own = [place]
+            else:
+                for level, index in enumerate(self.levels):
+                    own = [i for i in map(index.get, grams(word, LONGEST - level)) if i is not None]
+                    if own:
+                        break
+                else:
+                    own = [-1]
+            found += own
+            lengths.append(len(own))
+        lengths = np.array(lengths)
+        sums = np.add.reduceat(self.logs[found], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+        return split_rows(sums)
 
     def totals(self, bags: Bags) -> np.ndarray:
         """Sum of the scores of each text's words."""
-        known = self.memory.look_up(bags.words, lambda words: [self._find(x) for x in words])
+        known = self.memory.look_up(bags.words, self._find)
         sums = np.zeros((len(bags.lengths), self.logs.shape[1]))
         if len(bags.places):
-            table = np.array([known[x] for x in bags.words])
+            table = np.frombuffer(b"".join(map(known.__getitem__, bags.words))).reshape(len(bags.words), -1)
             sums[bags.full] = np.add.reduceat(table[bags.places], bags.starts, axis=0)
         return sums

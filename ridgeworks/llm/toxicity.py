@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Bags, Memory, slices, written
+from ridgeworks.llm.common import Bags, Memory, slices, split_rows, written
 from ridgeworks.llm.langid import LanguageModel, WordScorer, best_language, words_of
 
 # labelled rows of either label that the classifier is fitted on, expected number; chosen by hash
@@ -38,12 +38,12 @@ CACHE = 150_000
 
 
 def buckets_of(word: str) -> list[int]:
-    """Hashes of a word and of its n-grams, the edges marked."""
-    raw = f"<{word}>"
-    found = [zlib.crc32(raw.encode())]
+    """Hashes of a word and of its n-grams of bytes, the edges marked."""
+    raw = f"<{word}>".encode()
+    found = [zlib.crc32(raw) % BUCKETS]
     for n in GRAMS:
-        found += [zlib.crc32(raw[i : i + n].encode()) for i in range(len(raw) - n + 1)]
-    return [x % BUCKETS for x in found]
+        found += [zlib.crc32(raw[i : i + n]) % BUCKETS for i in range(len(raw) - n + 1)]
+    return found
 
 
 class Features:
@@ -172,12 +172,15 @@ class Scorer:
         self.count = filters[0].shape[2]
         self.memory = Memory(CACHE)
 
+    def _find(self, words: list[str]) -> list[bytes]:
+        return split_rows((Features(words).embed(self.table) @ self.stacked).astype(np.float32))
+
     def logits(self, bags: Bags) -> np.ndarray:
         """Logit of each text; a text without words gets that of no response."""
         out = np.full((len(bags.lengths), len(self.bias)), 0.0, dtype=np.float32)
         if len(bags.places):
-            known = self.memory.look_up(bags.words, lambda words: list(Features(words).embed(self.table) @ self.stacked))
-            table = np.array([known[x] for x in bags.words], dtype=np.float32)
+            known = self.memory.look_up(bags.words, self._find)
+            table = np.frombuffer(b"".join(map(known.__getitem__, bags.words)), np.float32).reshape(len(bags.words), -1)
             lengths = bags.lengths[bags.full]
             tail = bags.starts + lengths
             column, n = 0, len(bags.places)
