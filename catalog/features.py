@@ -69,7 +69,7 @@ def sign_decisions(spark, folder):
 
 
 def argmax_class(spark, folder):
-    scores = F.slice(quantise(F.col("embedding"), 8), 1, 10)
+    scores = quantise(F.col("embedding"), 8)
     return vectors(spark, folder).select("vec_id", argmax_position(scores).alias("prediction"))
 
 
@@ -245,7 +245,7 @@ ORACLES = {
         FROM lineitem""",
     "argmax_class": """
         WITH s AS (SELECT vec_id, k, floor(CAST(embedding[k + 1] AS DOUBLE) * 8) AS score
-                   FROM embeddings, range(0, 10) t(k)),
+                   FROM embeddings, range(0, 64) t(k)),
              r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, k) AS place FROM s)
         SELECT vec_id, CAST(k AS INTEGER) AS prediction FROM r WHERE place = 1""",
     "lambda_grid": """

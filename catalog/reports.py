@@ -60,7 +60,7 @@ def cost_model(spark, folder):
         F.lit(0.25).alias("cluster_overhead_s"),
     )
     model = reports.cost_model(runs)
-    return model.select("event_id", "operations", "node_s", F.round("cluster_s", 6).alias("cluster_s"))
+    return model.select("event_id", F.col("operations").cast("long").alias("operations"), "node_s", F.round("cluster_s", 6).alias("cluster_s"))
 
 
 def scaling_law(spark, folder):

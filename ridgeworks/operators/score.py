@@ -127,7 +127,7 @@ def _emit_predictions(chunks):
                 [
                     pa.array(np.full(len(y), fold, np.int32)),
                     pa.array(np.full(len(y), lambda_id, np.int32)),
-                    pa.array(ids.astype(np.int64)),
+                    pa.array(ids),
                     pa.array(y.astype(np.int32)),
                     pa.array(block.labels[pick].astype(np.int32)),
                     pa.array(scores[np.arange(len(y)), place, pick]),
@@ -163,7 +163,7 @@ def _emit_scores(chunks):
                 [
                     pa.array(np.full(len(y), fold, np.int32)),
                     pa.array(np.full(len(y), lambda_id, np.int32)),
-                    pa.array(ids.astype(np.int64)),
+                    pa.array(ids),
                     pa.array(y.astype(np.int32)),
                     to_list_array(scores[:, place, :]),
                 ],
@@ -196,6 +196,8 @@ class Scorer:
     ):
         self.context = df.sparkSession.sparkContext
         self.df, self.row_id = df, row_id
+        # predictions and scores keep the type of the row id, a file path as well as a number
+        self.id_type = df.select(row_id).schema[0].dataType.simpleString()
         self.columns = [
             F.col(features).alias("features"),
             (F.col(label) if label else F.lit(-1)).cast("int").alias("label"),
@@ -209,7 +211,7 @@ class Scorer:
         self.weights = weights if len(self.passes) == 1 else checkpoint(weights)
 
     def _parts(self, emit, schema: str, row_id: Column) -> DataFrame:
-        rows = self.df.select(*self.columns, row_id.cast("long").alias("row_id"))
+        rows = self.df.select(*self.columns, row_id.alias("row_id"))
         parts = []
         for lambda_ids, classes in self.passes:
             chosen = self.weights
@@ -227,9 +229,12 @@ class Scorer:
             whole = whole.unionAll(part)
         return whole
 
+    def _typed(self, schema: str) -> str:
+        return schema.replace("row_id long", f"row_id {self.id_type}")
+
     def predictions(self) -> DataFrame:
         """(fold, lambda_id, row_id, label, prediction, score); ties go to the lowest class."""
-        rows = self._parts(_emit_predictions, PREDICTIONS, F.col(self.row_id))
+        rows = self._parts(_emit_predictions, self._typed(PREDICTIONS), F.col(self.row_id))
         if not self.split_classes:
             return rows
         best = F.max(F.struct("score", (-F.col("prediction")).alias("_class")))
@@ -253,7 +258,7 @@ class Scorer:
         """(fold, lambda_id, row_id, label, scores) with scores in class order."""
         if self.split_classes:
             raise ValueError("score vectors need all classes of a lambda in one pass")
-        return self._parts(_emit_scores, SCORES, F.col(self.row_id))
+        return self._parts(_emit_scores, self._typed(SCORES), F.col(self.row_id))
 
 
 def scorer(df: DataFrame, weights: DataFrame, **columns) -> Scorer:

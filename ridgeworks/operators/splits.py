@@ -19,6 +19,20 @@ def row_count(df: DataFrame) -> int:
     return df.agg(F.count("*")).first()[0]
 
 
+def dense_row_count(df: DataFrame, row_id: str) -> int:
+    """Number of rows whose numbers must run from 0 to one less; on Parquet this reads footers only.
+
+    Splits by position place rows by number, so a gap would lose rows without a sign: it is an error.
+    """
+    row = F.col(row_id)
+    n, low, high = df.agg(F.count("*"), F.min(row), F.max(row)).first()
+    if n and (low, high) != (0, n - 1):
+        raise ValueError(
+            f"{row_id} runs from {low} to {high} over {n} rows; number them from 0 without gaps (row_index)"
+        )
+    return n
+
+
 def first_rows(df: DataFrame, n: int, row_id: str = "row_id") -> DataFrame:
     """The first n rows by dense row number."""
     return df.where(F.col(row_id) < n)
@@ -43,9 +57,9 @@ def positional_split(
 ) -> Split:
     """Train on the first ``int(train_frac * n)`` rows, validate on the others.
 
-    ``drop_last`` leaves the very last row out of the validation set.
+    ``drop_last`` leaves the very last row out of the validation set. Row numbers must be dense.
     """
-    n = row_count(df) if n is None else n
+    n = dense_row_count(df, row_id) if n is None else n
     cut, end = int(train_frac * n), n - int(drop_last)
     row = F.col(row_id)
     return Split(row < cut, (row >= cut) & (row < end), row >= max(cut, end), n)

@@ -44,11 +44,12 @@ def cluster_seconds(gamma: Column, n_lambda: Column, ranks: Column, node_s: Colu
 
 
 def cost_model(runs: DataFrame) -> DataFrame:
-    """Add operation count and node time to runs (n, d, k, n_lambda, v, parallel_s, overhead_s).
+    """Add operation count (a whole number of up to 38 digits) and node time to runs (n, d, k, n_lambda,
+    v, parallel_s, overhead_s).
 
     Runs that also have gamma, ranks and cluster_overhead_s get the time of the whole cluster.
     """
-    sizes = [F.col(c).cast("long") for c in ("n", "d", "k", "n_lambda", "v")]
+    sizes = [F.col(c).cast("decimal(38,0)") for c in ("n", "d", "k", "n_lambda", "v")]
     timed = runs.withColumn("operations", operations(*sizes))
     timed = timed.withColumn("node_s", F.col("parallel_s") + F.col("overhead_s"))
     if not {"gamma", "ranks", "cluster_overhead_s"} <= set(runs.columns):

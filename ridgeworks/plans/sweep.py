@@ -15,7 +15,7 @@ from ridgeworks.operators.indexing import shard_bounds, shard_of
 from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width, mean_vector
 from ridgeworks.operators.score import Scorer
 from ridgeworks.operators.solve import DENSE_LIMIT, Fold, average_weights, solve_ridge
-from ridgeworks.operators.splits import TRAIN_SHARE, Split, hash_split, positional_split, row_count
+from ridgeworks.operators.splits import TRAIN_SHARE, Split, dense_row_count, hash_split, positional_split
 from ridgeworks.operators.wide import solve_wide
 from ridgeworks.session import checkpoint
 
@@ -195,7 +195,7 @@ def fit_shards(
     **options,
 ) -> RidgeFit:
     """One fold per contiguous shard of rows, each with its own split and mean."""
-    n = row_count(df)
+    n = dense_row_count(df, columns.row_id)
     row = F.col(columns.row_id)
     small, extra = divmod(n, shards)
     shard = shard_of(row, n, shards)
@@ -209,7 +209,8 @@ def fit_shards(
         for s, (start, stop) in enumerate(shard_bounds(n, shards))
         if stop > start
     ]
-    return RidgeFit(df, folds, shard * 3 + part, columns=columns, **options)
+    validation = (inside >= cut) & (inside < end)
+    return RidgeFit(df, folds, shard * 3 + part, columns=columns, validation=validation, **options)
 
 
 def shard_accuracies(df: DataFrame, shards: int, **options) -> DataFrame:
@@ -241,12 +242,16 @@ def size_sweep(
 
     All sizes share one pass for the moments and one to score: rows are cut at every size's
     borders, and the sums of a size are the sums of the pieces below its border. Without sizes:
-    1 000, 11 000, ... 51 000 as far as there are rows.
+    1 000, 11 000, ... 51 000 as far as there are rows; with none of them the result is empty.
+
+    All sizes have the same classes, those of the largest: a class that the first rows lack is one with
+    targets of -1 everywhere there. ``classes`` sets them.
     """
     row = F.col(columns.row_id)
-    if sizes is None:
-        n = row_count(df)
-        sizes = [size for size in SIZES if size <= n]
+    n = dense_row_count(df, columns.row_id)
+    sizes = [size for size in SIZES if size <= n] if sizes is None else sizes
+    if not sizes:
+        return df.sparkSession.createDataFrame([], "n long, lambda_id int, lambda double, accuracy double")
     ends = {n: (int(train_frac * n), n - int(drop_last), n) for n in sorted(set(sizes))}
     borders = sorted({b for three in ends.values() for b in three})
     places = {b: i for i, b in enumerate([0, *borders])}
@@ -258,6 +263,7 @@ def size_sweep(
         a, b, c = places[cut], places[max(cut, end)], places[last]
         folds.append(Fold(fold, tuple(range(a)), tuple(range(a, c)), tuple(range(a, b))))
     chosen = df.where(row < max(sizes))
-    fit = RidgeFit(chosen, folds, segment, columns=columns, **options)
+    validation = segment.isin(sorted({s for f in folds for s in f.validation}))
+    fit = RidgeFit(chosen, folds, segment, columns=columns, validation=validation, **options)
     size = F.element_at(F.array(*[F.lit(n).cast("long") for n in ends]), F.col("fold") + 1)
     return fit.accuracies().select(size.alias("n"), "lambda_id", "lambda", "accuracy")

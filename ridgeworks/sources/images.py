@@ -13,8 +13,8 @@ from ridgeworks.functions.pixels import resample, to_list_array
 from ridgeworks.operators.indexing import seeded_order
 from ridgeworks.session import checkpoint
 
-# fixed value: image files lie in directories class_0, class_1, ...
-CLASS_DIRECTORY = r"class_(\d+)/"
+# fixed value: image files lie in directories class_0, class_1, ...; the last directory counts
+CLASS_DIRECTORY = r"(?:^|/)class_(\d+)/[^/]*$"
 # bytes of decoded pixels a task works on at a time
 IMAGE_BYTES = 32 * 1024 * 1024
 

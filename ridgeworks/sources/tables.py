@@ -34,7 +34,7 @@ def log_fields(line: Column, names: list[str] = LOG_COLUMNS) -> list[Column]:
 
 def parse_log(lines: DataFrame, column: str = "value", names: list[str] = LOG_COLUMNS) -> DataFrame:
     """Text lines to named string columns; blank lines are skipped."""
-    return lines.where(F.trim(column) != "").select(*log_fields(F.col(column), names))
+    return lines.where(F.col(column).rlike(r"\S")).select(*log_fields(F.col(column), names))
 
 
 def read_log(spark: SparkSession, path: str, names: list[str] = LOG_COLUMNS) -> DataFrame:
