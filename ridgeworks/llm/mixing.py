@@ -22,7 +22,7 @@ BLOCK = 256
 SHARD = 65_536
 SEED = 7
 # rows of one source that are numbered in one group
-GROUP = 50_000
+GROUP = 4_000
 # fixed values: weights of the sources in code point order, again from the first after the last
 WEIGHTS = (3.0, 1.0, 2.0)
 TOTAL_SHARE = 1.5
