@@ -75,7 +75,8 @@ def count_grams(words: DataFrame) -> DataFrame:
     marked = F.concat(F.lit("<"), "gram", F.lit(">"))
 
     def of_length(n: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.length(marked)), lambda i: i <= F.length(marked) - n + 1)
+        count = F.greatest(F.length(marked) - n + 1, F.lit(0))
+        starts = F.slice(F.sequence(F.lit(1), F.length(marked)), F.lit(1), count)
         return F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
 
     lists = [of_length(n) for n in range(1, LONGEST + 1)]
