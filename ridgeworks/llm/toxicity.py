@@ -1,9 +1,11 @@
 """Toxicity: a convolutional text classifier in numpy, with thresholds calibrated by language.
 
-A word is the mean of hashed embeddings of itself and its n-grams. Filters of several widths run over the
-words of the whole text, each keeps its highest response (so one phrase in a long text is enough), and a
-logistic layer weighs them. The score is shifted, language by language, so that the threshold which parts
-the labelled rows best lies at 0.7. The language is one that a model reads from the text.
+A word is the hashed embedding of itself and the mean of those of its n-grams. Filters of several widths run
+over the words of the whole text, each keeps its highest response (so one phrase in a long text is enough), and
+a logistic layer weighs them. The filters of one word start on different groups of words: a text in which many
+groups respond has several suspect words, however long it is. The score is shifted, language by language, so
+that the threshold which parts the labelled rows best lies at 0.7. The language is one that a model reads from
+the text.
 """
 
 from __future__ import annotations
@@ -21,28 +23,34 @@ from ridgeworks.llm.langid import LanguageModel, WordScorer, best_language, word
 
 # labelled rows of either label that the classifier is fitted on, expected number; chosen by hash
 SAMPLE_ROWS = 3000
-BUCKETS = 1 << 17
-WIDTH = 8
-FILTERS = 8
-SPANS = (1, 2, 3)
+# hash buckets of words; those of n-grams follow
+WORDS = 1 << 18
+BUCKETS = WORDS + (1 << 17)
+# words are dealt to this many groups, each with a dimension and a filter of its own; one dimension is for n-grams
+GROUPS = 15
+WIDTH = GROUPS + 1
+# filters of each width in words
+FILTERS = {1: WIDTH, 2: 4, 3: 4}
 GRAMS = (4, 5)
-EPOCHS = 4
+EPOCHS = 2
 BATCH = 64
 RATE = 0.02
 # texts that a bucket's log odds count as seen before, at the usual rate
 EVIDENCE = 10.0
 THRESHOLD = 0.7
 # labelled rows of either label that a language needs for a threshold of its own
-FEWEST = 20
+FEWEST = 15
+# parts of the labelled rows; the thresholds of each come from a network that has not seen it
+PARTS = 3
 CACHE = 150_000
 
 
 def buckets_of(word: str) -> list[int]:
-    """Hashes of a word and of its n-grams of bytes, the edges marked."""
+    """Bucket of a word, then those of its n-grams of bytes, the edges marked."""
     raw = f"<{word}>".encode()
-    found = [zlib.crc32(raw) % BUCKETS]
+    found = [zlib.crc32(raw) % WORDS]
     for n in GRAMS:
-        found += [zlib.crc32(raw[i : i + n]) % BUCKETS for i in range(len(raw) - n + 1)]
+        found += [WORDS + zlib.crc32(raw[i : i + n]) % (BUCKETS - WORDS) for i in range(len(raw) - n + 1)]
     return found
 
 
@@ -54,18 +62,22 @@ class Features:
         self.lengths = np.array([len(x) for x in found], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.buckets = np.array([b for x in found for b in x], dtype=np.int64)
+        # the word counts as much as all its n-grams
+        self.shares = np.repeat(1 / np.maximum(self.lengths - 1, 1), self.lengths).astype(np.float32)
+        self.shares[self.starts] = 1
 
-    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the words at these places, one after the other, and how many each has."""
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of the words at these places, one after the other, their shares, and how many each has."""
         lengths = self.lengths[words]
         shift = np.repeat(self.starts[words] - (np.cumsum(lengths) - lengths), lengths)
-        return self.buckets[shift + np.arange(lengths.sum())], lengths
+        at = shift + np.arange(lengths.sum())
+        return self.buckets[at], self.shares[at], lengths
 
     def embed(self, table: np.ndarray) -> np.ndarray:
-        """Mean of the embeddings of each word's buckets."""
+        """Embedding of each word: its own and the mean of its n-grams'."""
         if not len(self.lengths):
             return np.zeros((0, table.shape[1]), table.dtype)
-        return np.add.reduceat(table[self.buckets], self.starts, axis=0) / self.lengths[:, None].astype(table.dtype)
+        return np.add.reduceat(table[self.buckets] * self.shares[:, None], self.starts, axis=0)
 
 
 def _highest(responses: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,30 +92,33 @@ class Network:
     """Embeddings, one weight per (span, offset, dimension, filter), and the logistic layer."""
 
     def __init__(self, odds: np.ndarray):
-        """``odds``: log odds of each bucket; the first dimension of the embeddings starts from them."""
+        """``odds``: log odds of each bucket; a word's start in its group's dimension, an n-gram's in the last."""
         random = np.random.default_rng(3)
-        self.table = random.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
-        self.table[:, 0] = odds
+        self.table = random.normal(0, 0.02, (BUCKETS, WIDTH)).astype(np.float32)
+        own = np.where(np.arange(BUCKETS) < WORDS, np.arange(BUCKETS) % GROUPS, GROUPS)
+        self.table[np.arange(BUCKETS), own] = odds
         self.filters = []
-        for span in SPANS:
-            weights = random.normal(0, 0.1, (span, WIDTH, FILTERS)).astype(np.float32)
-            weights[:, 0, ::2] += 1.0 / span
+        for span, count in FILTERS.items():
+            weights = random.normal(0, 0.02, (span, WIDTH, count)).astype(np.float32)
+            weights += np.eye(WIDTH, dtype=np.float32) if span == 1 else np.float32(0.5 / span)
             self.filters.append(weights)
-        self.bias = np.full(len(SPANS) * FILTERS, -1.0, dtype=np.float32)
-        self.weights = np.tile([0.3, 0.0], len(SPANS) * FILTERS // 2).astype(np.float32)
+        count = sum(FILTERS.values())
+        self.bias = np.full(count, -1.0, dtype=np.float32)
+        self.weights = np.full(count, 0.5, dtype=np.float32)
         self.offset = np.float32(-1.0)
 
     def arrays(self) -> list[np.ndarray]:
         return [self.table, *self.filters, self.bias, self.weights]
 
-    def train(self, bags: Bags, features: Features, labels: np.ndarray) -> None:
-        """Adagrad over shuffled batches; either label weighs as much in sum."""
+    def train(self, bags: Bags, features: Features, labels: np.ndarray, rows: np.ndarray) -> None:
+        """Adagrad over shuffled batches of ``rows``; either label weighs as much in sum."""
         random = np.random.default_rng(5)
         firsts = np.cumsum(bags.lengths) - bags.lengths
-        weigh = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
+        ones = labels[rows].sum()
+        weigh = np.where(labels == 1, 0.5 / max(1, ones), 0.5 / max(1, len(rows) - ones)) * len(rows)
         past = [np.full(x.shape, 1e-3, np.float32) for x in self.arrays()]
         past_offset = 1e-3
-        usable = np.flatnonzero(bags.lengths)
+        usable = rows[bags.lengths[rows] > 0]
         for _ in range(EPOCHS):
             order = random.permutation(usable)
             for first in range(0, len(order), BATCH):
@@ -112,12 +127,13 @@ class Network:
                 words, own = np.unique(np.concatenate(places), return_inverse=True)
                 lengths = bags.lengths[chosen]
                 starts = np.cumsum(lengths) - lengths
-                buckets, counts = features.of(words)
-                vectors = np.add.reduceat(self.table[buckets], np.cumsum(counts) - counts, axis=0) / counts[:, None]
-                x = np.concatenate([vectors[own], np.zeros((max(SPANS), WIDTH))]).astype(np.float32)
+                buckets, shares, counts = features.of(words)
+                spread = self.table[buckets] * shares[:, None]
+                vectors = np.add.reduceat(spread, np.cumsum(counts) - counts, axis=0)
+                x = np.concatenate([vectors[own], np.zeros((max(FILTERS), WIDTH))]).astype(np.float32)
                 tail = starts + lengths  # a window may not reach into the next text
                 pooled, spots = [], []
-                for span, weights in zip(SPANS, self.filters, strict=True):
+                for span, weights in zip(FILTERS, self.filters, strict=True):
                     responses = x[: len(own)] @ weights[0]
                     for j in range(1, span):
                         part = x[j : j + len(own)] @ weights[j]
@@ -136,8 +152,10 @@ class Network:
                 grads[-1][:] = np.where(live, hidden, 0).T @ error
                 grads[-2][:] = grad_hidden.sum(axis=0)
                 grad_x = np.zeros_like(x)
-                for k, (span, weights) in enumerate(zip(SPANS, self.filters, strict=True)):
-                    g = grad_hidden[:, k * FILTERS : (k + 1) * FILTERS]
+                column = 0
+                for k, (span, weights) in enumerate(zip(FILTERS, self.filters, strict=True)):
+                    g = grad_hidden[:, column : column + FILTERS[span]]
+                    column += FILTERS[span]
                     for j in range(span):
                         at = spots[k] + j
                         inside = (at < tail[:, None]) & (g != 0)
@@ -148,12 +166,12 @@ class Network:
                 hit = np.flatnonzero(grad_x[: len(own)].any(axis=1))
                 grad_words = np.zeros((len(words), WIDTH), np.float32)
                 np.add.at(grad_words, own[hit], grad_x[hit])
-                grad_words /= counts[:, None]
                 touched = np.flatnonzero(grad_words.any(axis=1))
                 for w in touched.tolist():
-                    rows = features.of(words[w : w + 1])[0]
-                    past[0][rows] += grad_words[w] ** 2
-                    self.table[rows] -= RATE * grad_words[w] / np.sqrt(past[0][rows])
+                    rows, shares, _ = features.of(words[w : w + 1])
+                    grad = grad_words[w] * shares[:, None]
+                    past[0][rows] += grad**2
+                    self.table[rows] -= RATE * grad / np.sqrt(past[0][rows])
                 for array, grad, sums in zip(self.arrays()[1:], grads, past[1:], strict=True):
                     sums += grad**2
                     array -= RATE * grad / np.sqrt(sums)
@@ -165,52 +183,59 @@ class Scorer:
     """Logits of texts; remembers what every filter position gives for a word."""
 
     def __init__(self, table, filters, bias, weights, offset):
-        self.table, self.bias, self.weights, self.offset = table, bias, weights, offset
+        self.table, self.filters, self.bias, self.weights, self.offset = table, filters, bias, weights, offset
         self.spans = [len(x) for x in filters]
         # every (span, offset) side by side: a word's responses are one product
         self.stacked = np.concatenate([part for x in filters for part in x], axis=1)
-        self.count = filters[0].shape[2]
+        self.counts = [x.shape[2] for x in filters]
         self.memory = Memory(CACHE)
 
     def _find(self, words: list[str]) -> list[bytes]:
-        return split_rows((Features(words).embed(self.table) @ self.stacked).astype(np.float32))
+        return split_rows(self.responses(Features(words)))
+
+    def responses(self, features: Features) -> np.ndarray:
+        """What every filter position gives for each word."""
+        return (features.embed(self.table) @ self.stacked).astype(np.float32)
 
     def logits(self, bags: Bags) -> np.ndarray:
         """Logit of each text; a text without words gets that of no response."""
+        known = self.memory.look_up(bags.words, self._find) if bags.words else {}
+        table = np.frombuffer(b"".join(map(known.__getitem__, bags.words)), np.float32)
+        return self.pooled(bags, table.reshape(len(bags.words), self.stacked.shape[1]))
+
+    def pooled(self, bags: Bags, table: np.ndarray) -> np.ndarray:
+        """Logit of each text from the responses of its words."""
         out = np.full((len(bags.lengths), len(self.bias)), 0.0, dtype=np.float32)
         if len(bags.places):
-            known = self.memory.look_up(bags.words, self._find)
-            table = np.frombuffer(b"".join(map(known.__getitem__, bags.words)), np.float32).reshape(len(bags.words), -1)
             lengths = bags.lengths[bags.full]
             tail = bags.starts + lengths
-            column, n = 0, len(bags.places)
-            for k, span in enumerate(self.spans):
-                responses = table[:, column : column + self.count][bags.places]
+            column, first, n = 0, 0, len(bags.places)
+            for span, count in zip(self.spans, self.counts, strict=True):
+                responses = table[:, column : column + count][bags.places]
                 for j in range(1, span):
-                    column += self.count
+                    column += count
                     if n > j:
-                        part = table[:, column : column + self.count][bags.places[j:]]
+                        part = table[:, column : column + count][bags.places[j:]]
                         for back in range(1, j + 1):
                             spots = tail[lengths >= back] - back
                             part[spots[spots < n - j]] = 0
                         responses[: n - j] += part
-                column += self.count
-                out[bags.full, k * self.count : (k + 1) * self.count] = np.maximum.reduceat(
-                    responses, bags.starts, axis=0
-                )
+                column += count
+                out[bags.full, first : first + count] = np.maximum.reduceat(responses, bags.starts, axis=0)
+                first += count
         hidden = np.maximum(out + self.bias, 0)
         hidden[bags.lengths == 0] = 0
         return hidden @ self.weights + self.offset
 
 
-def log_odds(bags: Bags, features: Features, labels: np.ndarray) -> np.ndarray:
-    """Log odds of either label for texts that hold a bucket, against those of all texts."""
+def log_odds(bags: Bags, features: Features, labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Log odds of either label for those of ``rows`` that hold a bucket, against those of all."""
     held = np.zeros((2, BUCKETS))
     ends = np.cumsum(bags.lengths)
-    for first, end, label in zip(ends - bags.lengths, ends, labels.tolist(), strict=True):
-        seen, _ = features.of(np.unique(bags.places[first:end]))
+    for first, end, label in zip((ends - bags.lengths)[rows], ends[rows], labels[rows].tolist(), strict=True):
+        seen, _, _ = features.of(np.unique(bags.places[first:end]))
         held[label][np.unique(seen)] += 1
-    share = labels.mean()
+    share = labels[rows].mean()
     odds = np.log((held[1] + EVIDENCE * share) / (held[0] + EVIDENCE * (1 - share)))
     return odds - np.log(share / (1 - share))
 
@@ -230,10 +255,45 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((logits[best] + logits[best + 1]) / 2)
 
 
+def trained(bags: Bags, features: Features, marks: np.ndarray, rows: np.ndarray) -> Scorer:
+    """A network fitted on ``rows``."""
+    network = Network(log_odds(bags, features, marks, rows))
+    network.train(bags, features, marks, rows)
+    return Scorer(network.table, network.filters, network.bias, network.weights, network.offset)
+
+
+def fit(
+    texts: list[list[str]], marks: np.ndarray, parts: np.ndarray, langs: list[str], scorer: WordScorer
+) -> tuple[Scorer, dict[str, float]] | None:
+    """The network fitted on all rows and the threshold of each language; nothing if there is one label only.
+
+    Thresholds are set on logits that a row gets from a network fitted on the other parts.
+    """
+    if len(np.unique(marks)) < 2:
+        return None
+    bags = Bags(texts)
+    features = Features(bags.words)
+    network = trained(bags, features, marks, np.arange(len(marks)))
+    logits = network.pooled(bags, network.responses(features)).astype(float)
+    for part in range(PARTS):
+        learn, check = np.flatnonzero(parts != part), parts == part
+        if check.any() and len(np.unique(marks[learn])) == 2:
+            other = trained(bags, features, marks, learn)
+            logits[check] = other.pooled(bags, other.responses(features))[check]
+    names = np.array(best_language(bags, langs, scorer)[0])
+    limits = {"": best_threshold(logits, marks)}
+    for name in langs:
+        at = names == name
+        if min(marks[at].sum(), (1 - marks[at]).sum()) >= FEWEST:
+            limits[name] = best_threshold(logits[at], marks[at])
+    return network, limits
+
+
 class ToxicityModel:
     """Fitted on about ``sample_rows`` rows of either label of ``labelled`` (doc_id, text, lang, label).
 
-    The rows are chosen by a hash of doc_id. A quarter of them is kept from training and sets the thresholds.
+    The rows are chosen by a hash of doc_id; they train the network, and networks fitted on two thirds of them
+    set the thresholds on the rest.
     Null labels are left out. With one label only, or none, every score is 0.
     """
 
@@ -259,33 +319,20 @@ class ToxicityModel:
                 texts += [words_of(x or "") for x in batch.column(0).to_pylist()]
                 marks += batch.column(1).to_pylist()
                 parts += batch.column(2).to_pylist()
-            marks, parts = np.array(marks, dtype=np.int64), np.array(parts, dtype=np.int64)
-            learn, check = np.flatnonzero(parts > 0), np.flatnonzero(parts == 0)
-            if len(np.unique(marks[learn])) < 2:
+            words = WordScorer(*shared.value["tables"])
+            found = fit(texts, np.array(marks, np.int64), np.array(parts, np.int64), langs, words)
+            if not found:
                 return
-            own = Bags([texts[i] for i in learn])
-            features = Features(own.words)
-            network = Network(log_odds(own, features, marks[learn]))
-            network.train(own, features, marks[learn])
-            model = (network.table, network.filters, network.bias, network.weights, network.offset)
-            check = check if len(np.unique(marks[check])) == 2 else learn
-            bags = Bags([texts[i] for i in check])
-            logits = Scorer(*model).logits(bags)
-            names = np.array(best_language(bags, langs, WordScorer(*shared.value["tables"]))[0])
-            limits = {"": best_threshold(logits, marks[check])}
-            for name in langs:
-                at = names == name
-                if min(marks[check][at].sum(), (1 - marks[check][at]).sum()) >= FEWEST:
-                    limits[name] = best_threshold(logits[at], marks[check][at])
+            network, limits = found
             kept = [network.table, *network.filters, network.bias, network.weights, np.float32([network.offset])]
             blobs = [pa.array([x.tobytes()], pa.binary()) for x in kept]
             blobs += [pa.array([list(limits)], pa.list_(pa.string())), pa.array([list(limits.values())])]
             yield pa.RecordBatch.from_arrays(blobs, [f"c{i}" for i in range(len(blobs))])
 
-        count = 4 + len(SPANS)
+        count = 4 + len(FILTERS)
         schema = ", ".join([f"c{i} binary" for i in range(count)])
         schema += f", c{count} array<string>, c{count + 1} array<double>"
-        part = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(4)).cast("int")
+        part = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(PARTS)).cast("int")
         rows = sample.select("text", "label", part.alias("part"), "doc_id").repartition(1).sortWithinPartitions("doc_id")
         found = rows.select("text", "label", "part").mapInArrow(run, schema).collect()
         self.model = None
@@ -293,7 +340,7 @@ class ToxicityModel:
             flat = [np.frombuffer(x, np.float32) for x in found[0][:count]]
             self.model = (
                 flat[0].reshape(BUCKETS, WIDTH),
-                [x.reshape(span, WIDTH, FILTERS) for span, x in zip(SPANS, flat[1:], strict=False)],
+                [x.reshape(span, WIDTH, n) for (span, n), x in zip(FILTERS.items(), flat[1:], strict=False)],
                 flat[count - 3],
                 flat[count - 2],
                 flat[count - 1][0],

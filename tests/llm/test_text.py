@@ -226,7 +226,6 @@ def test_forward_and_expected_counts_against_enumeration():
         assert found == pytest.approx(expected)
 
 
-@pytest.mark.xfail(reason="known fault: recall on held-out rows is 74 of 144 with the few labels of sf0.1", strict=False)
 def test_toxicity_query(spark):
     folder = "/root/testdata/sf0.1"
     rows = queries.op4_toxicity(spark, folder).collect()
