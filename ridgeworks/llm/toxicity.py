@@ -32,6 +32,8 @@ WIDTH = GROUPS + 1
 # filters of each width in words
 FILTERS = {1: WIDTH, 2: 4, 3: 4}
 GRAMS = (4, 5)
+# an odd number near 2^64 over the golden ratio
+MULTIPLIER = 0x9E3779B97F4A7C15
 EPOCHS = 2
 BATCH = 64
 RATE = 0.02
@@ -45,25 +47,34 @@ PARTS = 3
 CACHE = 150_000
 
 
-def buckets_of(word: str) -> list[int]:
-    """Bucket of a word, then those of its n-grams of bytes, the edges marked."""
-    raw = f"<{word}>".encode()
-    found = [zlib.crc32(raw) % WORDS]
-    for n in GRAMS:
-        found += [WORDS + zlib.crc32(raw[i : i + n]) % (BUCKETS - WORDS) for i in range(len(raw) - n + 1)]
-    return found
-
-
 class Features:
-    """Hash buckets of a list of words, one after the other."""
+    """Hash buckets of a list of words, one after the other: of the word, then of its n-grams of bytes.
+
+    The edges of a word are marked. An n-gram is read as a number and hashed by multiplication.
+    """
 
     def __init__(self, words: list[str]):
-        found = [buckets_of(x) for x in words]
-        self.lengths = np.array([len(x) for x in found], dtype=np.int64)
+        raw = [f"<{word}>".encode() for word in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        firsts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
+        grams = {n: np.maximum(sizes - n + 1, 0) for n in GRAMS}
+        self.lengths = 1 + sum(grams.values())
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.buckets = np.array([b for x in found for b in x], dtype=np.int64)
+        self.buckets = np.empty(int(self.lengths.sum()), dtype=np.int64)
+        self.buckets[self.starts] = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % WORDS
+        place = self.starts + 1
+        for n, counts in grams.items():
+            step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            at = np.repeat(firsts, counts) + step
+            value = np.full(len(at), n, dtype=np.uint64)
+            for j in range(n):
+                value = (value << np.uint64(8)) | data[at + j]
+            value *= np.uint64(MULTIPLIER)
+            self.buckets[np.repeat(place, counts) + step] = WORDS + (value >> np.uint64(32)) % (BUCKETS - WORDS)
+            place = place + counts
         # the word counts as much as all its n-grams
-        self.shares = np.repeat(1 / np.maximum(self.lengths - 1, 1), self.lengths).astype(np.float32)
+        self.shares = np.repeat((1 / np.maximum(self.lengths - 1, 1)).astype(np.float32), self.lengths)
         self.shares[self.starts] = 1
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,11 +84,15 @@ class Features:
         at = shift + np.arange(lengths.sum())
         return self.buckets[at], self.shares[at], lengths
 
-    def embed(self, table: np.ndarray) -> np.ndarray:
-        """Embedding of each word: its own and the mean of its n-grams'."""
-        if not len(self.lengths):
-            return np.zeros((0, table.shape[1]), table.dtype)
-        return np.add.reduceat(table[self.buckets] * self.shares[:, None], self.starts, axis=0)
+    def embed(self, table: np.ndarray, step: int = 1 << 15) -> np.ndarray:
+        """Embedding of each word, its own and the mean of its n-grams', ``step`` words at a time."""
+        out = np.zeros((len(self.lengths), table.shape[1]), table.dtype)
+        for first in range(0, len(out), step):
+            starts = self.starts[first : first + step]
+            end = starts[-1] + self.lengths[first : first + step][-1]
+            rows = table[self.buckets[starts[0] : end]] * self.shares[starts[0] : end, None]
+            np.add.reduceat(rows, starts - starts[0], axis=0, out=out[first : first + step])
+        return out
 
 
 def _highest(responses: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
