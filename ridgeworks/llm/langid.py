@@ -71,16 +71,16 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 def count_grams(words: DataFrame) -> DataFrame:
-    """(lang, length, gram, n): how often each n-gram stands in the words (lang, gram, n)."""
-    marked = F.concat(F.lit("<"), "gram", F.lit(">"))
+    """(lang, length, gram, n): how often each n-gram stands in the words (lang, gram, n).
 
-    def of_length(n: int) -> Column:
-        count = F.greatest(F.length(marked) - n + 1, F.lit(0))
-        starts = F.slice(F.sequence(F.lit(1), F.length(marked)), F.lit(1), count)
-        return F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
-
-    lists = [of_length(n) for n in range(1, LONGEST + 1)]
-    each = words.select("lang", F.explode(F.concat(*lists)).alias("gram"), "n")
+    Equal endings of words, cut to the longest n-gram, come together first; the n-grams are their beginnings.
+    """
+    marked = words.select("lang", F.concat(F.lit("<"), "gram", F.lit(">")).alias("marked"), "n")
+    placed = marked.select("*", F.explode(F.sequence(F.lit(1), F.length("marked"))).alias("at"))
+    longest = F.substring("marked", F.col("at"), F.lit(LONGEST)).alias("longest")
+    longest = placed.select("lang", longest, "n").groupBy("lang", "longest").agg(F.sum("n").alias("n"))
+    shorter = [F.when(F.length("longest") >= n, F.substring("longest", 1, n)) for n in range(1, LONGEST + 1)]
+    each = longest.select("lang", F.explode(F.array(*shorter)).alias("gram"), "n").filter(F.col("gram").isNotNull())
     counts = each.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return counts.select("lang", F.length("gram").alias("length"), "gram", "n")
 
