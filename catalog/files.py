@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from catalog import features
 from catalog.common import table
 from catalog.hourly import CLEAN, log_lines
 from ridgeworks.plans.hourly import clean_hourly
 from ridgeworks.session import shared_path
+from ridgeworks.sources.idx import place_of, read_idx_images
+from ridgeworks.sources.images import image_vectors, read_image_tree
 from ridgeworks.sources.tables import append_results, read_csv, read_log, write_csv
 
 
@@ -52,7 +60,69 @@ def results_appended(spark, folder):
     return spark.read.parquet(path).withColumnRenamed("lambda", "lam")
 
 
+def _put(path, body):
+    where, inner = place_of(path)
+    where.create_dir(inner.rsplit("/", 1)[0])
+    with where.open_output_stream(inner) as stream:
+        stream.write(body)
+
+
+def _write_idx(path, part):
+    """One image file of 8 x 8 pixels and its label file; the rows in order of vec_id."""
+    part = part.sort_by("vec_id")
+    name, n = f"{part.column('part')[0].as_py():09d}", part.num_rows
+    pixels = b"".join(bytes(x) for x in part.column("pixels").to_pylist())
+    _put(f"{path}/images/{name}", struct.pack(">HBB3I", 0, 8, 3, n, 8, 8) + pixels)
+    _put(f"{path}/labels/{name}", struct.pack(">HBBI", 0, 8, 1, n) + bytes(part.column("label").to_pylist()))
+    return pa.table({"n": pa.array([n], pa.int64())})
+
+
+def _pixels():
+    return F.transform("embedding", lambda x: F.pmod(F.floor(x.cast("double") * 65536), F.lit(256)).cast("int"))
+
+
+def idx_images(spark, folder):
+    """Embeddings written by tasks as a folder of IDX images and one of labels, 256 rows a file, and read."""
+    path = shared_path(spark, "idx")
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", _pixels().alias("pixels"))
+    parts = rows.withColumn("part", F.floor(F.col("vec_id") / 256)).groupBy("part")
+    parts.applyInArrow(partial(_write_idx, path), "n long").agg(F.sum("n")).collect()
+    read = read_idx_images(spark, f"{path}/images", f"{path}/labels")
+    return read.select("row_id", "label", F.posexplode("features").alias("pos", "v"))
+
+
+def _png(width, height, pixels):
+    """An 8-bit red-green-blue PNG file."""
+    lines = b"".join(b"\0" + pixels[i : i + 3 * width] for i in range(0, 3 * width * height, 3 * width))
+
+    def chunk(name, data):
+        return struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
+
+    header = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def _write_pngs(path, batches):
+    for batch in batches:
+        for name, red in zip(batch.column("name").to_pylist(), batch.column("pixels").to_pylist(), strict=True):
+            _put(f"{path}/{name}", _png(8, 8, b"".join(bytes([v, v // 2, 255 - v]) for v in red)))
+        yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+
+def image_tree(spark, folder):
+    """A tree of PNG files, one per embedding, written by tasks and read to black and white vectors."""
+    path = shared_path(spark, "images")
+    name = F.concat(F.lit("class_"), F.col("label"), F.lit("/"), F.col("vec_id"), F.lit(".png")).alias("name")
+    rows = table(spark, folder, "embeddings").select(name, _pixels().alias("pixels"))
+    rows.mapInArrow(partial(_write_pngs, path), "n long").agg(F.sum("n")).collect()
+    found = image_vectors(read_image_tree(spark, path), (4, 6))
+    vec_id = F.regexp_extract("origin", "/([0-9]+)[.]png$", 1).cast("long").alias("vec_id")
+    return found.select(vec_id, "label", F.posexplode("features").alias("pos", "v"))
+
+
 QUERIES = {
+    "idx_images": idx_images,
+    "image_tree": image_tree,
     "csv_numbered": csv_numbered,
     "csv_plain": csv_plain,
     "log_file": log_file,
@@ -60,6 +130,13 @@ QUERIES = {
 }
 
 ORACLES = {
+    "idx_images": """
+        SELECT vec_id AS row_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+               CAST((CAST(floor(CAST(unnest(embedding) AS DOUBLE) * 65536) AS BIGINT) % 256 + 256) % 256 AS INTEGER) AS v
+        FROM embeddings""",
+    "image_tree": f"""
+        SELECT CAST(regexp_extract(origin, '/([0-9]+)[.]png$', 1) AS BIGINT) AS vec_id, label, pos, v
+        FROM ({features.ORACLES["image_pixels"]})""",
     "csv_numbered": """
         SELECT row_number() OVER (ORDER BY o_orderkey) AS row, o_orderkey, o_orderpriority,
                CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS price

@@ -103,6 +103,8 @@ def _partials(
             if batch.num_rows == 0:
                 continue
             x = to_matrix(batch.column("features"))
+            if not np.isfinite(x.sum()) and not np.isfinite(x).all():
+                raise ValueError("feature vector with a value that is not finite")
             if shift is not None:
                 x = x - shift
             y = batch.column("label").to_numpy(zero_copy_only=False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ridgeworks.plans.sweep import Columns, ridge_sweep
-from ridgeworks.session import checkpoint
+from ridgeworks.session import stored
 from ridgeworks.sources.images import image_vectors, read_image_tree
 
 
@@ -17,6 +17,6 @@ def image_sweep(
     Splitting by the hash of the file name is the same as shuffling by it and splitting by
     position, without moving a pixel.
     """
-    vectors = checkpoint(image_vectors(read_image_tree(spark, path), shape))
+    vectors = stored(image_vectors(read_image_tree(spark, path), shape), "image-vectors")
     columns = Columns("origin", "label", "features")
     return ridge_sweep(vectors, split="hash", seed=seed, columns=columns, **options)

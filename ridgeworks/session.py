@@ -50,6 +50,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Run ``df`` once, keep it as Parquet in the shared checkpoint folder and read that: later jobs read
+    only the columns they use."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path for a table in the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)

@@ -1,4 +1,4 @@
-"""IDX files (unsigned-byte images and labels) as a Spark data source."""
+"""IDX files (unsigned-byte images and labels), or folders of them, as a Spark data source."""
 
 from __future__ import annotations
 
@@ -20,8 +20,27 @@ UNSIGNED_BYTE = 0x08
 ROWS_PER_BATCH = 4096
 
 
+def place_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
+def _files(path: str) -> list[str]:
+    """The file itself, or the files of a folder by name; hidden ones are left out."""
+    where, inner = place_of(path)
+    if where.get_file_info(inner).type != fs.FileType.Directory:
+        return [path]
+    found = [x.base_name for x in where.get_file_info(fs.FileSelector(inner)) if x.type == fs.FileType.File]
+    found = [f"{path.rstrip('/')}/{name}" for name in sorted(found) if name[0] not in "._"]
+    if not found:
+        raise ValueError(f"{path} holds no IDX file")
+    return found
+
+
 def _open(path: str):
-    where, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    where, inner = place_of(path)
     raw = where.open_input_file(inner)
     return gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
 
@@ -36,8 +55,10 @@ def _header(stream) -> tuple[int, list[int]]:
 
 
 class RecordRange(InputPartition):
-    def __init__(self, first: int, count: int):
-        self.first, self.count = first, count
+    """Records of one file; ``row`` is the row number of the first of them."""
+
+    def __init__(self, path: str, labels: str | None, first: int, count: int, row: int):
+        self.path, self.labels, self.first, self.count, self.row = path, labels, first, count, row
 
 
 def _sizes(path: str) -> list[int]:
@@ -62,7 +83,8 @@ def _records(path: str, first: int, count: int) -> Iterator[np.ndarray]:
 class IdxReader(DataSourceReader):
     """Fixed-width records, so any byte range of an uncompressed file is a partition of its own.
 
-    A label file given beside an image file is read over the same range of records.
+    A label file given beside an image file is read over the same range of records. Row numbers go on
+    from one file of a folder to the next; labels then lie in a folder with as many files.
     """
 
     def __init__(self, options):
@@ -70,19 +92,30 @@ class IdxReader(DataSourceReader):
         self.partition_bytes = int(options.get("partitionBytes", 64 * 1024 * 1024))
 
     def partitions(self):
-        rows, *shape = _sizes(self.path)
-        if self.labels and _sizes(self.labels) != [rows]:
-            raise ValueError(f"{self.labels} does not hold one label for each of {rows} records")
-        step = rows if self.path.endswith(".gz") else self.partition_bytes // math.prod(shape)
-        step = max(1, step)
-        return [RecordRange(i, min(step, rows - i)) for i in range(0, rows, step)]
+        files = _files(self.path)
+        labels = _files(self.labels) if self.labels else [None] * len(files)
+        if len(labels) != len(files):
+            raise ValueError(f"{self.labels} does not hold one label file for each of {len(files)} files")
+        found, before, common = [], 0, None
+        for path, beside in zip(files, labels, strict=True):
+            rows, *shape = _sizes(path)
+            common = shape if common is None else common
+            if shape != common:
+                raise ValueError(f"records of {path} differ in shape from those before")
+            if beside and _sizes(beside) != [rows]:
+                raise ValueError(f"{beside} does not hold one label for each of {rows} records")
+            step = rows if path.endswith(".gz") else self.partition_bytes // max(1, math.prod(shape))
+            step = max(1, step)
+            found += [RecordRange(path, beside, i, min(step, rows - i), before + i) for i in range(0, rows, step)]
+            before += rows
+        return found
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         span = partition.first, partition.count
-        vectors = len(_sizes(self.path)) > 1
-        labels = _records(self.labels, *span) if self.labels else None
-        row = partition.first
-        for data in _records(self.path, *span):
+        vectors = len(_sizes(partition.path)) > 1
+        labels = _records(partition.labels, *span) if partition.labels else None
+        row = partition.row
+        for data in _records(partition.path, *span):
             columns = {"row_id": pa.array(np.arange(row, row + len(data), dtype=np.int64))}
             row += len(data)
             if labels is not None:
@@ -102,7 +135,7 @@ class IdxSource(DataSource):
         return "idx"
 
     def schema(self):
-        if len(_sizes(self.options["path"])) == 1:
+        if len(_sizes(_files(self.options["path"])[0])) == 1:
             return "row_id long, label int"
         return f"row_id long,{' label int,' if self.options.get('labels') else ''} features array<int>"
 
@@ -113,7 +146,7 @@ class IdxSource(DataSource):
 def read_idx(
     spark: SparkSession, path: str, labels: str | None = None, partition_bytes: int | None = None
 ) -> DataFrame:
-    """One IDX file, or an image file with its label file."""
+    """One IDX file or a folder of them, or images with their labels, each a file or a folder."""
     spark.dataSource.register(IdxSource)
     reader = spark.read.format("idx")
     if labels:

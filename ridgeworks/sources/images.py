@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import resample, to_list_array
 from ridgeworks.operators.indexing import seeded_order
-from ridgeworks.session import checkpoint
+from ridgeworks.session import stored
 
 # fixed value: image files lie in directories class_0, class_1, ...; the last directory counts
 CLASS_DIRECTORY = r"(?:^|/)class_(\d+)/[^/]*$"
@@ -79,6 +79,6 @@ def image_features(
     spark: SparkSession, path: str, shape: tuple[int, int] | None = (40, 60), seed: int = 0
 ) -> DataFrame:
     """Image tree to shuffled training rows (row_id, label, features); decoded once."""
-    vectors = checkpoint(image_vectors(read_image_tree(spark, path), shape))
+    vectors = stored(image_vectors(read_image_tree(spark, path), shape), "image-vectors")
     order = seeded_order(vectors.select("origin"), "origin", seed, "row_id")
     return vectors.join(order, "origin").select("row_id", "label", "features")

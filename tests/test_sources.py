@@ -70,6 +70,27 @@ def test_idx_labels_alone(spark, tmp_path):
     assert [(r["row_id"], r["label"]) for r in rows] == [(i, i) for i in range(9)]
 
 
+def test_idx_folder(spark, tmp_path):
+    (tmp_path / "images").mkdir(), (tmp_path / "labels").mkdir()
+    for name, n in (("a", 3), ("b", 0), ("c", 5)):
+        write_idx(tmp_path / "images" / name, np.full((n, 2, 2), n))
+        write_idx(tmp_path / "labels" / name, np.arange(n))
+    (tmp_path / "images" / "_SUCCESS").write_bytes(b"")
+    rows = idx.read_idx_images(spark, str(tmp_path / "images"), f"file:{tmp_path}/labels", partition_bytes=8)
+    found = [tuple(r) for r in rows.orderBy("row_id").collect()]
+    labels = [(3, i) for i in range(3)] + [(5, i) for i in range(5)]
+    assert found == [(row, label, [n] * 4) for row, (n, label) in enumerate(labels)]
+    write_idx(tmp_path / "images" / "d", np.zeros((1, 3, 3)))
+    with pytest.raises(Exception, match="differ in shape"):
+        idx.read_idx(spark, str(tmp_path / "images")).collect()
+
+
+def test_features_must_be_finite(spark):
+    rows = [(i, i % 2, [float(i), float("nan") if i == 7 else 1.0]) for i in range(20)]
+    with pytest.raises(Exception, match="not finite"):
+        ridge_sweep(spark.createDataFrame(rows, "row_id long, label int, features array<double>")).collect()
+
+
 def test_idx_rejects_other_files(spark, tmp_path):
     path = tmp_path / "other"
     path.write_bytes(b"not an index file")
