@@ -139,6 +139,17 @@ def near_duplicates(
     Rows without words have fingerprint 0 and are linked like any other. Repeated rows give repeated
     rows, an empty table an empty result.
     """
+    return placed_rows(docs, doc_id, text, words, max_bits).select("doc_id", "text_key", "fp", "component_id")
+
+
+def placed_rows(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """``near_duplicates`` with root, the fingerprint that stands for the component, one for each."""
     made = written(fingerprints(docs, doc_id, text, words), "fingerprints")
     by_fp = written(
         made.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies")),
@@ -151,20 +162,23 @@ def near_duplicates(
     )
     groups = linked.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("members"))
     placed = join_groups(linked, groups, "root", "members", linked.count())
-    placed = placed.select("fp", "copies", "component_id")
+    placed = placed.select("fp", "copies", "root", "component_id")
     alone = by_fp.join(linked.select("fp"), "fp", "left_anti")
-    alone = alone.select("fp", "copies", F.col("least_id").alias("component_id"))
+    alone = alone.select("fp", "copies", F.col("fp").alias("root"), F.col("least_id").alias("component_id"))
     classes = written(placed.unionByName(alone), "fingerprint-classes")
     joined = join_groups(made, classes, "fp", "copies", made.count())
-    return joined.select("doc_id", "text_key", "fp", "component_id")
+    return joined.select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with the least id of their component, one row each, all columns."""
-    found = near_duplicates(docs, doc_id, text, **options)
+    """The rows of ``docs`` with the least id of their component, one row each, all columns.
+
+    Components are told apart by their root: ids may be null in many of them, or stand in several.
+    """
+    found = placed_rows(docs, doc_id, text, **options)
     id_key = F.coalesce("doc_id", F.lit(LAST_ID))
     best = F.min(F.struct(id_key.alias("id_key"), "text_key")).alias("best")
-    winners = found.groupBy("component_id").agg(best).select("best.*")
+    winners = found.groupBy("root").agg(best).select("best.*")
     rows = docs.select(
         whole(docs).alias("row"),
         F.xxhash64(text).alias("text_key"),

@@ -125,6 +125,14 @@ def test_simhash_of_odd_rows(odd):
     assert kept.count() == classes
 
 
+def test_unlinked_rows_are_kept_whatever_their_ids(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(9)]
+    rows = [(None, x) for x in texts[:6]] + [(7, texts[6]), (7, texts[7]), (8, texts[8]), (8, texts[8])]
+    df = spark.createDataFrame(rows + rows[:2], "doc_id long, text string")
+    kept = simhash.one_of_each(df).collect()
+    assert sorted(map(str, kept)) == sorted({str(x) for x in df.collect()})
+
+
 def test_simhash_of_documents(documents):
     check_simhash(documents)
 
