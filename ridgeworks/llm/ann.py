@@ -114,18 +114,49 @@ def search(
     smaller id; repeated rows of one id count once. Null, zero and non-finite vectors take no part. A
     query with no candidate has no rows, an empty table gives an empty result.
 
-    Rows and queries meet bucket by bucket. A bucket with many rows, or queries, is dealt by hash over
-    blocks of about ROWS and QUERIES, so a bucket with a third of all rows is many groups; the number of
-    buckets is tables x 2 x width whatever the data, and so is the broadcast table of their sizes. Each
-    group ranks its own candidates and returns ``nearest`` per query; pairs are never rows.
+    Rows and queries meet bucket by bucket (``_meet``). Queries that find fewer rows than there are to find,
+    for the table is small or their buckets are, meet all rows: every bucket of one table.
     """
     held = vectors.filter(usable(F.col(vector))).select(
         F.col(vec_id).cast("long").alias("id"),
         F.col(vector).cast("array<double>").alias("vector"),
         is_query.alias("asked"),
     )
+    held = written(held.select("id", "vector", "asked", F.size("vector").cast("long").alias("width")), "ann-vectors")
     rows = written(_hashed(held.select("id", "vector"), tables, 1, seed), "ann-rows")
-    asked = written(_hashed(held.filter("asked").select("id", "vector"), tables, probes, seed), "ann-queries")
+    asked = held.filter("asked").select("id", "vector")
+    found = written(_meet(rows, _hashed(asked, tables, probes, seed), nearest, seed), "ann-found")
+    # how many ids a query should find, and how many it did
+    ids = held.groupBy("width").agg(F.countDistinct("id").alias("ids"))
+    wanted = held.filter("asked").select("id", "width").distinct().join(F.broadcast(ids), "width")
+    wanted = wanted.select("id", "width", F.least(F.lit(nearest), F.col("ids") - 1).alias("wanted"))
+    counts = found.groupBy(F.col("query_id").alias("id"), "width").agg(F.countDistinct("vec_id").alias("held"))
+    short = wanted.join(counts, ["id", "width"], "left").filter(F.coalesce("held", F.lit(0)) < F.col("wanted"))
+    short = written(short.select("id", "width"), "ann-short")
+    if not short.isEmpty():
+        again = held.filter("asked").join(short, ["id", "width"], "left_semi").select("id", "vector")
+        every = _hashed(again, 1, 1 << 20, seed)
+        one_table = rows.filter(_table(F.col("bucket")) == 0)
+        found = found.unionByName(_meet(one_table, every, nearest, seed))
+    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _table(bucket: Column) -> Column:
+    return F.pmod(F.shiftright(bucket, 20), F.lit(1024))
+
+
+def _meet(rows: DataFrame, asked: DataFrame, nearest: int, seed: int) -> DataFrame:
+    """(query_id, width, vec_id, score): the ``nearest`` ids of every block that a query meets.
+
+    ``rows`` and ``asked`` are (bucket, id, vector). A bucket with many rows, or queries, is dealt by hash
+    over blocks of about ROWS and QUERIES, so a bucket with a third of all rows is many groups; the number of buckets is tables x 2 x width whatever the data, and so is the
+    broadcast table of their sizes. Each group ranks its own candidates and returns ``nearest`` ids per
+    query; pairs are never rows.
+    """
+    asked = written(asked, "ann-queries")
     sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / ROWS).alias("row_blocks"))
     counts = asked.groupBy("bucket").agg(F.ceil(F.count("*") / QUERIES).alias("query_blocks"))
     cells = written(sizes.join(counts, "bucket"), "ann-cells")
@@ -140,13 +171,14 @@ def search(
     )
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
+        names = {"query_id": pa.int64(), "width": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+        empty = {name: pa.array([], kind) for name, kind in names.items()}
         if not left.num_rows or not right.num_rows:
             return pa.table(empty)
         ids, x = left.column("id").to_numpy(), _matrix(left.column("vector").combine_chunks())
         who, q = right.column("id").to_numpy(), _matrix(right.column("vector").combine_chunks())
         squares = (x * x).sum(axis=1)
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         for first in range(0, len(q), 256):
             part = q[first : first + 256]
             close = squares[None, :] - 2 * (part @ x.T) + (part * part).sum(axis=1)[:, None]
@@ -160,14 +192,11 @@ def search(
                 _, once = np.unique(ids[near][order], return_index=True)
                 order = order[np.sort(once)][:nearest]
                 out[0].append(np.full(len(order), own))
-                out[1].append(ids[near][order])
-                out[2].append(exact[order])
-        return pa.table({name: np.concatenate(x) for name, x in zip(empty, out, strict=True)})
+                out[1].append(np.full(len(order), x.shape[1]))
+                out[2].append(ids[near][order])
+                out[3].append(exact[order])
+        return pa.table({name: np.concatenate(parts) for name, parts in zip(names, out, strict=True)})
 
     keys = ["bucket", "row_block", "query_block"]
     found = row_side.groupBy(*keys).cogroup(query_side.groupBy(*keys))
-    found = found.applyInArrow(rank, "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found.applyInArrow(rank, "query_id long, width long, vec_id long, score double")

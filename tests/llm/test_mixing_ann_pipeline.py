@@ -146,6 +146,23 @@ def test_odd_vectors(spark, monkeypatch):
     assert ann.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_queries_find_all_there_is_to_find(spark):
+    random = np.random.default_rng(1)
+    few = [(100 * i, random.normal(size=64).tolist()) for i in range(8)]
+    cone = np.zeros(32)
+    cone[0] = 1.0
+    many = [(1 + i + i // 99, (cone + random.normal(size=32) * 0.01).tolist()) for i in range(500)]
+    df = spark.createDataFrame([*few, *many, (10_000, (-cone).tolist())], "vec_id long, embedding array<double>")
+    found = {}
+    for row in ann.search(df, F.col("vec_id") % 100 == 0).collect():
+        found.setdefault(row.query_id, []).append((row.score, row.vec_id))
+    for rows, asked in ((few, [i for i, _ in few]), ([*many, (10_000, (-cone).tolist())], [10_000])):
+        ids, x = [i for i, _ in rows], np.array([v for _, v in rows])
+        best = exact(ids, x, np.isin(ids, asked), 10)
+        for query in asked:
+            assert [i for _, i in sorted(found[query])] == [i for _, i in best[query]]
+
+
 def test_pseudo_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 48))
     turned = ann.rotations(x, 3)
