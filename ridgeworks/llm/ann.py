@@ -122,6 +122,7 @@ def search(
         F.col(vector).cast("array<double>").alias("vector"),
         is_query.alias("asked"),
     )
+    held = held.groupBy("id", "vector").agg(F.bool_or("asked").alias("asked"))
     held = written(held.select("id", "vector", "asked", F.size("vector").cast("long").alias("width")), "ann-vectors")
     rows = written(_hashed(held.select("id", "vector"), tables, 1, seed), "ann-rows")
     asked = held.filter("asked").select("id", "vector")
@@ -152,7 +153,8 @@ def _meet(rows: DataFrame, asked: DataFrame, nearest: int, seed: int) -> DataFra
     """(query_id, width, vec_id, score): the ``nearest`` ids of every block that a query meets.
 
     ``rows`` and ``asked`` are (bucket, id, vector). A bucket with many rows, or queries, is dealt by hash
-    over blocks of about ROWS and QUERIES, so a bucket with a third of all rows is many groups; the number of buckets is tables x 2 x width whatever the data, and so is the
+    over blocks of about ROWS and QUERIES, so a bucket with a third of all rows is many groups, and so is an
+    id with many vectors; the number of buckets is tables x 2 x width whatever the data, and so is the
     broadcast table of their sizes. Each group ranks its own candidates and returns ``nearest`` ids per
     query; pairs are never rows.
     """
@@ -161,7 +163,7 @@ def _meet(rows: DataFrame, asked: DataFrame, nearest: int, seed: int) -> DataFra
     counts = asked.groupBy("bucket").agg(F.ceil(F.count("*") / QUERIES).alias("query_blocks"))
     cells = written(sizes.join(counts, "bucket"), "ann-cells")
     few = F.broadcast(cells)
-    salt = F.xxhash64("id", F.lit(seed))
+    salt = F.xxhash64("id", "vector", F.lit(seed))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     row_side = rows.join(few, "bucket").select(
         "bucket", F.pmod(salt, "row_blocks").alias("row_block"), every("query_blocks").alias("query_block"), "id", "vector"
@@ -179,6 +181,7 @@ def _meet(rows: DataFrame, asked: DataFrame, nearest: int, seed: int) -> DataFra
         who, q = right.column("id").to_numpy(), _matrix(right.column("vector").combine_chunks())
         squares = (x * x).sum(axis=1)
         out: list[list[np.ndarray]] = [[], [], [], []]
+        distinct = np.unique(ids)
         for first in range(0, len(q), 256):
             part = q[first : first + 256]
             close = squares[None, :] - 2 * (part @ x.T) + (part * part).sum(axis=1)[:, None]
@@ -186,7 +189,12 @@ def _meet(rows: DataFrame, asked: DataFrame, nearest: int, seed: int) -> DataFra
                 others = np.flatnonzero(ids != own)
                 # more than asked for, then exact: the product loses digits of small distances
                 slack = 1e-12 * (float(squares.max()) + float(part[i] @ part[i]))
-                near = others[_best(close[i][others], 2 * nearest, slack)]
+                wanted = min(nearest, len(distinct) - int(own in distinct))
+                reach = 2 * nearest
+                near = others[_best(close[i][others], reach, slack)]
+                while len(np.unique(ids[near])) < wanted:  # ids with several vectors
+                    reach *= 4
+                    near = others[_best(close[i][others], reach, slack)]
                 exact = np.sqrt(((x[near] - part[i]) ** 2).sum(axis=1))
                 order = np.lexsort((ids[near], exact))
                 _, once = np.unique(ids[near][order], return_index=True)

@@ -163,6 +163,17 @@ def test_queries_find_all_there_is_to_find(spark):
             assert [i for _, i in sorted(found[query])] == [i for _, i in best[query]]
 
 
+def test_an_id_with_many_rows(spark):
+    random = np.random.default_rng(2)
+    rows = [(0, [1.0] + [0.0] * 15)] + [(i, [1.0, 0.02 * i] + [0.0] * 14) for i in range(2, 30)]
+    same = [(1, [1.0, 0.01] + [0.0] * 14)] * 25
+    near = [(1, [1.0, 0.001, *(random.normal(size=14) * 1e-4).tolist()]) for _ in range(25)]
+    for repeated in (same, near, same + near):
+        df = spark.createDataFrame(rows + repeated, "vec_id long, embedding array<double>")
+        found = ann.search(df, F.col("vec_id") == 0).orderBy("rank").collect()
+        assert [x.vec_id for x in found] == list(range(1, 11))
+
+
 def test_pseudo_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 48))
     turned = ann.rotations(x, 3)
