@@ -25,7 +25,7 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language: texts without a letter, or between languages, go."""
     model = langid.LanguageModel(docs)
-    found = docs.select(whole(docs).alias("row"), model.predict(spark, F.col("text")).alias("found"))
+    found = model.identify(docs, whole(docs), F.col("text"))
     sure = (F.col("found.lang_pred") != langid.NO_LANGUAGE) & (F.col("found.score") >= LEAST_SCORE)
     return found.filter(sure).select("row.*")
 

@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Bags, Memory, slices, split_rows, written
+from ridgeworks.llm.common import Bags, Memory, join_groups, slices, split_rows, written
 
 LONGEST = 5
-# a word or n-gram is known if it is at least this share of its language's words or n-grams of its
-# length; so no language knows more than 1 / SHARE of each
+# every worker holds the words and n-grams that are at least this share of the words, or n-grams of their
+# length, of any language, with their counts in all; no language brings more than 1 / SHARE of each
 SHARE = 1 / 200_000
 # words whose scores a Python worker remembers, twice that many at most
 CACHE = 300_000
@@ -88,8 +88,9 @@ def count_grams(words: DataFrame) -> DataFrame:
 class LanguageModel:
     """Fitted on all rows of ``labelled``: (text, lang), rows with a null lang or text left out.
 
-    Words and n-grams are counted over the whole table; only those above ``share`` of their language are
-    kept, so the tables that every worker holds are bounded by languages / share whatever the corpus.
+    Words and n-grams are counted over the whole table. Workers hold those above ``share`` of any language,
+    each with its counts in all languages, so their tables are bounded by languages / share whatever the
+    corpus. ``identify`` looks up the other words that were seen by a join.
     """
 
     def __init__(self, labelled: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE):
@@ -100,12 +101,13 @@ class LanguageModel:
         known = words.withColumn("length", F.lit(0)).unionByName(parts)
         totals = known.groupBy("lang", "length").agg(F.sum("n").alias("total"))
         often = known.join(F.broadcast(totals), ["lang", "length"]).filter(F.col("n") >= F.col("total") * share)
+        held = known.join(often.select("length", "gram").distinct(), ["length", "gram"], "left_semi")
         self.langs = [row[0] for row in totals.select("lang").distinct().orderBy("lang").collect()]
         place = {code: i for i, code in enumerate(self.langs)}
         sums = np.zeros((LONGEST + 1, max(1, len(place))))
         for row in totals.collect():
             sums[row["length"], place[row["lang"]]] = row["total"]
-        found = often.select("lang", "length", "gram", "n").orderBy("length", "gram", "lang").toArrow().to_pydict()
+        found = held.select("lang", "length", "gram", "n").orderBy("length", "gram", "lang").toArrow().to_pydict()
         index: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
         rows_of, columns_of, levels = [], [], []
         for code, length, gram in zip(found["lang"], found["length"], found["gram"], strict=True):
@@ -119,9 +121,111 @@ class LanguageModel:
         counts[rows_of, columns_of] = found["n"]
         levels = np.array(levels, dtype=np.int64)
         self.tables = (index, np.log((counts + 0.5) / (sums[levels] + 1.0)) if len(levels) else counts)
+        self.words, self.totals = words, sums[0]
+
+    def identify(self, docs: DataFrame, row: Column, text: Column) -> DataFrame:
+        """(row, found struct(lang_pred, score)) of every row of ``docs``, as ``predict`` has it, but with the
+        true counts of all words that were seen, however rare.
+
+        The words that workers do not hold are written once per text. They meet their counts by a join, or
+        back off to n-grams if they were never seen; their sums are added to those of the words held.
+        """
+        spark = docs.sparkSession
+        if not self.langs:
+            return docs.select(row.alias("row"), self.predict(spark, text).alias("found"))
+        shared = spark.sparkContext.broadcast({"tables": self.tables, "place": {x: i for i, x in enumerate(self.langs)}})
+        totals = self.totals
+
+        def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = shared.value["tables"][0][0]
+            for batch in batches:
+                for first, end in slices(batch.column(1)):
+                    keys, words, counts = [], [], []
+                    part = batch.slice(first, end - first)
+                    for key, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        own = Counter([x for x in words_of(value or "") if x not in held])
+                        keys += [key] * len(own)
+                        words += own.keys()
+                        counts += own.values()
+                    columns = [pa.array(keys, pa.int64()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["text_key", "word", "n"])
+
+        def vectors(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            scorer, place = WordScorer(*shared.value["tables"]), shared.value["place"]
+            for words, seen in columns:
+                out = np.frombuffer(b"".join(scorer._find(words.to_pylist()))).reshape(len(words), -1).copy()
+                for i, entries in enumerate(seen.to_pylist()):
+                    if entries:
+                        counts = np.zeros(len(totals))
+                        for entry in entries:
+                            counts[place[entry["lang"]]] = entry["n"]
+                        out[i] = np.log((counts + 0.5) / (totals + 1.0))
+                yield pa.array(list(out), pa.list_(pa.float64()))
+
+        def sums(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            model = shared.value
+            if "held" not in model:
+                model["held"] = WordScorer(*model["tables"], back_off=False)
+            for column in columns:
+                found, lengths, left = [], [], []
+                for first, end in slices(column):
+                    bags = Bags([words_of(x or "") for x in column[first:end].to_pylist()])
+                    missing = np.array([x not in model["held"].words for x in bags.words], dtype=bool)
+                    some = np.zeros(len(bags.lengths), dtype=bool)
+                    if missing.any():
+                        some[bags.full] = np.logical_or.reduceat(missing[bags.places], bags.starts)
+                    found += list(model["held"].totals(bags))
+                    lengths += bags.lengths.tolist()
+                    left += some.tolist()
+                columns_ = [pa.array(found, pa.list_(pa.float64())), pa.array(lengths, pa.int64()), pa.array(left, pa.bool_())]
+                yield pa.StructArray.from_arrays(columns_, ["sums", "words", "rest"])
+
+        key = F.xxhash64(text)
+        pairs = docs.select(key.alias("text_key"), text.alias("text")).mapInArrow(rest, "text_key long, word string, n long")
+        pairs = pairs.groupBy("text_key", "word").agg(F.max("n").alias("n"), F.count("*").alias("copies"))
+        pairs = written(pairs, "lang-rest")
+        asked = pairs.groupBy("word").agg(F.count("*").alias("texts"))
+        seen = asked.join(self.words.withColumnRenamed("gram", "word"), "word", "left")
+        entry = F.when(F.col("lang").isNotNull(), F.struct("lang", "n"))
+        seen = seen.groupBy("word").agg(F.first("texts").alias("texts"), F.collect_list(entry).alias("seen"))
+        vector = F.arrow_udf(vectors, "array<double>")("word", "seen").alias("vector")
+        scores = written(seen.select("word", "texts", vector), "lang-rest-scores")
+        each = join_groups(pairs, scores, "word", "texts", pairs.count())
+        added = F.array(*[F.sum(F.col("n") * F.get("vector", F.lit(i))) for i in range(len(self.langs))])
+        texts = each.groupBy("text_key").agg(F.max("copies").alias("copies"), added.alias("added"))
+        texts = written(texts, "lang-rest-sums")
+        # a text that very many rows have gets its sums by broadcast, the others by a join; rows without need none
+        total = texts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+        hot = F.col("copies") * 1000 > total
+        rows = docs.select(
+            row.alias("row"), key.alias("text_key"), F.arrow_udf(sums, "struct<sums: array<double>, words: long, rest: boolean>")(text).alias("own")
+        )
+        few = texts.filter(hot).select("text_key", F.col("added").alias("hot_added"))
+        rows = rows.join(F.broadcast(few), "text_key", "left")
+        wants = F.col("own.rest") & F.col("hot_added").isNull()
+        rows = rows.select(
+            "row", "own", "hot_added", wants.alias("wants"),
+            F.when(wants, F.col("text_key")).otherwise(F.xxhash64(F.monotonically_increasing_id())).alias("text_key"),
+        )
+        rest_of = texts.filter(~hot).select("text_key", "added", F.lit(True).alias("wants"))
+        rows = rows.join(rest_of, ["text_key", "wants"], "left")
+        added = F.coalesce("hot_added", "added")
+        whole_sums = F.when(added.isNull(), F.col("own.sums")).otherwise(F.zip_with("own.sums", added, lambda x, y: x + y))
+        rows = rows.select("row", F.col("own.words").alias("words"), whole_sums.alias("sums"))
+        rows = rows.select("*", F.array_max("sums").alias("most"))
+        shares = F.aggregate("sums", F.lit(0.0), lambda x, y: x + F.exp(y - F.col("most")))
+        names = F.array(*[F.lit(x) for x in self.langs])
+        name = F.get(names, F.array_position("sums", F.col("most")).cast("int") - 1)
+        some = F.col("words") > 0
+        found = F.struct(
+            F.when(some, name).otherwise(F.lit(NO_LANGUAGE)).alias("lang_pred"),
+            F.when(some, 1.0 / shares).otherwise(F.lit(0.0)).alias("score"),
+        )
+        return rows.select("row", found.alias("found"))
 
     def predict(self, spark: SparkSession, text: Column) -> Column:
-        """struct(lang_pred, score) of a text column, from nothing but the text.
+        """struct(lang_pred, score) of a text column, from nothing but the text and the words that workers
+        hold: rarer words count as never seen. ``identify`` has the counts of those too.
 
         The score is the posterior of the language over all words of the text, languages equally likely
         before. Null text, text without a letter and a model without languages give ``und`` and 0.
@@ -165,7 +269,9 @@ def predictions(texts: list[str | None], langs: list[str], scorer: WordScorer) -
 class WordScorer:
     """Log frequency of a word in every language, from the word itself or else from its n-grams."""
 
-    def __init__(self, index: list[dict[str, int]], logs: np.ndarray):
+    def __init__(self, index: list[dict[str, int]], logs: np.ndarray, back_off: bool = True):
+        """Without ``back_off`` a word that is not held adds nothing."""
+        self.back_off = back_off
         self.words, self.levels = index[0], index[:0:-1]
         self.logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: nothing is known
         self.memory = Memory(CACHE)
@@ -178,6 +284,8 @@ class WordScorer:
             place = self.words.get(word)
             if place is not None:
                 own = [place]
+            elif not self.back_off:
+                own = [-1]
             else:
                 for level, index in enumerate(self.levels):
                     own = [i for i in map(index.get, grams(word, LONGEST - level)) if i is not None]

@@ -26,8 +26,8 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
     model = langid.LanguageModel(docs.filter(~held_out))
-    found = docs.select("doc_id", held_out.alias("held_out"), model.predict(spark, F.col("text")).alias("found"))
-    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+    found = model.identify(docs, F.struct("doc_id", held_out.alias("held_out")), F.col("text"))
+    return found.select("row.doc_id", "row.held_out", "found.lang_pred", "found.score")
 
 
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

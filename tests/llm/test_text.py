@@ -147,6 +147,24 @@ def test_unseen_words_back_off_to_shorter_grams(spark):
     assert found[:2] == ["a", "b"]
 
 
+def test_counts_below_the_share_count(spark):
+    rows = [("both " * 6 + "only " * 2 + "filler " * 12, "a"), ("both " * 5 + "other " * 3 + "filler " * 13, "b")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    texts = [("both",), ("only only",), ("other both",), ("both",), ("filler only other",), ("",), (None,)]
+    asked = spark.createDataFrame(texts, "text string")
+    totals = {"a": 20, "b": 21}
+    counts = [Counter(text.split()) for text, _ in rows]
+    model = langid.LanguageModel(df, share=0.29)  # "both" is above it in a and below it in b, the rest but "filler" below
+    got = {x.text: x.found for x in model.identify(asked, F.col("text"), F.col("text")).withColumnRenamed("row", "text").collect()}
+    for (text,) in texts:
+        words = (text or "").split()
+        sums = [sum(math.log((own[w] + 0.5) / (total + 1)) for w in words) for own, total in zip(counts, totals.values(), strict=True)]
+        best = int(np.argmax(sums))
+        assert got[text].lang_pred == (("a", "b")[best] if words else "und")
+        expected = 1 / sum(math.exp(x - sums[best]) for x in sums) if words else 0.0
+        assert got[text].score == pytest.approx(expected, abs=1e-9)
+
+
 def brute_counts(rows):
     return Counter(w for text in rows for w in [*(text or "").encode().lower().split(), b"\n"])
 
