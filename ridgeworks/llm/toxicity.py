@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeworks.llm.common import Bags, Memory, slices, split_rows, written
-from ridgeworks.llm.langid import LanguageModel, WordScorer, best_language, words_of
+from ridgeworks.llm.langid import NO_LANGUAGE, LanguageModel, WordScorer, best_language, words_of
 
 # labelled rows of either label that the classifier is fitted on, expected number; chosen by hash
 SAMPLE_ROWS = 3000
@@ -42,6 +42,9 @@ EVIDENCE = 10.0
 THRESHOLD = 0.7
 # labelled rows of either label that a language needs for a threshold of its own
 FEWEST = 15
+# logits of rows outside the sample are counted in steps of this, up to a limit
+STEP = 1 / 256
+LIMIT = 60.0
 # parts of the labelled rows; the thresholds of each come from a network that has not seen it
 PARTS = 3
 CACHE = 150_000
@@ -257,13 +260,14 @@ def log_odds(bags: Bags, features: Features, labels: np.ndarray, rows: np.ndarra
     return odds - np.log(share / (1 - share))
 
 
-def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap with the highest F1; of equal ones, the widest gap."""
+def best_threshold(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None) -> float:
+    """The middle of the gap with the highest F1; of equal ones, the widest gap. Each stands for ``counts`` rows."""
+    counts = np.ones(len(logits)) if counts is None else counts
     order = np.argsort(logits)
-    logits, labels = logits[order], labels[order]
-    above = labels[::-1].cumsum()[::-1]
-    counts = len(labels) - np.arange(len(labels))
-    f1 = 2 * above[1:] / (counts[1:] + labels.sum())
+    logits, labels, counts = logits[order], labels[order], counts[order]
+    above = (labels * counts)[::-1].cumsum()[::-1]
+    rows = counts[::-1].cumsum()[::-1]
+    f1 = 2 * above[1:] / (rows[1:] + above[0])
     gaps = np.diff(logits)
     ok = np.flatnonzero(gaps > 0)
     if not len(ok):
@@ -272,6 +276,17 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((logits[best] + logits[best + 1]) / 2)
 
 
+def thresholds(names: np.ndarray, logits: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> dict[str, float]:
+    """The threshold of all rows, under "", and of each language that has FEWEST rows of either label."""
+    limits = {"": best_threshold(logits, labels, counts)}
+    for name in np.unique(names).tolist():
+        at = names == name
+        ones = (labels[at] * counts[at]).sum()
+        if name != NO_LANGUAGE and min(ones, counts[at].sum() - ones) >= FEWEST:
+            limits[name] = best_threshold(logits[at], labels[at], counts[at])
+    return limits
+
+
 def trained(bags: Bags, features: Features, marks: np.ndarray, rows: np.ndarray) -> Scorer:
     """A network fitted on ``rows``."""
     network = Network(log_odds(bags, features, marks, rows))
@@ -281,10 +296,10 @@ def trained(bags: Bags, features: Features, marks: np.ndarray, rows: np.ndarray)
 
 def fit(
     texts: list[list[str]], marks: np.ndarray, parts: np.ndarray, langs: list[str], scorer: WordScorer
-) -> tuple[Scorer, dict[str, float]] | None:
-    """The network fitted on all rows and the threshold of each language; nothing if there is one label only.
+) -> tuple[Scorer, np.ndarray, list[str]] | None:
+    """The network fitted on all rows, the logit and the language of each; nothing if there is one label only.
 
-    Thresholds are set on logits that a row gets from a network fitted on the other parts.
+    A row's logit comes from a network fitted on the other parts.
     """
     if len(np.unique(marks)) < 2:
         return None
@@ -297,21 +312,16 @@ def fit(
         if check.any() and len(np.unique(marks[learn])) == 2:
             other = trained(bags, features, marks, learn)
             logits[check] = other.pooled(bags, other.responses(features))[check]
-    names = np.array(best_language(bags, langs, scorer)[0])
-    limits = {"": best_threshold(logits, marks)}
-    for name in langs:
-        at = names == name
-        if min(marks[at].sum(), (1 - marks[at]).sum()) >= FEWEST:
-            limits[name] = best_threshold(logits[at], marks[at])
-    return network, limits
+    return network, logits, best_language(bags, langs, scorer)[0]
 
 
 class ToxicityModel:
-    """Fitted on about ``sample_rows`` rows of either label of ``labelled`` (doc_id, text, lang, label).
+    """Fitted on the labelled rows of ``docs``; null labels are left out.
 
-    The rows are chosen by a hash of doc_id; they train the network, and networks fitted on two thirds of them
-    set the thresholds on the rest.
-    Null labels are left out. With one label only, or none, every score is 0.
+    The network is trained on about ``sample_rows`` rows of either label, chosen by a hash of doc_id. The
+    language model and the thresholds come of all labelled rows at their natural rate: those of the sample
+    with logits from networks fitted on two thirds of it, the others, which the network has not seen, with its
+    own, counted by language, logit and label. With one label only, or none, every score is 0.
     """
 
     def __init__(self, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
@@ -324,9 +334,10 @@ class ToxicityModel:
             share = F.when(F.col("label") == label, F.lit(int(min(1.0, sample_rows / count) * 2**30))).otherwise(share)
         draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(2**30))
         chosen = labels.filter(draw < share)
-        sample = docs.select("doc_id", "text", "lang").join(chosen, "doc_id")
+        texts = docs.select("doc_id", "text", "lang")
+        sample = texts.join(chosen, "doc_id")
         sample = written(sample.select("doc_id", "text", "lang", F.col("label").cast("int").alias("label")), "toxic-sample")
-        self.language = LanguageModel(sample)
+        self.language = LanguageModel(texts.join(labels.select("doc_id"), "doc_id", "left_semi"))
         langs, tables = self.language.langs, self.language.tables
         shared = spark.sparkContext.broadcast({"tables": tables})
 
@@ -340,16 +351,16 @@ class ToxicityModel:
             found = fit(texts, np.array(marks, np.int64), np.array(parts, np.int64), langs, words)
             if not found:
                 return
-            network, limits = found
+            network, logits, names = found
             kept = [*network.filters, network.bias, network.weights, np.float32([network.offset])]
             kept.insert(0, network.table.astype(STORED))
             blobs = [pa.array([x.tobytes()], pa.binary()) for x in kept]
-            blobs += [pa.array([list(limits)], pa.list_(pa.string())), pa.array([list(limits.values())])]
+            blobs += [pa.array([names], pa.list_(pa.string())), pa.array([list(logits)]), pa.array([marks], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(blobs, [f"c{i}" for i in range(len(blobs))])
 
         count = 4 + len(FILTERS)
         schema = ", ".join([f"c{i} binary" for i in range(count)])
-        schema += f", c{count} array<string>, c{count + 1} array<double>"
+        schema += f", c{count} array<string>, c{count + 1} array<double>, c{count + 2} array<long>"
         part = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(PARTS)).cast("int")
         rows = sample.select("text", "label", part.alias("part"), "doc_id").repartition(1).sortWithinPartitions("doc_id")
         found = rows.select("text", "label", "part").mapInArrow(run, schema).collect()
@@ -363,9 +374,42 @@ class ToxicityModel:
                 flat[-2],
                 flat[-1][0],
             )
-            self.limits = dict(zip(found[0][count], found[0][count + 1], strict=True))
+            self.limits = {}
+            others = labels.filter(draw >= share).select("doc_id", F.col("label").cast("int").alias("label"))
+            rows = self._counted(spark, texts.select("doc_id", "text").join(others, "doc_id").select("text", "label"))
+            names, logits, marks = ([*found[0][count + i]] for i in range(3))
+            names = np.array(names + [x["lang"] for x in rows])
+            logits = np.array(logits + [x["step"] * STEP for x in rows], dtype=float)
+            marks = np.array(marks + [x["label"] for x in rows], dtype=float)
+            sizes = np.concatenate([np.ones(len(names) - len(rows)), [x["n"] for x in rows]])
+            self.limits = thresholds(names, logits, marks, sizes)
         self.spark = spark
 
+    def _counted(self, spark, rows: DataFrame) -> list:
+        """(lang, step, label, n) of all ``rows`` (text, label): how many have a language, a logit and a label."""
+        shared = spark.sparkContext.broadcast(
+            {"model": self.model, "langs": self.language.langs, "tables": self.language.tables}
+        )
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = shared.value
+            if "scorers" not in held:
+                table, *rest = held["model"]
+                held["scorers"] = (Scorer(table.astype(np.float32), *rest), WordScorer(*held["tables"]))
+            network, scorer = held["scorers"]
+            for batch in batches:
+                for first, end in slices(batch.column(0)):
+                    part = batch.slice(first, end - first)
+                    bags = Bags([words_of(x or "") for x in part.column(0).to_pylist()])
+                    names, _ = best_language(bags, held["langs"], scorer)
+                    logits = np.clip(network.logits(bags).astype(float), -LIMIT, LIMIT)
+                    steps = np.round(logits / STEP).astype(np.int64)
+                    columns = [pa.array(names, pa.string()), pa.array(steps), part.column(1)]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "step", "label"])
+
+        found = rows.mapInArrow(run, "lang string, step long, label int")
+        return found.groupBy("lang", "step", "label").agg(F.count("*").alias("n")).collect()
+
     def score(self, text: Column) -> Column:
         """Score of a text column, from 0 to 1: THRESHOLD where the text's language has its threshold."""
         if self.model is None:

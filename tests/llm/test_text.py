@@ -256,6 +256,35 @@ def test_toxicity_query(spark):
     assert hit / max(1, sum(b for _, b in held)) > 0.9
 
 
+def test_thresholds_come_of_all_labelled_rows(spark, monkeypatch):
+    counted, held = [], []
+    count, choose = toxicity.ToxicityModel._counted, toxicity.thresholds
+
+    def own_count(self, spark, rows):
+        counted.append(rows.count())
+        return count(self, spark, rows)
+
+    def own_choose(names, logits, labels, sizes):
+        held.append((sizes.sum(), (labels * sizes).sum()))
+        return choose(names, logits, labels, sizes)
+
+    monkeypatch.setattr(toxicity.ToxicityModel, "_counted", own_count)
+    monkeypatch.setattr(toxicity, "thresholds", own_choose)
+    rows = [(i, f"{'vile' if i % 40 == 0 else 'good'} word {i % 7} here", "en", int(i % 40 == 0)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, label int")
+    model = toxicity.ToxicityModel(df, df.select("doc_id", "label"), sample_rows=30)
+    assert held == [(2000, 50)] and counted[0] > 1900
+    assert model.language.totals.sum() == 2000 * 3
+    found = df.select("label", (model.score(F.col("text")) >= 0.7).cast("int").alias("p"))
+    assert found.filter("label <> p").count() == 0
+
+
+def test_weighted_threshold():
+    logits, labels = np.array([0.0, 1.0, 2.0, 3.0]), np.array([0, 1, 0, 1])
+    assert toxicity.best_threshold(logits, labels) == 0.5
+    assert toxicity.best_threshold(logits, labels, np.array([1, 1, 1000, 10])) == 2.5
+
+
 def test_toxicity_without_labels(spark, odd, nothing):
     none = spark.createDataFrame([], "doc_id long, label int")
     model = toxicity.ToxicityModel(odd, none)
