@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.llm import ann, bpe, chat, exact_dedup, hmm, langid, line_dedup, mixing, simhash, toxicity
+from ridgeworks.llm import ann, bpe, chat, exact_dedup, hmm, langid, line_dedup, mixing, periodic, simhash, toxicity
 from ridgeworks.llm.common import remainder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -82,6 +82,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("row.page_id", "host", "n_lines", "n_dropped", "clean_text")
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = periodic.periodic_runs(docs, text=periodic.looped(F.col("doc_id"), F.col("text")))
+    return periodic.digests(found)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +101,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_language_model,
         op10_line_dedup,
+        op13_periodic_runs,
     )
 }
 
