@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.llm import ann, bpe, chat, exact_dedup, hmm, langid, line_dedup, mixing, periodic, simhash, toxicity
+from ridgeworks.llm import ann, bpe, chat, exact_dedup, hmm, langid, line_dedup, merkle, mixing, periodic, simhash, toxicity
 from ridgeworks.llm.common import remainder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -82,6 +82,24 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("row.page_id", "host", "n_lines", "n_dropped", "clean_text")
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    values = {x: F.replace(x, F.lit("\n"), F.lit("")) if x == "text" else F.col(x) for x in merkle.FIELDS}
+    touched = (remainder(F.col("doc_id"), 2) == 0) & F.contains("text", F.lit("\n"))
+    tampered = F.when(touched, merkle.leaf_digest(list(values.values())))
+    found = merkle.Manifest(docs, carry={"tampered": tampered}).proofs()
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.withColumn("folded_root", folded).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = periodic.periodic_runs(docs, text=periodic.looped(F.col("doc_id"), F.col("text")))
@@ -101,10 +119,28 @@ QUERIES = {
         op8_exact_dedup,
         op9_language_model,
         op10_line_dedup,
+        op11_merkle_manifest,
         op13_periodic_runs,
     )
 }
 
+
+def _part(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_part(text if x == 'text' else x) for x in merkle.FIELDS)})"
+
+
+def _sides(place: str, level: str) -> str:
+    """Sibling digests before and after a node's ancestor in the list of a level's nodes."""
+    at = f"({place} // CAST(power(3, {level}.level) AS BIGINT))"
+    before = f"list_slice({level}.nodes, {at} // 3 * 3 + 1, {at})"
+    after = f"list_slice({level}.nodes, {at} + 2, {at} // 3 * 3 + 3)"
+    return f"{{'b': array_to_string({before}, ''), 'a': array_to_string({after}, '')}}"
+
+
 _UNSEEN = line_dedup.UNSEEN.replace("(?s)", "")
 
 ORACLES = {
@@ -134,5 +170,50 @@ cut AS (SELECT page_id, host, lines,
 SELECT page_id, host, CAST(len(lines) AS INTEGER) AS n_lines, CAST(len(lines) - len(stay) AS INTEGER) AS n_dropped,
        array_to_string(stay, chr(10)) AS clean_text
 FROM cut
+""",
+    # crc32 bit by bit over the decimal digits; levels as lists, a path as (before, after) texts of siblings
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         {_leaf("replace(text, chr(10), '')")} AS cut,
+         xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+             string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295) & 1 AS crc_low
+  FROM documents),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+trees AS (SELECT source, list(leaf ORDER BY idx) AS nodes FROM ordered GROUP BY source),
+levels AS (
+  SELECT source, 0 AS level, nodes FROM trees
+  UNION ALL
+  SELECT source, level + 1, list_transform(range(0, len(nodes), 3),
+         lambda i: sha256(array_to_string(list_slice(nodes, i + 1, i + 3), ''))) FROM levels WHERE len(nodes) > 1),
+subroots AS (SELECT source, nodes[1] AS subroot FROM levels WHERE len(nodes) = 1),
+seated AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS seat FROM subroots),
+tops AS (
+  SELECT 0 AS level, (SELECT list(subroot ORDER BY seat) FROM seated) AS nodes
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 3),
+         lambda i: sha256(array_to_string(list_slice(nodes, i + 1, i + 3), ''))) FROM tops WHERE len(nodes) > 1),
+placed AS (
+  SELECT o.doc_id, o.source, o.leaf, o.cut, o.crc_low, o.idx, s.subroot, s.seat
+  FROM ordered o JOIN seated s ON o.source IS NOT DISTINCT FROM s.source),
+own AS (
+  SELECT p.source, p.idx, list({_sides('p.idx', 'l')} ORDER BY l.level) AS path
+  FROM placed p JOIN levels l ON p.source IS NOT DISTINCT FROM l.source WHERE len(l.nodes) > 1 GROUP BY p.source, p.idx),
+over AS (
+  SELECT s.seat, list({_sides('s.seat', 't')} ORDER BY t.level) AS path
+  FROM seated s, tops t WHERE len(t.nodes) > 1 GROUP BY s.seat),
+paths AS (
+  SELECT p.doc_id, p.leaf, p.subroot, CASE WHEN p.crc_low = 0 THEN p.cut ELSE p.leaf END AS start,
+         list_concat(coalesce(o.path, []), coalesce(v.path, [])) AS path
+  FROM placed p LEFT JOIN own o ON p.source IS NOT DISTINCT FROM o.source AND p.idx = o.idx
+  LEFT JOIN over v ON p.seat = v.seat),
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+         sha256(array_to_string(list_transform(path, lambda x: x.b || x.a), '')) AS proof_sha256,
+         list_reduce(list_concat([{{'b': start, 'a': ''}}], path),
+           lambda t, x: {{'b': sha256(x.b || t.b || x.a), 'a': ''}}).b AS folded_root
+  FROM paths)
+SELECT *, folded_root = root AS verified FROM folded
 """,
 }
