@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeworks.llm import ann, bpe, chat, exact_dedup, hmm, langid, line_dedup, merkle, mixing, periodic, simhash, toxicity
-from ridgeworks.llm.common import remainder
+from ridgeworks.llm import ann, bpe, chat, exact_dedup, hmm, langid, line_dedup, merkle, mixing, periodic, simhash, toxicity, warc
+from ridgeworks.llm.common import remainder, written
+from ridgeworks.session import shared_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # fixed value: the contract's extra conversation
@@ -100,6 +101,14 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.archive_pages(table(spark, folder, "pages"), path)
+    records = written(warc.read_archives(spark, path, payloads=False), "warc-heads")
+    found = warc.with_originals(records)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = periodic.periodic_runs(docs, text=periodic.looped(F.col("doc_id"), F.col("text")))
@@ -120,6 +129,7 @@ QUERIES = {
         op9_language_model,
         op10_line_dedup,
         op11_merkle_manifest,
+        op12_warc_revisits,
         op13_periodic_runs,
     )
 }
@@ -170,6 +180,16 @@ cut AS (SELECT page_id, host, lines,
 SELECT page_id, host, CAST(len(lines) AS INTEGER) AS n_lines, CAST(len(lines) - len(stay) AS INTEGER) AS n_dropped,
        array_to_string(stay, chr(10)) AS clean_text
 FROM cut
+""",
+    "op12_warc_revisits": """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                       sha256(coalesce(html, '')) AS payload_digest FROM pages),
+ranked AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least,
+                  row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS place FROM hashed)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN least END AS refers_to
+FROM ranked
 """,
     # crc32 bit by bit over the decimal digits; levels as lists, a path as (before, after) texts of siblings
     "op11_merkle_manifest": f"""
