@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.common import VECTORS, WHOLE_SQL, table, vectors, whole_vectors
 from catalog.ridge_sql import accuracy_ctes, dual_accuracy_ctes, vector_rows, weights_ctes
 from ridgeworks.functions.vectors import argmax_position
-from ridgeworks.operators import score, solve
+from ridgeworks.operators import score, solve, wide
 from ridgeworks.operators.indexing import shard_bounds, shard_of
 from ridgeworks.operators.matrix import union_results
 from ridgeworks.operators.moments import class_sums
@@ -15,6 +15,8 @@ from ridgeworks.operators.splits import positional_split, row_count, split_rows
 from ridgeworks.plans import sweep
 
 SHARDS = 4
+FAR = 1048576.0
+ABSENT = 99
 BY_VECTOR = {"features": "embedding", "row_id": "vec_id"}
 
 
@@ -112,6 +114,37 @@ def ridge_weights_eigh(spark, folder):
     return cells.withColumn("w", F.round("w", 6))
 
 
+def _weight_cells(weights, digits=6):
+    cells = weights.select("lambda_id", "label", F.posexplode("weights").alias("pos", "w"))
+    return cells.withColumn("w", F.round("w", digits))
+
+
+def ridge_weights_wide(spark, folder):
+    """By the blocked factorisation, in four blocks of the features."""
+    fit = sweep.fit_single(vectors(spark, folder), columns=VECTORS, solver="wide")
+    return _weight_cells(wide.solve_wide(fit.moments, fit.folds, fit.lambdas, fit.classes, tile=16))
+
+
+def ridge_weights_stable(spark, folder):
+    """Features a million from zero, in one scan."""
+    far = F.transform("embedding", lambda x: x.cast("double") + FAR)
+    rows = vectors(spark, folder).withColumn("embedding", far)
+    return _weight_cells(sweep.ridge_weights(rows, columns=VECTORS, stable=True), 4)
+
+
+def ridge_weights_train(spark, folder):
+    """Centred by the training rows alone."""
+    return _weight_cells(sweep.ridge_weights(vectors(spark, folder), columns=VECTORS, center="train"))
+
+
+def ridge_weights_absent(spark, folder):
+    """With a class that no row has: its targets are -1 everywhere."""
+    rows = vectors(spark, folder)
+    classes = [*sweep.distinct_labels(rows), ABSENT]
+    weights = sweep.ridge_weights(rows, columns=VECTORS, classes=classes)
+    return _weight_cells(weights.where(F.col("label") == ABSENT))
+
+
 def average_weights(spark, folder):
     fit = sweep.fit_shards(vectors(spark, folder), SHARDS, columns=VECTORS)
     means = solve.average_weights(fit.weights())
@@ -143,6 +176,12 @@ def ridge_sweep_sharded(spark, folder):
     return _rounded(sweep.ridge_sweep_sharded(vectors(spark, folder), SHARDS, columns=VECTORS))
 
 
+def ridge_sweep_sharded_drop(spark, folder):
+    """Each shard's last row is left out of its validation rows."""
+    rows = vectors(spark, folder)
+    return _rounded(sweep.ridge_sweep_sharded(rows, SHARDS, columns=VECTORS, drop_last=True))
+
+
 def size_sweep(spark, folder):
     rows = vectors(spark, folder)
     n = row_count(rows)
@@ -191,12 +230,17 @@ QUERIES = {
     "ridge_weights_2f": ridge_weights_2f,
     "ridge_weights": ridge_weights,
     "ridge_weights_eigh": ridge_weights_eigh,
+    "ridge_weights_wide": ridge_weights_wide,
+    "ridge_weights_stable": ridge_weights_stable,
+    "ridge_weights_train": ridge_weights_train,
+    "ridge_weights_absent": ridge_weights_absent,
     "average_weights": average_weights,
     "ridge_sweep": ridge_sweep,
     "ridge_sweep_drop_last": ridge_sweep_drop_last,
     "ridge_sweep_n": ridge_sweep_n,
     "best_lambda": best_lambda,
     "ridge_sweep_sharded": ridge_sweep_sharded,
+    "ridge_sweep_sharded_drop": ridge_sweep_sharded_drop,
     "size_sweep": size_sweep,
     "best_by_size": best_by_size,
     "ridge_sweep_orders": ridge_sweep_orders,
@@ -208,6 +252,7 @@ POSITIONAL_DROP = (
     "CASE WHEN vec_id < 4 * n // 5 THEN 'train' WHEN vec_id < n - 1 THEN 'validation' ELSE 'rest' END"
 )
 SINGLE = vector_rows("0", POSITIONAL)
+FAR_ROWS = SINGLE.replace("AS DOUBLE) AS x", f"AS DOUBLE) + {FAR} AS x")
 HASHED = vector_rows(
     "0",
     "CASE WHEN place <= 4 * n // 5 THEN 'train' WHEN place < n THEN 'validation' ELSE 'rest' END",
@@ -221,6 +266,10 @@ SHARDED = vector_rows(
          FROM (SELECT *, ntile({SHARDS}) OVER (ORDER BY vec_id) - 1 AS shard FROM embeddings))""",
 )
 
+SHARDED_DROP = SHARDED.replace(
+    "ELSE 'validation' END", "WHEN inside < size THEN 'validation' ELSE 'rest' END"
+)
+
 
 def _sizes(sizes: str) -> str:
     return vector_rows(
@@ -296,6 +345,11 @@ ORACLES = {
         SELECT k, CAST(1 AS INTEGER), round((aa * yb - ab * ya) / (aa * bb - ab * ab), 9) + 0.0 FROM y, g""",
     "ridge_weights": f"{weights_ctes(SINGLE)} {WEIGHTS}",
     "ridge_weights_eigh": f"{weights_ctes(SINGLE)} {WEIGHTS}",
+    "ridge_weights_wide": f"{weights_ctes(SINGLE)} {WEIGHTS}",
+    "ridge_weights_stable": f"{weights_ctes(FAR_ROWS)} {WEIGHTS}".replace("round(w, 6)", "round(w, 4)"),
+    "ridge_weights_train": f"""{weights_ctes(SINGLE, mean="avg(x) FILTER (WHERE part = 'train')")} {WEIGHTS}""",
+    "ridge_weights_absent": f"""{weights_ctes(SINGLE, labels=f"SELECT label FROM rows UNION SELECT {ABSENT}")} {WEIGHTS}
+        WHERE k = {ABSENT}""",
     "average_weights": f"""{weights_ctes(SHARDED)}
         SELECT lambda_id, k AS label, CAST(pos AS INTEGER) AS pos, round(avg(w), 6) + 0.0 AS w
         FROM w GROUP BY lambda_id, k, pos""",
@@ -308,6 +362,10 @@ ORACLES = {
         w AS (SELECT lambda_id, pos, k, avg(w) AS w FROM each GROUP BY lambda_id, pos, k),
         {accuracy_ctes(fold_key=False)}
         SELECT lambda_id, round(avg(accuracy), 6) AS accuracy FROM acc GROUP BY lambda_id""",
+    "ridge_sweep_sharded_drop": f"""{weights_ctes(SHARDED_DROP).replace("w AS (", "each AS (")},
+        w AS (SELECT lambda_id, pos, k, avg(w) AS w FROM each GROUP BY lambda_id, pos, k),
+        {accuracy_ctes(fold_key=False)}
+        SELECT lambda_id, round(avg(accuracy), 6) AS accuracy FROM acc GROUP BY lambda_id""",
     "size_sweep": f"""{weights_ctes(_sizes("count(*) // 5, 3 * count(*) // 5, count(*)"))}, {accuracy_ctes()}
         SELECT fold AS n, lambda_id, round(accuracy, 6) AS accuracy FROM acc""",
     "best_by_size": f"""{weights_ctes(_sizes("count(*) // 2, count(*)"))}, {accuracy_ctes()},

@@ -29,16 +29,21 @@ ELIMINATION = """solve(fold, lambda_id, step, m) USING KEY (fold, lambda_id) AS
       FROM solve WHERE step <= len(m))"""
 
 
-def weights_ctes(rows: str, penalty: str = "lam", grid: str = LAMBDA_VALUES, center: bool = True) -> str:
-    """CTEs up to w (fold, lambda_id, pos, k, w)."""
-    mean = "avg(x)" if center else "0.0::DOUBLE"
+def weights_ctes(
+    rows: str,
+    penalty: str = "lam",
+    grid: str = LAMBDA_VALUES,
+    mean: str = "avg(x)",
+    labels: str = "SELECT DISTINCT label FROM rows",
+) -> str:
+    """CTEs up to w (fold, lambda_id, pos, k, w); ``labels`` selects the classes."""
     return f"""
     WITH RECURSIVE rows AS MATERIALIZED ({rows}),
     sizes AS (SELECT fold, count(DISTINCT row_id) AS n FROM rows GROUP BY fold),
     mean AS (SELECT fold, pos, {mean} AS m FROM rows GROUP BY fold, pos),
     c AS MATERIALIZED (SELECT rows.*, x - m AS z FROM rows JOIN mean USING (fold, pos)),
     classes AS (SELECT label AS k, row_number() OVER (ORDER BY label) AS place
-                FROM (SELECT DISTINCT label FROM rows)),
+                FROM ({labels})),
     dims AS (SELECT max(pos) + 1 AS d FROM rows),
     l(lambda_id, lam) AS (VALUES {grid}),
     g AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS v

@@ -34,13 +34,27 @@ FEW_CLASSES = 64
 
 
 class Partial:
-    """Running sums of one segment inside one task."""
+    """Running sums of one segment inside one task.
 
-    def __init__(self, width: int, columns: tuple[int, int] | None):
-        self.columns = columns
+    The squares are held as column panels. What exceeds the budget of the task is not held: rows are
+    gathered up to that budget, and the products of their other panels are shipped at once, so that one
+    scan serves vectors of any length. With ``stable`` squares are taken about the mean of the rows added
+    up, and two sets of rows are merged by the distance of their means.
+    """
+
+    def __init__(self, width: int, gram: bool, stable: bool, budget: int):
+        self.stable, self.width = stable, width
         self.class_n: dict[int, int] = {}
         self.class_sum: dict[int, np.ndarray] = {}
-        self.gram = np.zeros((columns[1] - columns[0], width - columns[0])) if columns else None
+        self.panels: list[tuple[int, int]] = []
+        self.held: dict[tuple[int, int], list] = {}
+        self.waiting: list[np.ndarray] = []
+        self.wide = 8 * width * width > budget
+        if gram:
+            step = width if not self.wide else max(1, budget // 4 // (8 * width))
+            self.panels = [(p, min(p + step, width)) for p in range(0, width, step)]
+        self.kept = set(self.panels[:1] if self.wide else self.panels)
+        self.most = budget // 2
 
     def add(self, x: np.ndarray, y: np.ndarray, with_sums: bool) -> None:
         if with_sums:
@@ -53,9 +67,38 @@ class Partial:
             for label, count, total in zip(labels.tolist(), counts.tolist(), sums, strict=True):
                 self.class_n[label] = self.class_n.get(label, 0) + count
                 self.class_sum[label] = self.class_sum.get(label, 0.0) + total
-        if self.gram is not None:
-            first, last = self.columns
-            self.gram += x[:, first:last].T @ x[:, first:]
+        if self.panels:
+            self.waiting.append(x)
+
+    def full(self) -> bool:
+        """Whether the rows that wait are to be multiplied: at once where all panels are held."""
+        return not self.wide or sum(x.nbytes for x in self.waiting) > self.most
+
+    def multiply(self, segment: int) -> Iterator[pa.RecordBatch]:
+        """Take in the rows that wait; ship the panels that are not held."""
+        if not self.waiting:
+            return
+        x = self.waiting[0] if len(self.waiting) == 1 else np.concatenate(self.waiting)
+        self.waiting = []
+        mean = x.mean(axis=0) if self.stable else None
+        if self.stable:
+            x = x - mean
+        for panel in self.panels:
+            first, last = panel
+            part = [len(x), x[:, first:last].T @ x[:, first:], mean]
+            if panel not in self.kept:
+                yield from self._panel_rows(segment, panel, part)
+            elif panel not in self.held:
+                self.held[panel] = part
+            else:
+                held = self.held[panel]
+                if self.stable:
+                    n = held[0] + len(x)
+                    away = mean - held[2]
+                    held[1] += np.outer(away[first:last] * (held[0] * len(x) / n), away[first:])
+                    held[2] = held[2] + away * (len(x) / n)
+                held[0] += len(x)
+                held[1] += part[1]
 
     def class_rows(self, segment: int) -> Iterator[pa.RecordBatch]:
         """Ship the class sums and start them anew."""
@@ -67,15 +110,22 @@ class Partial:
             yield batch_of(segment, "class", some, [self.class_n[k] for k in some], vals)
         self.class_n, self.class_sum = {}, {}
 
+    def _panel_rows(self, segment: int, panel: tuple[int, int], part: list) -> Iterator[pa.RecordBatch]:
+        (first, last), (n, squares, mean) = panel, part
+        kind, count = ("comoment", n) if self.stable else ("gram", 0)
+        step = max(1, BATCH_BYTES // (8 * squares.shape[1]))
+        for start in range(first, last, step):
+            keys = list(range(start, min(start + step, last)))
+            upper = [squares[i - first, i - first :] for i in keys]
+            if self.stable:
+                upper = [np.concatenate((v, mean[i:])) for i, v in zip(keys, upper, strict=True)]
+            yield batch_of(segment, kind, keys, [count] * len(keys), upper)
+
     def rows(self, segment: int) -> Iterator[pa.RecordBatch]:
         yield from self.class_rows(segment)
-        if self.gram is not None:
-            first, last = self.columns
-            step = max(1, BATCH_BYTES // (8 * self.gram.shape[1]))
-            for start in range(first, last, step):
-                keys = list(range(start, min(start + step, last)))
-                upper = [self.gram[i - first, i - first :] for i in keys]
-                yield batch_of(segment, "gram", keys, [0] * len(keys), upper)
+        yield from self.multiply(segment)
+        for panel, part in self.held.items():
+            yield from self._panel_rows(segment, panel, part)
 
 
 def batch_of(segment, kind, keys, counts, vals) -> pa.RecordBatch:
@@ -91,12 +141,7 @@ def batch_of(segment, kind, keys, counts, vals) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW_SCHEMA)
 
 
-def _partials(
-    columns: tuple[int, int] | None,
-    gram_segments: set[int] | None,
-    with_sums: bool,
-    shift: np.ndarray | None,
-):
+def _partials(gram: bool, gram_segments: set[int] | None, stable: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Partial] = {}
         for batch in batches:
@@ -105,28 +150,29 @@ def _partials(
             x = to_matrix(batch.column("features"))
             if not np.isfinite(x.sum()) and not np.isfinite(x).all():
                 raise ValueError("feature vector with a value that is not finite")
-            if shift is not None:
-                x = x - shift
             y = batch.column("label").to_numpy(zero_copy_only=False)
             place = batch.column("segment").to_numpy(zero_copy_only=False)
+            width = x.shape[1]
             for segment in np.unique(place):
                 segment = int(segment)
-                wanted = columns if gram_segments is None or segment in gram_segments else None
-                if not (wanted or with_sums):
-                    continue
+                wanted = gram and (gram_segments is None or segment in gram_segments)
                 if segment not in held:
-                    size = (columns[1] - columns[0]) * x.shape[1] * 8 if columns else 0
+                    # a matrix too large for the task has a budget of its own, of that size
+                    size = min(8 * width * width, TASK_BUDGET) if gram else 0
                     if held and (len(held) + 1) * size > TASK_BUDGET:
                         for done, partial in held.items():
                             yield from partial.rows(done)
                         held = {}
-                    held[segment] = Partial(x.shape[1], wanted)
+                    held[segment] = Partial(width, wanted, stable, TASK_BUDGET)
                 inside = place == segment
+                partial = held[segment]
                 if inside.all():
-                    held[segment].add(x, y, with_sums)
+                    partial.add(x, y, True)
                 else:
-                    held[segment].add(x[inside], y[inside], with_sums)
-            if 8 * x.shape[1] * sum(len(part.class_sum) for part in held.values()) > TASK_BUDGET // 2:
+                    partial.add(x[inside], y[inside], True)
+                if partial.full():
+                    yield from partial.multiply(segment)
+            if 8 * width * sum(len(part.class_sum) for part in held.values()) > TASK_BUDGET // 2:
                 for segment, partial in held.items():
                     yield from partial.class_rows(segment)
         for segment, partial in held.items():
@@ -135,6 +181,18 @@ def _partials(
     return run
 
 
+def _merge(total: list, n: int, part: np.ndarray, pairwise: bool) -> None:
+    """Add a partial; of co-moments the second half is the mean of its n rows."""
+    if pairwise:
+        half, whole = len(part) // 2, total[0] + n
+        away = part[half:] - total[1][half:]
+        total[1][:half] += part[:half] + away * (away[0] * (total[0] * n / whole))
+        total[1][half:] += away * (n / whole)
+    else:
+        total[1] += part
+    total[0] += n
+
+
 def merge_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up partials; all rows of a (segment, kind, key) are in this partition."""
     held: dict[tuple, list] = {}
@@ -157,8 +215,7 @@ def merge_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             elif len(total[1]) != len(part):
                 raise ValueError("feature vectors differ in length")
             else:
-                total[0] += n
-                total[1] += part
+                _merge(total, n, part, kind == "comoment")
     entries = list(held.items())
     step = max(1, BATCH_BYTES // (8 * max((len(e[1][1]) for e in entries), default=1)))
     for at in range(0, len(entries), step):
@@ -181,17 +238,18 @@ def class_moments(
     segment: Column | None = None,
     gram: bool = True,
     gram_segments: Iterable[int] | None = None,
-    width: int | None = None,
-    shift: np.ndarray | None = None,
+    stable: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Sums per segment: (segment, kind, key, n, vals).
+    """Sums per segment in one scan: (segment, kind, key, n, vals).
 
     ``kind`` "class": key is the label, n its rows, vals the sum of their vectors.
     ``kind`` "gram": key is i, vals the elements i, i+1, ... of row i of the sum of x x^T.
-    Rows with a null segment are skipped; ``shift`` is subtracted from every vector;
-    ``partitions`` fixes the number of merging tasks. A Gram matrix beyond the task budget is computed in
-    column panels, one scan each: reading again is cheap beside the d^2 work per row.
+    ``kind`` "comoment", in place of "gram" with ``stable``: n rows, vals those elements of the sum of
+    (x - mean) (x - mean)^T, and after them the elements i, i+1, ... of the mean. Partial co-moments are
+    merged pairwise, so a mean that dwarfs the spread costs no digits.
+    Rows with a null segment are skipped; ``partitions`` fixes the number of merging tasks. Matrices beyond
+    the budget of a task are shipped in parts while the rows are read; they are never read again.
     """
     rows = df.select(
         F.col(features).alias("features"),
@@ -202,19 +260,7 @@ def class_moments(
         "label", F.when(F.col("label").isNull(), F.raise_error(F.lit("null label"))).otherwise(F.col("label"))
     )
     wanted = None if gram_segments is None else set(gram_segments)
-    if gram:
-        d = feature_width(df, features) if width is None else width
-        step = max(1, min(d, TASK_BUDGET // (8 * d)))
-        panels = [(p, min(p + step, d)) for p in range(0, d, step)]
-    else:
-        panels = [None]
-    parts = [
-        rows.mapInArrow(_partials(panel, wanted, place == 0, shift), SCHEMA)
-        for place, panel in enumerate(panels)
-    ]
-    partials = parts[0]
-    for part in parts[1:]:
-        partials = partials.unionAll(part)
+    partials = rows.mapInArrow(_partials(gram, wanted, stable), SCHEMA)
     keys = ["segment", "kind", "key"]
     merged = partials.repartition(partitions, *keys) if partitions else partials.repartition(*keys)
     return merged.mapInArrow(merge_partials, SCHEMA)

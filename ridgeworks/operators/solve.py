@@ -61,6 +61,8 @@ class FoldMoments:
 
     def __init__(self, batches: Iterator[pa.RecordBatch], classes: list[int], center: str):
         self.gram = None
+        # rows and mean of every set of rows whose squares were taken about that mean
+        about: list[tuple[int, np.ndarray]] = []
         train_sum: dict[int, np.ndarray] = {}
         train_n: dict[int, int] = {}
         all_sum, self.n_all = 0.0, 0
@@ -77,6 +79,10 @@ class FoldMoments:
                         train_sum[key] = train_sum.get(key, 0.0) + part
                         train_n[key] = train_n.get(key, 0) + n
                 elif in_train:
+                    if kind == "comoment":
+                        part, own_mean = np.split(part, 2)
+                        if key == 0:
+                            about.append((n, own_mean))
                     d = key + len(part)
                     if self.gram is None:
                         self.gram = np.zeros((d, d))
@@ -88,7 +94,11 @@ class FoldMoments:
         mean = {"all": all_sum / self.n_all, "train": total / max(n, 1), "none": np.zeros(d)}[center]
         self.mean = mean
         self.gram += np.triu(self.gram, 1).T
-        self.gram += np.column_stack((n * mean - total, -mean)) @ np.vstack((mean, total))
+        if about:
+            away = np.array([own_mean - mean for _, own_mean in about])
+            self.gram += (away.T * [rows for rows, _ in about]) @ away
+        else:
+            self.gram += np.column_stack((n * mean - total, -mean)) @ np.vstack((mean, total))
         own = np.array([train_sum.get(k, np.zeros(d)) for k in classes])
         count = np.array([train_n.get(k, 0) for k in classes])
         targets = ((2 * own - total) - np.outer(2 * count - n, mean)).T  # d x classes
@@ -116,14 +126,12 @@ def solve_ridge(
     center: str = "all",
     reg_scale: str = "none",
     solver: str = "direct",
-    shift: np.ndarray | None = None,
 ) -> DataFrame:
     """Weights (fold, lambda_id, lambda, label, weights, centre).
 
     ``solver="direct"`` solves each lambda in a task of its own; ``"eigh"`` decomposes a fold's
     Gram matrix once and reuses it for all its lambdas. ``reg_scale="n"`` multiplies lambda by the
-    number of rows of the fold. A score is ``weights . (x - centre)``. ``shift`` is what was
-    subtracted from the vectors before their moments were taken.
+    number of rows of the fold. A score is ``weights . (x - centre)``.
     """
     if center not in ("all", "train", "none") or reg_scale not in ("none", "n"):
         raise ValueError(f"unknown center={center!r} or reg_scale={reg_scale!r}")
@@ -156,7 +164,6 @@ def solve_ridge(
         factor = m.n_all if reg_scale == "n" else 1.0
         solved = solve(m, [lambdas[i] * factor for i in ids])
         k = len(classes)
-        centre = m.mean if shift is None else m.mean + shift
         for i, weights in zip(ids, solved, strict=True):
             yield pa.RecordBatch.from_arrays(
                 [
@@ -165,7 +172,7 @@ def solve_ridge(
                     pa.array([lambdas[i]] * k, pa.float64()),
                     pa.array(classes, pa.int32()),
                     to_list_array(weights.T[m.place]),
-                    to_list_array(np.broadcast_to(centre, (k, len(centre)))),
+                    to_list_array(np.broadcast_to(m.mean, (k, len(m.mean)))),
                 ],
                 schema=ARROW_SCHEMA,
             )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ridgeworks.functions.pixels import to_matrix
 from ridgeworks.functions.vectors import lambda_array, log_spaced
 from ridgeworks.operators.indexing import shard_bounds, shard_of
-from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width, mean_vector
+from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width
 from ridgeworks.operators.score import Scorer
 from ridgeworks.operators.solve import DENSE_LIMIT, Fold, average_weights, solve_ridge
 from ridgeworks.operators.splits import TRAIN_SHARE, Split, dense_row_count, hash_split, positional_split
@@ -67,8 +67,8 @@ class RidgeFit:
     ):
         """``validation`` narrows the rows that are scored, so that the scan can skip the others.
 
-        ``stable`` takes a pass for the mean first and subtracts it before squares are added up:
-        for vectors whose mean is large beside their spread. ``clustered`` says that the files
+        ``stable`` takes squares about the mean of the rows at hand and merges them pairwise: for vectors
+        whose mean is large beside their spread. ``clustered`` says that the files
         hold the rows in row_id order already.
         """
         self.df, self.folds, self.segment, self.columns = df, folds, segment, columns
@@ -81,10 +81,6 @@ class RidgeFit:
             solver = "direct" if len(folds) == 1 else "eigh"
             solver = solver if self.width <= DENSE_LIMIT else "wide"
         self.solver = solver
-        self.shift = None
-        if stable and center != "none":
-            rows = mean_vector(df, columns.features).orderBy("pos").collect()
-            self.shift = np.array([r["mean"] for r in rows])
         training = {s for f in folds for s in f.train}
         rows = df
         if len(training) > 1 and len(training) * self.width**2 * 8 > TASK_BUDGET and not clustered:
@@ -97,9 +93,8 @@ class RidgeFit:
                 columns.label,
                 segment,
                 gram_segments=training,
-                width=self.width,
-                shift=self.shift,
-                # later steps multiply with the stored rows again and again, 32 MB a task
+                stable=stable,
+                # a merging task holds 32 MB
                 partitions=max(8, self.width**2 // 2**23) if solver == "wide" else None,
             )
         )
@@ -118,7 +113,6 @@ class RidgeFit:
             self.classes,
             self.center,
             self.reg_scale,
-            shift=self.shift,
             **more,
         )
 

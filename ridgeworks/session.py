@@ -62,3 +62,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A new path for a table in the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``stored`` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    shared = spark.sparkContext.getCheckpointDir()
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if path.toUri().getPath().startswith(spark._jvm.org.apache.hadoop.fs.Path(shared).toUri().getPath()):
+            files.delete(path, True)

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.functions.vectors import log_spaced
-from ridgeworks.operators import moments, score, solve
-from ridgeworks.operators.wide import solve_wide
+from ridgeworks.operators import moments, score, solve, wide
 from ridgeworks.plans import sweep
 from ridgeworks.session import ensure_checkpoint_dir
 from tests import brute
@@ -225,22 +224,76 @@ def test_large_mean(spark, solver):
     assert fit.accuracies().first()["accuracy"] == pytest.approx(brute.sweep(far, y, [1.0])[0])
 
 
-@pytest.mark.parametrize("columns", [1, 2, 5, 9])
-def test_wide_solver_in_several_column_sets(spark, columns):
+@pytest.mark.parametrize("tile, class_rows", [(1, 1), (2, 2), (4, 3), (5, 1), (6, 9)])
+@pytest.mark.parametrize("stable", [False, True])
+def test_tiles_of_any_size(spark, monkeypatch, tile, class_rows, stable):
     x, y = separable()
-    fit = sweep.fit_single(frame(spark, x, y), lambdas=LAMBDAS, solver="wide")
-    parts = solve_wide(fit.moments, fit.folds, LAMBDAS, fit.classes, budget=8 * 6 * columns)
-    expected = weight_rows(solve.solve_ridge(fit.moments, fit.folds, LAMBDAS, fit.classes))
-    found = weight_rows(parts)
+    monkeypatch.setattr(wide, "CLASS_BYTES", 8 * 6 * class_rows)
+    fit = sweep.fit_single(frame(spark, x, y), lambdas=LAMBDAS, solver="wide", stable=stable)
+    expected = weight_rows(solve.solve_ridge(fit.moments, fit.folds, LAMBDAS, fit.classes, reg_scale="n"))
+    found = weight_rows(wide.solve_wide(fit.moments, fit.folds, LAMBDAS, fit.classes, reg_scale="n", tile=tile))
     assert found.keys() == expected.keys()
-    assert all(np.allclose(found[key], expected[key], atol=1e-8) for key in expected)
+    assert all(np.allclose(found[key], expected[key], atol=1e-10) for key in expected)
 
 
-def test_wide_solver_says_when_it_fails(spark):
-    x, y = separable()
-    fit = sweep.fit_single(frame(spark, x, y), lambdas=[0.01], solver="wide")
-    with pytest.raises(RuntimeError, match="converge"):
-        solve_wide(fit.moments, fit.folds, [0.01], fit.classes, max_iterations=1)
+@pytest.mark.parametrize("center", ["all", "train", "none"])
+def test_folds_in_tiles(spark, center):
+    """Several folds, segments that several folds share, a class that the first fold lacks."""
+    x, y = separable(100)
+    y[:40] %= 2
+    found = []
+    for solver in ("wide", "direct"):
+        ours = sweep.size_sweep(frame(spark, x, y), [30, 55, 100], lambdas=LAMBDAS, solver=solver, center=center)
+        found.append({(r["n"], r["lambda_id"]): r["accuracy"] for r in ours.collect()})
+    assert found[0] == found[1] and len(found[0]) == 9
+
+
+@pytest.mark.parametrize("limit", [39, 40])
+def test_nothing_changes_at_the_dense_limit(spark, monkeypatch, limit):
+    """The solver that the width chooses, on either side of the limit."""
+    x, y = separable(150, d=40)
+    monkeypatch.setattr(sweep, "DENSE_LIMIT", limit)
+    fit = sweep.fit_single(frame(spark, x, y), lambdas=LAMBDAS)
+    assert fit.solver == {39: "wide", 40: "direct"}[limit]
+    expected = np.array([brute.fit((x - x.mean(axis=0))[:120], y[:120], fit.classes, v) for v in LAMBDAS])
+    found = weight_rows(fit.weights())
+    assert np.allclose([[found[i, k] for k in fit.classes] for i in range(3)], expected.transpose(0, 2, 1), atol=1e-9)
+    assert accuracies(fit.accuracies()) == pytest.approx(brute.sweep(x, y, LAMBDAS))
+
+
+def test_one_scan_of_wide_vectors(spark, monkeypatch):
+    """Vectors whose matrix exceeds the budget of a task are read once, with 21 600 features as with 7."""
+    x, y = separable(60, d=7)
+    whole = np.round(100 * x)
+    rows = frame(spark, whole, y)
+    expected = sorted(map(tuple, moments.gram_matrix(rows).collect()))
+    for budget in (8 * 7 * 8, 8 * 7 * 30):
+        monkeypatch.setattr(moments, "TASK_BUDGET", budget)
+        sums = moments.gram_matrix(rows)
+        assert sums._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2
+        assert sorted(map(tuple, sums.collect())) == expected
+        for solver in ("direct", "wide"):
+            fit = sweep.fit_single(rows, lambdas=[1.0], stable=True, solver=solver)
+            found = weight_rows(fit.weights())
+            z = (whole - whole.mean(axis=0))[:48]
+            assert np.allclose(np.array([found[0, k] for k in fit.classes]).T, brute.fit(z, y[:48], fit.classes, 1.0), atol=1e-10)
+    wide_rows = spark.range(3).select(F.transform(F.sequence(F.lit(1), F.lit(21600)), lambda i: i * 1.0).alias("features"))
+    plan = moments.gram_matrix(wide_rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "Union" not in plan
+
+
+@pytest.mark.parametrize("center", ["all", "train", "none"])
+def test_pairwise_moments_keep_their_digits(spark, center):
+    x, y = separable(200)
+    far = x + 1e6
+    stable = moments.class_moments(frame(spark, far, y, 7), label="label", stable=True)
+    row = stable.where("kind = 'comoment' AND key = 0").first()
+    assert row["n"] == 200 and np.allclose(row["vals"][6:], far.mean(axis=0), rtol=1e-14)
+    spread = (x - x.mean(axis=0)).T @ (x - x.mean(axis=0))
+    assert np.allclose(row["vals"][:6], spread[0], rtol=1e-8)
+    ours = sweep.ridge_sweep(frame(spark, far, y, 7), lambdas=LAMBDAS, stable=True, center=center)
+    if center != "none":
+        assert accuracies(ours) == pytest.approx(brute.sweep(x, y, LAMBDAS, center=center))
 
 
 def test_column_panels_and_early_flush(spark, monkeypatch):
