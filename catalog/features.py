@@ -185,6 +185,15 @@ def matmul_cells(spark, folder):
     return matrix.matmul_cells(a, b)
 
 
+def matmul_heavy(spark, folder):
+    """Orders by return flag times return flags by line number: three inner indices hold all cells."""
+    flag = F.ascii("l_returnflag").cast("bigint")
+    lines = table(spark, folder, "lineitem")
+    a = lines.select(F.col("l_orderkey").alias("i"), flag.alias("j"), F.col("l_quantity").cast("bigint").alias("v"))
+    counts = lines.groupBy(flag.alias("i"), F.col("l_linenumber").alias("j")).agg(F.count("*").alias("v"))
+    return matrix.matmul_cells(a, counts)
+
+
 QUERIES = {
     "dataset_shape": dataset_shape,
     "flatten_rowmajor": flatten_rowmajor,
@@ -207,6 +216,7 @@ QUERIES = {
     "ridge_diagonal": ridged,
     "matmul_blocks": matmul_blocks,
     "matmul_cells": matmul_cells,
+    "matmul_heavy": matmul_heavy,
 }
 
 GRAM_SQL = """
@@ -321,4 +331,9 @@ ORACLES = {
     "matmul_cells": """
         SELECT c_custkey AS i, n_regionkey AS j, CAST(sum(1 * (n_nationkey + 1)) AS BIGINT) AS v
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_custkey, n_regionkey""",
+    "matmul_heavy": """
+        WITH a AS (SELECT l_orderkey, l_returnflag, sum(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL),
+             b AS (SELECT l_returnflag, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)
+        SELECT l_orderkey AS i, l_linenumber AS j, CAST(sum(q * n) AS BIGINT) AS v
+        FROM a JOIN b USING (l_returnflag) GROUP BY l_orderkey, l_linenumber""",
 }

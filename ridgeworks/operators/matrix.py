@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridgeworks.functions.pixels import to_matrix
 from ridgeworks.operators.indexing import whole_part
+from ridgeworks.session import stored
 
 TILE = "bi int, bj int, h int, w int, tile binary"
 TILE_SCHEMA = pa.schema(
@@ -18,6 +19,10 @@ TILE_SCHEMA = pa.schema(
 )
 # bytes of product tiles one task may hold before it ships them
 TASK_BUDGET = 256 * 1024 * 1024
+# a group of a tiled product holds so many rows and columns of tiles, by so many inner blocks
+GRID, SLAB = 8, 16
+# cells of one inner index and side that meet in one task
+HEAVY = 4096
 
 
 def cells(df: DataFrame, row: str, features: str) -> DataFrame:
@@ -101,36 +106,53 @@ def _tile(batch: pa.RecordBatch, row: int, side: str) -> np.ndarray:
     return np.frombuffer(batch.column(f"tile{side}")[row].as_buffer(), np.float64).reshape(h, w)
 
 
-def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Products of tile pairs, added up per output tile inside the task."""
+def _multiply(left: Iterator[pa.RecordBatch], right: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Products of the tiles of one cell of the grid, added up per output tile."""
+    stored: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for batch in right:
+        for row in range(batch.num_rows):
+            inner, bj = batch.column("inner")[row].as_py(), batch.column("bj")[row].as_py()
+            stored.setdefault(inner, []).append((bj, _tile(batch, row, "")))
+    held: dict[tuple[int, int], np.ndarray] = {}
+    for batch in left:
+        for row in range(batch.num_rows):
+            bi, inner = batch.column("bi")[row].as_py(), batch.column("inner")[row].as_py()
+            tile = _tile(batch, row, "")
+            for bj, other in stored.get(inner, []):
+                product = tile @ other
+                held[bi, bj] = held[bi, bj] + product if (bi, bj) in held else product
+    if held:
+        yield _tile_batch([(*k, v) for k, v in held.items()])
+
+
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the partial tiles of one task, as many at a time as its budget holds."""
     held: dict[tuple[int, int], np.ndarray] = {}
     size = 0
     for batch in batches:
         for row in range(batch.num_rows):
             key = batch.column("bi")[row].as_py(), batch.column("bj")[row].as_py()
-            product = _tile(batch, row, "_a") @ _tile(batch, row, "_b")
+            part = _tile(batch, row, "")
             if key in held:
-                held[key] += product
+                held[key] += part
                 continue
-            if size + product.nbytes > TASK_BUDGET and held:
+            if size + part.nbytes > TASK_BUDGET and held:
                 yield _tile_batch([(*k, v) for k, v in held.items()])
                 held, size = {}, 0
-            held[key] = product
-            size += product.nbytes
+            held[key] = part.copy()
+            size += part.nbytes
     if held:
         yield _tile_batch([(*k, v) for k, v in held.items()])
 
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum partial output tiles; all partials of a tile are in this partition."""
-    held: dict[tuple[int, int], np.ndarray] = {}
+def _add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum all partials of one output tile."""
+    total = None
     for batch in batches:
         for row in range(batch.num_rows):
-            key = batch.column("bi")[row].as_py(), batch.column("bj")[row].as_py()
             part = _tile(batch, row, "")
-            held[key] = held[key] + part if key in held else part.copy()
-    for key, total in held.items():
-        yield _tile_batch([(*key, total)])
+            total = part.copy() if total is None else total + part
+    yield _tile_batch([(key[0].as_py(), key[1].as_py(), total)])
 
 
 def _unpack(size: int):
@@ -157,8 +179,8 @@ def matmul_blocks(
 ) -> DataFrame:
     """C = A B for dense matrices of any shape, as cells (i, j, v).
 
-    Tiles meet on the inner block number, so what is joined and shuffled is tiles rather than the
-    N * d^2 cell products. Each inner block holds the same number of tiles: no key is hot.
+    Tiles meet in the cells of a three-dimensional grid, so what is shuffled is tiles rather than the
+    N * d^2 cell products, and every group has the same size.
     """
     a_shape, b_shape = a_shape or shape_of(a), b_shape or shape_of(b)
     if a_shape[1] != b_shape[0]:
@@ -166,20 +188,90 @@ def matmul_blocks(
     return matmul_tiles(tiles(a, a_shape, size), tiles(b, b_shape, size), size)
 
 
-def matmul_tiles(a: DataFrame, b: DataFrame, size: int = 128) -> DataFrame:
-    """Product of two tiled matrices, as cells (i, j, v)."""
-    left = a.toDF("bi", "_inner", "h_a", "w_a", "tile_a")
-    right = b.toDF("_inner", "bj", "h_b", "w_b", "tile_b")
-    products = left.join(right, "_inner").mapInArrow(_multiply, TILE)
-    whole = products.repartition("bi", "bj").mapInArrow(_add, TILE)
+def matmul_tiles(a: DataFrame, b: DataFrame, size: int = 128, grid: int = GRID, slab: int = SLAB) -> DataFrame:
+    """Product of two tiled matrices, as cells (i, j, v).
+
+    The work is a grid of ``grid`` x ``grid`` output tiles by ``slab`` inner blocks: a tile of the left
+    matrix goes to every column of the grid, one of the right to every row, and each cell of the grid is a
+    group of its own. What a group holds is the same whatever the shapes, and their number grows with all
+    three sizes, so a long inner side is as many tasks as a long outer one. Partial tiles are added up in
+    their task first, then by output tile.
+    """
+    rows, columns = (x.agg(F.max(c)).first()[0] for x, c in ((a, "bi"), (b, "bj")))
+    if rows is None or columns is None:
+        return a.sparkSession.createDataFrame([], "i long, j long, v double")
+
+    def every(top: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(top // grid)))
+
+    def part(name: str, width: int) -> Column:
+        return whole_part(F.col(name), width).cast("int")
+
+    left = a.withColumnRenamed("bj", "inner").select("*", part("bi", grid).alias("gi"), every(columns).alias("gj"))
+    right = b.withColumnRenamed("bi", "inner").select("*", part("bj", grid).alias("gj"), every(rows).alias("gi"))
+    keys = ["gi", "gj", "slab"]
+    left, right = (x.withColumn("slab", part("inner", slab)).groupBy(*keys) for x in (left, right))
+
+    def multiply(one: pa.Table, other: pa.Table) -> pa.Table:
+        made = list(_multiply(iter(one.to_batches()), iter(other.to_batches())))
+        return pa.Table.from_batches(made, TILE_SCHEMA)
+
+    products = left.cogroup(right).applyInArrow(multiply, TILE).mapInArrow(_combine, TILE)
+    whole = products.groupBy("bi", "bj").applyInArrow(_add, TILE)
     return whole.mapInArrow(_unpack(size), "i long, j long, v double")
 
 
-def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
-    """C = A B for sparse matrices: join on the inner index, add up per cell."""
-    left = a.select("i", F.col("j").alias("_inner"), F.col("v").alias("_a"))
-    right = b.select(F.col("i").alias("_inner"), "j", F.col("v").alias("_b"))
-    return left.join(right, "_inner").groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
+def _inner_sizes(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
+    """(inner, left, right, left_parts, right_parts) of the inner indices with over ``most`` cells on a side."""
+    sizes = a.groupBy("inner").agg(F.count("*").alias("left"))
+    sizes = sizes.join(b.groupBy("inner").agg(F.count("*").alias("right")), "inner")
+    parts = [F.ceil(F.col(x) / most).cast("int").alias(f"{x}_parts") for x in ("left", "right")]
+    return sizes.where((F.col("left") > most) | (F.col("right") > most)).select("*", *parts)
+
+
+def _with_parts(cells: DataFrame, heavy: DataFrame, hot: DataFrame) -> DataFrame:
+    """Cells with the numbers of parts of their inner index, one for an index that is not heavy.
+
+    Rows of the hot indices, which may each hold a large share of all, meet theirs by a broadcast and never
+    move; those of the others are shuffled by index.
+    """
+    few = cells.join(F.broadcast(hot), "inner")
+    rest = cells.join(F.broadcast(hot.select("inner")), "inner", "left_anti")
+    cold = heavy.join(F.broadcast(hot.select("inner")), "inner", "left_anti")
+    both = few.unionByName(rest.join(cold, "inner", "left").select(*few.columns))
+    return both.fillna(1, ["left_parts", "right_parts"])
+
+
+def matmul_cells(a: DataFrame, b: DataFrame, most: int = HEAVY) -> DataFrame:
+    """C = A B for sparse matrices: join on the inner index, add up per cell.
+
+    The cells of an inner index make as many products as one side has cells times the other. Where either
+    side has more than ``most``, both are cut into parts of about that many, every part of one side meets
+    every part of the other under a key of its own, and no task makes more than ``most`` squared of them.
+    Heavy indices are counted first; without any, cells are joined as they are. At most 2000 indices, those
+    with over a thousandth of a side's cells, are broadcast.
+    """
+    left = a.select("i", F.col("j").alias("inner"), F.col("v").alias("_a"))
+    right = b.select(F.col("i").alias("inner"), "j", F.col("v").alias("_b"))
+    product = F.sum(F.col("_a") * F.col("_b")).alias("v")
+    heavy = stored(_inner_sizes(left, right, most), "matmul-heavy")
+    if heavy.isEmpty():
+        return left.join(right, "inner").groupBy("i", "j").agg(product)
+    totals = [x.count() for x in (left, right)]
+    hot = heavy.where((F.col("left") * 1000 > totals[0]) | (F.col("right") * 1000 > totals[1]))
+    columns = ["inner", "left_parts", "right_parts"]
+    heavy, hot = heavy.select(*columns), hot.select(*columns)
+
+    def cut(cells: DataFrame, own: str, other: str, place: str, value: str) -> DataFrame:
+        """Each cell, repeated ones added up, in its part of its own side, once for every part of the other."""
+        cells = cells.groupBy("inner", place).agg(F.sum(value).alias(value))
+        mine = F.pmod(F.xxhash64(place), F.col(f"{own}_parts")).cast("int").alias(f"_{own}")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)).alias(f"_{other}")
+        return _with_parts(cells, heavy, hot).select(*cells.columns, mine, theirs)
+
+    lefts = cut(left, "left", "right", "i", "_a")
+    rights = cut(right, "right", "left", "j", "_b")
+    return lefts.join(rights, ["inner", "_left", "_right"]).groupBy("i", "j").agg(product)
 
 
 def transpose_table(
