@@ -141,15 +141,20 @@ def batch_of(segment, kind, keys, counts, vals) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW_SCHEMA)
 
 
+def finite_matrix(column: pa.Array) -> np.ndarray:
+    x = to_matrix(column)
+    if not np.isfinite(x.sum()) and not np.isfinite(x).all():
+        raise ValueError("feature vector with a value that is not finite")
+    return x
+
+
 def _partials(gram: bool, gram_segments: set[int] | None, stable: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Partial] = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = to_matrix(batch.column("features"))
-            if not np.isfinite(x.sum()) and not np.isfinite(x).all():
-                raise ValueError("feature vector with a value that is not finite")
+            x = finite_matrix(batch.column("features"))
             y = batch.column("label").to_numpy(zero_copy_only=False)
             place = batch.column("segment").to_numpy(zero_copy_only=False)
             width = x.shape[1]
@@ -231,6 +236,11 @@ def feature_width(df: DataFrame, features: str = "features") -> int:
     return row[0]
 
 
+def known_label(label: Column) -> Column:
+    """The label as an int; null is an error."""
+    return F.coalesce(label.cast("int"), F.raise_error(F.lit("null label")).cast("int"))
+
+
 def class_moments(
     df: DataFrame,
     features: str = "features",
@@ -253,12 +263,9 @@ def class_moments(
     """
     rows = df.select(
         F.col(features).alias("features"),
-        (F.col(label) if label else F.lit(0)).cast("int").alias("label"),
+        known_label(F.col(label) if label else F.lit(0)).alias("label"),
         (F.lit(0) if segment is None else segment).cast("int").alias("segment"),
     ).where(F.col("segment").isNotNull())
-    rows = rows.withColumn(
-        "label", F.when(F.col("label").isNull(), F.raise_error(F.lit("null label"))).otherwise(F.col("label"))
-    )
     wanted = None if gram_segments is None else set(gram_segments)
     partials = rows.mapInArrow(_partials(gram, wanted, stable), SCHEMA)
     keys = ["segment", "kind", "key"]

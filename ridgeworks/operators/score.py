@@ -40,7 +40,24 @@ class Block:
         return flat.reshape(len(x), len(self.lambda_ids), len(self.labels))
 
 
-def _blocks(table: pa.Table, centres: dict[int, np.ndarray] | None) -> list[Block]:
+def _centre_scores(centres: DataFrame, weights: np.ndarray) -> dict[int, np.ndarray]:
+    """fold -> score of its centre under every weight vector, taken where the centres are."""
+    shared = centres.sparkSession.sparkContext.broadcast(weights.T)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                offsets = to_list_array(to_matrix(batch.column("centre")) @ shared.value)
+                yield pa.RecordBatch.from_arrays([batch.column("fold"), offsets], ["fold", "offsets"])
+
+    table = centres.select("fold", "centre").mapInArrow(run, "fold int, offsets array<double>").toArrow()
+    if table.num_rows == 0:
+        return {}
+    offsets = to_matrix(table.column("offsets").combine_chunks())
+    return dict(zip(table.column("fold").to_pylist(), offsets, strict=True))
+
+
+def _blocks(table: pa.Table, centres: DataFrame | None) -> list[Block]:
     """Weight rows to blocks: one per fold, or a single shared one when centres come apart."""
     if table.num_rows == 0:
         return []
@@ -55,7 +72,7 @@ def _blocks(table: pa.Table, centres: dict[int, np.ndarray] | None) -> list[Bloc
         offset = np.einsum("ij,ij->i", weights, centre)
         sets = [(folds == f, {int(f): offset[folds == f]}) for f in np.unique(folds)]
     else:
-        sets = [(np.ones(len(ids), bool), {f: weights @ m for f, m in centres.items()})]
+        sets = [(np.ones(len(ids), bool), _centre_scores(centres, weights))]
     blocks = []
     for own, offsets in sets:
         lambda_ids, classes = np.unique(ids[own]), np.unique(labels[own])
@@ -175,8 +192,9 @@ class Scorer:
     """Rows to score and weights to score them with; each method gives one lazy result.
 
     ``weights`` has (fold, lambda_id, label, weights, centre), or (lambda_id, label, weights) when
-    ``centres`` names every fold's mean. ``width`` and the lists bound what is read to the driver:
-    weights come in passes of at most ``budget`` bytes, each broadcast once.
+    ``centres`` is a table of every fold's mean (fold, centre). ``width`` and the lists bound what is read to
+    the driver: weights, and one number per fold for each, come in passes of at most ``budget`` bytes, each
+    broadcast once.
     """
 
     def __init__(
@@ -188,7 +206,7 @@ class Scorer:
         width: int,
         folds: list[Fold] | None = None,
         segment: Column | None = None,
-        centres: dict[int, np.ndarray] | None = None,
+        centres: DataFrame | None = None,
         features: str = "features",
         label: str | None = "label",
         row_id: str = "row_id",
@@ -205,7 +223,7 @@ class Scorer:
         ]
         self.folds, self.centres = folds, centres
         copies = 1 if centres is not None or folds is None else len(folds)
-        each = copies * width * 16
+        each = copies * width * 16 + 16 * len(folds or [0])
         self.passes = _passes(list(lambda_ids), list(classes), each, budget)
         self.split_classes = any(len(c) < len(classes) for _, c in self.passes)
         self.weights = weights if len(self.passes) == 1 else checkpoint(weights)

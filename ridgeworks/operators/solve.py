@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.functions.pixels import to_list_array
+from ridgeworks.functions.pixels import to_list_array, to_matrix
 from ridgeworks.functions.vectors import lambda_array
+from ridgeworks.operators.moments import TASK_BUDGET, Partial, finite_matrix
 
 SCHEMA = (
     "fold int, lambda_id int, lambda double, label int, weights array<double>, centre array<double>"
@@ -163,31 +164,131 @@ def solve_ridge(
         ids = [key[1].as_py()] if len(key) == 2 else list(range(len(lambdas)))
         factor = m.n_all if reg_scale == "n" else 1.0
         solved = solve(m, [lambdas[i] * factor for i in ids])
-        k = len(classes)
         for i, weights in zip(ids, solved, strict=True):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([key[0].as_py()] * k, pa.int32()),
-                    pa.array([i] * k, pa.int32()),
-                    pa.array([lambdas[i]] * k, pa.float64()),
-                    pa.array(classes, pa.int32()),
-                    to_list_array(weights.T[m.place]),
-                    to_list_array(np.broadcast_to(m.mean, (k, len(m.mean)))),
-                ],
-                schema=ARROW_SCHEMA,
-            )
+            yield weight_rows(key[0].as_py(), i, lambdas[i], classes, weights.T[m.place], m.mean)
 
     # an explicit number of tasks: the input is small, the solves are not
     return rows.repartition(2 * groups, *keys).groupBy(*keys).applyInArrow(fit, SCHEMA)
 
 
+def fit_in_place(
+    rows: DataFrame,
+    lambdas: list[float],
+    classes: list[int],
+    center: str = "all",
+    reg_scale: str = "none",
+    stable: bool = False,
+) -> DataFrame:
+    """Weights of many folds, each fitted in one task from its own rows; same columns as ``solve_ridge``.
+
+    ``rows`` has (fold, in_train, label, features). The rows are shuffled by fold once and read batch by
+    batch; no matrix leaves its task. For folds that are many and small beside the table, shards say.
+    """
+
+    def fit(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[bool, Partial] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = finite_matrix(batch.column("features"))
+            y = batch.column("label").to_numpy(zero_copy_only=False)
+            trains = batch.column("in_train").to_numpy(zero_copy_only=False)
+            for own in np.unique(trains).tolist():
+                inside = trains == own
+                if own not in parts:
+                    parts[own] = Partial(x.shape[1], own, stable, budget=8 * x.shape[1] ** 2)
+                parts[own].add(x[inside], y[inside], True)
+                for _ in parts[own].multiply(0):
+                    raise AssertionError("all panels are held")
+
+        def sums() -> Iterator[pa.RecordBatch]:
+            for own, partial in parts.items():
+                for batch in partial.rows(0):
+                    yield batch.append_column("in_train", pa.array([own] * batch.num_rows))
+
+        m = FoldMoments(sums(), classes, center)
+        factor = m.n_all if reg_scale == "n" else 1.0
+        solved = _solve_eigh(m, [v * factor for v in lambdas])
+        for i, weights in enumerate(solved):
+            yield weight_rows(key[0].as_py(), i, lambdas[i], classes, weights.T[m.place], m.mean)
+
+    return rows.groupBy("fold").applyInArrow(fit, SCHEMA)
+
+
+def weight_rows(
+    fold: int, index: int, value: float, classes: list[int], weights: np.ndarray, centre: np.ndarray
+) -> pa.RecordBatch:
+    """One row per class with its weights and the centre of the fold."""
+    k = len(classes)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([fold] * k, pa.int32()),
+            pa.array([index] * k, pa.int32()),
+            pa.array([value] * k, pa.float64()),
+            pa.array(classes, pa.int32()),
+            to_list_array(weights),
+            to_list_array(np.broadcast_to(centre, (k, len(centre)))),
+        ],
+        schema=ARROW_SCHEMA,
+    )
+
+
+SUMS = "lambda_id int, lambda double, label int, n long, weights array<double>"
+
+
+def _sum_batch(held: dict[tuple, list]) -> pa.RecordBatch:
+    keys = list(held)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([k[0] for k in keys], pa.int32()),
+            pa.array([k[1] for k in keys], pa.float64()),
+            pa.array([k[2] for k in keys], pa.int32()),
+            pa.array([held[k][0] for k in keys], pa.int64()),
+            to_list_array(np.array([held[k][1] for k in keys])),
+        ],
+        names=["lambda_id", "lambda", "label", "n", "weights"],
+    )
+
+
+def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole vectors added up by (lambda, label), as many keys at a time as the task's budget holds."""
+    held: dict[tuple, list] = {}
+    size = 0
+    for batch in batches:
+        names = zip(*[batch.column(x).to_pylist() for x in ("lambda_id", "lambda", "label")], strict=True)
+        for key, vector in zip(names, to_matrix(batch.column("weights")), strict=True):
+            if key in held:
+                held[key][0] += 1
+                held[key][1] += vector
+                continue
+            if held and size + vector.nbytes > TASK_BUDGET:
+                yield _sum_batch(held)
+                held, size = {}, 0
+            held[key] = [1, vector.copy()]
+            size += vector.nbytes
+    if held:
+        yield _sum_batch(held)
+
+
+def _means(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n, total = 0, 0.0
+    for batch in batches:
+        if batch.num_rows:
+            n += sum(batch.column("n").to_pylist())
+            total = total + to_matrix(batch.column("weights")).sum(axis=0)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([x.as_py()], t) for x, t in zip(key, (pa.int32(), pa.float64(), pa.int32()), strict=True)]
+        + [to_list_array((total / n)[None, :])],
+        names=["lambda_id", "lambda", "label", "weights"],
+    )
+
+
 def average_weights(weights: DataFrame) -> DataFrame:
-    """Unweighted mean of the folds' weights, per (lambda, label)."""
-    cells = weights.select("lambda_id", "lambda", "label", F.posexplode("weights").alias("pos", "_w"))
-    means = cells.groupBy("lambda_id", "lambda", "label", "pos").agg(F.avg("_w").alias("_w"))
-    parts = F.array_sort(F.collect_list(F.struct("pos", "_w")))
-    packed = means.groupBy("lambda_id", "lambda", "label").agg(parts.alias("_cells"))
-    return packed.select("lambda_id", "lambda", "label", F.col("_cells._w").alias("weights"))
+    """Unweighted mean of the folds' weights, per (lambda, label); vectors stay whole and are added up in the
+    tasks that hold them before the rest is shuffled."""
+    keys = ["lambda_id", "lambda", "label"]
+    sums = weights.select(*keys, "weights").mapInArrow(_partial_sums, SUMS)
+    return sums.groupBy(*keys).applyInArrow(_means, "lambda_id int, lambda double, label int, weights array<double>")
 
 
 def ridge_diagonal(gram: DataFrame, lambdas: list[float]) -> DataFrame:

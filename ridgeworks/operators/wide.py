@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.functions.vectors import lambda_array
-from ridgeworks.operators.solve import ARROW_SCHEMA, SCHEMA, Fold
+from ridgeworks.operators.solve import SCHEMA, Fold, weight_rows
 from ridgeworks.session import discard, shared_path, stored
 
 # rows and columns of a tile: 8 MB
@@ -335,18 +334,8 @@ def _assembled(parts: DataFrame, means: DataFrame, lambdas: list[float], classes
                 piece = _matrix(batch, row, "tile")
                 weights[:, first : first + piece.shape[1]] = piece
                 centre = _vector(batch, row, "centre")
-        k = len(weights)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([fold] * k, pa.int32()),
-                pa.array([index] * k, pa.int32()),
-                pa.array([lambdas[index]] * k, pa.float64()),
-                pa.array(classes[c * at.class_rows : c * at.class_rows + k], pa.int32()),
-                to_list_array(weights),
-                to_list_array(np.broadcast_to(centre, (k, at.width))),
-            ],
-            schema=ARROW_SCHEMA,
-        )
+        own = classes[c * at.class_rows : c * at.class_rows + len(weights)]
+        yield weight_rows(fold, index, lambdas[index], own, weights, centre)
 
     centres = means.groupBy("fold").applyInArrow(whole, schema)
     return parts.join(centres, "fold").groupBy("fold", "lambda_id", "bi").applyInArrow(join, SCHEMA)

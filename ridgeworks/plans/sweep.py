@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.functions.pixels import to_matrix
 from ridgeworks.functions.vectors import lambda_array, log_spaced
 from ridgeworks.operators.indexing import shard_bounds, shard_of
-from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width
+from ridgeworks.operators.moments import TASK_BUDGET, class_moments, feature_width, known_label
 from ridgeworks.operators.score import Scorer
-from ridgeworks.operators.solve import DENSE_LIMIT, Fold, average_weights, solve_ridge
+from ridgeworks.operators.solve import DENSE_LIMIT, Fold, average_weights, fit_in_place, solve_ridge
 from ridgeworks.operators.splits import TRAIN_SHARE, Split, dense_row_count, hash_split, positional_split
 from ridgeworks.operators.wide import solve_wide
-from ridgeworks.session import checkpoint
+from ridgeworks.session import checkpoint, stored
 
 # fixed values: default row counts of a size sweep
 SIZES = list(range(1000, 60000, 10000))
@@ -64,12 +62,16 @@ class RidgeFit:
         validation: Column | None = None,
         stable: bool = False,
         clustered: bool = False,
+        shard: Column | None = None,
+        trains: Column | None = None,
     ):
         """``validation`` narrows the rows that are scored, so that the scan can skip the others.
 
         ``stable`` takes squares about the mean of the rows at hand and merges them pairwise: for vectors
-        whose mean is large beside their spread. ``clustered`` says that the files
-        hold the rows in row_id order already.
+        whose mean is large beside their spread. ``clustered`` says that the files hold the rows in row_id
+        order already. ``shard`` is the fold of a row and ``trains`` whether it trains, where no two folds
+        share rows: if the matrices of all folds exceed what a task can hold, every fold is then fitted
+        where its rows are.
         """
         self.df, self.folds, self.segment, self.columns = df, folds, segment, columns
         self.lambdas = log_spaced() if lambdas is None else [float(v) for v in lambdas]
@@ -83,7 +85,18 @@ class RidgeFit:
         self.solver = solver
         training = {s for f in folds for s in f.train}
         rows = df
-        if len(training) > 1 and len(training) * self.width**2 * 8 > TASK_BUDGET and not clustered:
+        many = len(training) > 1 and len(training) * self.width**2 * 8 > TASK_BUDGET and not clustered
+        self.stable, self.moments, self.own_rows = stable, None, None
+        if many and shard is not None and solver != "wide":
+            self.own_rows = df.select(
+                shard.cast("int").alias("fold"),
+                trains.alias("in_train"),
+                known_label(F.col(columns.label)).alias("label"),
+                F.col(columns.features).alias("features"),
+            )
+            self.classes = sorted(distinct_labels(df, columns.label) if classes is None else classes)
+            return
+        if many:
             # more Gram matrices than a task can hold: give each task neighbouring rows
             rows = df.repartitionByRange(4 * len(training), columns.row_id)
         self.moments = checkpoint(
@@ -104,6 +117,9 @@ class RidgeFit:
 
     def weights(self) -> DataFrame:
         """(fold, lambda_id, lambda, label, weights, centre)."""
+        if self.own_rows is not None:
+            options = self.center, self.reg_scale, self.stable
+            return fit_in_place(self.own_rows, self.lambdas, self.classes, *options)
         solve = solve_wide if self.solver == "wide" else solve_ridge
         more = {} if self.solver == "wide" else {"solver": self.solver}
         return solve(
@@ -119,12 +135,10 @@ class RidgeFit:
     def scorer(self, average: bool = False) -> Scorer:
         weights, centres = self.weights(), None
         if average:
-            weights = checkpoint(weights)
+            weights = stored(weights, "fold-weights")
             first = weights.where((F.col("lambda_id") == 0) & (F.col("label") == self.classes[0]))
-            table = first.select("fold", "centre").toArrow().combine_chunks()
-            means = to_matrix(table.column("centre").combine_chunks())
-            centres = dict(zip(table.column("fold").to_pylist(), means, strict=True))
-            weights = average_weights(weights)
+            centres = first.select("fold", "centre")
+            weights = stored(average_weights(weights), "mean-weights")
         rows = self.df if self.validation is None else self.df.where(self.validation)
         return Scorer(
             rows,
@@ -204,7 +218,8 @@ def fit_shards(
         if stop > start
     ]
     validation = (inside >= cut) & (inside < end)
-    return RidgeFit(df, folds, shard * 3 + part, columns=columns, validation=validation, **options)
+    own = dict(shard=shard, trains=part == 0, validation=validation)
+    return RidgeFit(df, folds, shard * 3 + part, columns=columns, **own, **options)
 
 
 def shard_accuracies(df: DataFrame, shards: int, **options) -> DataFrame:

@@ -308,6 +308,60 @@ def test_column_panels_and_early_flush(spark, monkeypatch):
         assert accuracies(ours) == pytest.approx(brute.sharded_sweep(x, y, 4, LAMBDAS))
 
 
+def test_averages_are_taken_of_whole_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    values = rng.integers(-9, 9, (7, 2, 3, 4)).astype(float)
+    index = np.indices(values.shape[:3]).reshape(3, -1)
+    table = pa.table(
+        {
+            "fold": pa.array(index[0], pa.int32()),
+            "lambda_id": pa.array(index[1], pa.int32()),
+            "lambda": pa.array(index[1] + 0.5),
+            "label": pa.array(index[2], pa.int32()),
+            "weights": to_list_array(values.reshape(-1, 4)),
+        }
+    )
+    for budget in (solve.TASK_BUDGET, 1):
+        monkeypatch.setattr(solve, "TASK_BUDGET", budget)
+        means = solve.average_weights(spark.createDataFrame(table).repartition(3))
+        plan = means._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and "collect_list" not in plan
+        found = weight_rows(means)
+        assert all(np.allclose(found[i, k], values[:, i, k].mean(axis=0)) for i in range(2) for k in range(3))
+
+
+def test_ten_thousand_shards(spark, monkeypatch):
+    """Every shard is fitted in a task of its own rows; centres stay a table, offsets count as broadcast."""
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 30_000)
+    x = np.eye(2)[y] * 4 + rng.normal(size=(30_000, 2))
+    monkeypatch.setattr(sweep, "TASK_BUDGET", 10_000)
+    fit = sweep.fit_shards(frame(spark, x, y, 4), 10_000, lambdas=[1.0])
+    plan = fit.weights()._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Generate" not in plan
+    assert plan.count("Exchange") == 2  # one is that of the frame
+    scorer = fit.scorer(average=True)
+    assert scorer.centres.columns == ["fold", "centre"] and scorer.centres.count() == 10_000
+    # two classes of 2 + 10 000 numbers each exceed this budget, so each is a pass of its own
+    small = score.Scorer(fit.df, scorer.weights, [0], fit.classes, 2, folds=fit.folds, centres=scorer.centres, budget=170_000)
+    assert len(scorer.passes) == 1 and len(small.passes) == 2
+    rows = scorer.hits().agg(F.sum("hits"), F.sum("rows")).first()
+    assert rows[1] == 10_000 and rows[0] > 6_000
+
+
+@pytest.mark.parametrize("center", ["all", "train", "none"])
+@pytest.mark.parametrize("stable", [False, True])
+def test_shards_fitted_in_place(spark, monkeypatch, center, stable):
+    x, y = separable(101)
+    options = dict(lambdas=LAMBDAS, center=center, reg_scale="n", stable=stable)
+    apart = weight_rows(sweep.fit_shards(frame(spark, x, y), 4, **options).weights().where("fold = 2"))
+    monkeypatch.setattr(sweep, "TASK_BUDGET", 1)
+    fit = sweep.fit_shards(frame(spark, x, y), 4, **options)
+    assert fit.moments is None
+    found = weight_rows(fit.weights().where("fold = 2"))
+    assert found.keys() == apart.keys() and all(np.allclose(found[k], apart[k]) for k in apart)
+
+
 @pytest.mark.parametrize("budget", [10**9, 16 * 6 * 3, 16 * 6 * 2, 1])
 def test_weights_in_several_passes(spark, budget):
     x, y = separable()
