@@ -9,14 +9,17 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from catalog import features
-from catalog.common import table
+from catalog import features, models
+from catalog.common import VECTORS, table, vectors
 from catalog.hourly import CLEAN, log_lines
+from catalog.ridge_sql import accuracy_ctes, weights_ctes
+from ridgeworks.plans import images
 from ridgeworks.plans.hourly import clean_hourly
+from ridgeworks.plans.record import record_sweep
 from ridgeworks.session import shared_path
 from ridgeworks.sources.idx import place_of, read_idx_images
-from ridgeworks.sources.images import image_vectors, read_image_tree
-from ridgeworks.sources.tables import append_results, read_csv, read_log, write_csv
+from ridgeworks.sources.images import ImageTree, image_vectors, read_image_tree
+from ridgeworks.sources.tables import append_results, read_csv, read_log, read_results, write_csv
 
 
 def csv_numbered(spark, folder):
@@ -60,6 +63,16 @@ def results_appended(spark, folder):
     return spark.read.parquet(path).withColumnRenamed("lambda", "lam")
 
 
+def sweep_recorded(spark, folder):
+    """The outcome of a sweep in a result table; the first run is made twice and leaves one row."""
+    path = shared_path(spark, "recorded")
+    rows = vectors(spark, folder)
+    for run, options in (("whole", {}), ("whole", {}), ("drop", {"drop_last": True})):
+        record_sweep(rows, path, run, columns=VECTORS, **options)
+    found = read_results(spark, path, runs=True).where(F.col("elapsed_s") > 0)
+    return found.select("run", "n", F.round("lambda", 9).alias("lam"), F.round("accuracy", 6).alias("accuracy"))
+
+
 def _put(path, body):
     where, inner = place_of(path)
     where.create_dir(inner.rsplit("/", 1)[0])
@@ -109,17 +122,49 @@ def _write_pngs(path, batches):
         yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
 
+def _image_rows(spark, folder):
+    name = F.concat(F.lit("class_"), F.col("label"), F.lit("/"), F.col("vec_id"), F.lit(".png")).alias("name")
+    return table(spark, folder, "embeddings").select("vec_id", name, _pixels().alias("pixels"))
+
+
 def image_tree(spark, folder):
     """A tree of PNG files, one per embedding, written by tasks and read to black and white vectors."""
     path = shared_path(spark, "images")
-    name = F.concat(F.lit("class_"), F.col("label"), F.lit("/"), F.col("vec_id"), F.lit(".png")).alias("name")
-    rows = table(spark, folder, "embeddings").select(name, _pixels().alias("pixels"))
-    rows.mapInArrow(partial(_write_pngs, path), "n long").agg(F.sum("n")).collect()
+    _image_rows(spark, folder).mapInArrow(partial(_write_pngs, path), "n long").agg(F.sum("n")).collect()
     found = image_vectors(read_image_tree(spark, path), (4, 6))
-    vec_id = F.regexp_extract("origin", "/([0-9]+)[.]png$", 1).cast("long").alias("vec_id")
+    vec_id = F.regexp_extract("name", "/([0-9]+)[.]png$", 1).cast("long").alias("vec_id")
     return found.select(vec_id, "label", F.posexplode("features").alias("pos", "v"))
 
 
+def _write_others(path, batches):
+    """Files that are no examples: a text among the images, and an image beside the classes."""
+    for batch in batches:
+        for vec_id in batch.column("vec_id").to_pylist():
+            _put(f"{path}/class_0/{vec_id}.txt", b"notes")
+            _put(f"{path}/others/{vec_id}.png", _png(8, 8, bytes(192)))
+        yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+
+def _image_job(spark, folder):
+    """The folder of a tree of PNG files, one per embedding, with two other files for every fiftieth."""
+    path = shared_path(spark, "sweep-images")
+    rows = _image_rows(spark, folder)
+    rows.mapInArrow(partial(_write_pngs, path), "n long").agg(F.sum("n")).collect()
+    rows.where("vec_id % 50 = 0 OR vec_id % 50 = 7").mapInArrow(partial(_write_others, path), "n long").agg(F.sum("n")).collect()
+    return path
+
+
+def image_sweep(spark, folder):
+    """From a tree of image files to accuracies, with the numbers of images and of other files."""
+    sweep = images.image_sweep(spark, _image_job(spark, folder), (4, 6), counts=True)
+    return sweep.select("lambda_id", F.round("accuracy", 6).alias("accuracy"), "images", "rejected")
+
+
+def image_rejects(spark, folder):
+    """The files of the tree that are no examples, and why."""
+    return ImageTree(spark, _image_job(spark, folder), (4, 6)).rejects
+
+
 QUERIES = {
     "idx_images": idx_images,
     "image_tree": image_tree,
@@ -127,8 +172,26 @@ QUERIES = {
     "csv_plain": csv_plain,
     "log_file": log_file,
     "results_appended": results_appended,
+    "sweep_recorded": sweep_recorded,
+    "image_sweep": image_sweep,
+    "image_rejects": image_rejects,
 }
 
+def _recorded(rows):
+    """The best lambda over some rows, as the SQL of a table."""
+    return f"""{weights_ctes(rows)}, {accuracy_ctes()}
+        SELECT (SELECT count(*) FROM embeddings) AS n, round(lam, 9) AS lam, round(accuracy, 6) AS accuracy
+        FROM acc JOIN l USING (lambda_id) ORDER BY accuracy DESC, lambda_id LIMIT 1"""
+
+
+# images split by the hash of their names
+IMAGE_FILE_ROWS = f"""
+    SELECT 0 AS fold, CASE WHEN place <= 4 * n // 5 THEN 'train' ELSE 'validation' END AS part, name AS row_id, label,
+           pos, v AS x
+    FROM (SELECT p.*, replace(origin, 'images/', '') AS name FROM ({features.ORACLES["image_pixels"]}) p)
+    JOIN (SELECT *, row_number() OVER (ORDER BY md5('0:' || name)) AS place, count(*) OVER () AS n
+          FROM (SELECT 'class_' || label || '/' || vec_id || '.png' AS name FROM embeddings)) USING (name)"""
+
 ORACLES = {
     "idx_images": """
         SELECT vec_id AS row_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
@@ -145,4 +208,17 @@ ORACLES = {
     "log_file": CLEAN,
     "results_appended": """
         SELECT event_id AS n, value / 1000 AS accuracy, 0.5::DOUBLE AS lam, value AS elapsed_s FROM events""",
+    "sweep_recorded": f"""
+        SELECT 'whole' AS run, n, lam, accuracy FROM ({_recorded(models.SINGLE)})
+        UNION ALL SELECT 'drop', n, lam, accuracy FROM ({_recorded(models.DROPPED)})""",
+    "image_sweep": f"""{weights_ctes(IMAGE_FILE_ROWS)}, {accuracy_ctes()}
+        SELECT lambda_id, round(accuracy, 6) AS accuracy, (SELECT count(*) FROM embeddings) AS images,
+               2 * (SELECT count(*) FROM embeddings WHERE vec_id % 50 IN (0, 7)) AS rejected
+        FROM acc""",
+    "image_rejects": """
+        SELECT 'class_0/' || vec_id || '.txt' AS name, CAST(0 AS INTEGER) AS label, 'not an image' AS reason
+        FROM embeddings WHERE vec_id % 50 IN (0, 7)
+        UNION ALL
+        SELECT 'others/' || vec_id || '.png', NULL, 'outside a class directory'
+        FROM embeddings WHERE vec_id % 50 IN (0, 7)""",
 }

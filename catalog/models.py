@@ -208,9 +208,10 @@ def ridge_sweep_orders(spark, folder):
 
 
 def images_28(spark, folder):
-    """A 28 x 28 image per embedding: products of its first 28 elements, row by row."""
+    """A 28 x 28 image per embedding: products of sums of its first and last elements and those between."""
     e = F.col("embedding").cast("array<double>")
-    pixels = F.flatten(F.transform(F.slice(e, 1, 28), lambda a: F.transform(F.slice(e, 1, 28), lambda b: a * b)))
+    ends = F.zip_with(F.slice(e, 1, 28), F.slice(e, 37, 28), lambda a, b: a + b)
+    pixels = F.flatten(F.transform(ends, lambda a: F.transform(F.slice(e, 19, 28), lambda b: a * b)))
     return vectors(spark, folder).select(F.col("vec_id").alias("row_id"), "label", pixels.alias("features"))
 
 
@@ -253,6 +254,7 @@ POSITIONAL_DROP = (
 )
 SINGLE = vector_rows("0", POSITIONAL)
 FAR_ROWS = SINGLE.replace("AS DOUBLE) AS x", f"AS DOUBLE) + {FAR} AS x")
+DROPPED = vector_rows("0", POSITIONAL_DROP)
 HASHED = vector_rows(
     "0",
     "CASE WHEN place <= 4 * n // 5 THEN 'train' WHEN place < n THEN 'validation' ELSE 'rest' END",
@@ -289,7 +291,8 @@ ORDER_ROWS = """
          (SELECT count(*) AS n FROM orders)"""
 IMAGE_ROWS = f"""
     SELECT 0 AS fold, {POSITIONAL} AS part, vec_id AS row_id, label, r * 28 + c AS pos,
-           CAST(embedding[r + 1] AS DOUBLE) * CAST(embedding[c + 1] AS DOUBLE) AS x
+           (CAST(embedding[r + 1] AS DOUBLE) + CAST(embedding[r + 37] AS DOUBLE))
+           * CAST(embedding[c + 19] AS DOUBLE) AS x
     FROM embeddings, (SELECT count(*) AS n FROM embeddings), range(0, 28) a(r), range(0, 28) b(c)"""
 ACCURACY = "SELECT lambda_id, round(accuracy, 6) AS accuracy FROM acc"
 WEIGHTS = "SELECT lambda_id, k AS label, CAST(pos AS INTEGER) AS pos, round(w, 6) + 0.0 AS w FROM w"
@@ -354,7 +357,7 @@ ORACLES = {
         SELECT lambda_id, k AS label, CAST(pos AS INTEGER) AS pos, round(avg(w), 6) + 0.0 AS w
         FROM w GROUP BY lambda_id, k, pos""",
     "ridge_sweep": f"{weights_ctes(SINGLE)}, {accuracy_ctes()} {ACCURACY}",
-    "ridge_sweep_drop_last": f"""{weights_ctes(vector_rows("0", POSITIONAL_DROP))}, {accuracy_ctes()} {ACCURACY}""",
+    "ridge_sweep_drop_last": f"""{weights_ctes(DROPPED)}, {accuracy_ctes()} {ACCURACY}""",
     "ridge_sweep_n": f"""{weights_ctes(HASHED, penalty="lam * n")}, {accuracy_ctes()} {ACCURACY}""",
     "best_lambda": f"""{weights_ctes(SINGLE)}, {accuracy_ctes()} {ACCURACY}
         ORDER BY accuracy DESC, lambda_id LIMIT 1""",

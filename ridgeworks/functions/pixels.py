@@ -71,17 +71,23 @@ def downsample(features: Column, source: tuple[int, int], target: tuple[int, int
 def select_channel(data: Column, channels: Column, layer: Column) -> Column:
     """Bytes of one interleaved channel: elements layer, layer + channels, ... of ``data``.
 
-    Every whole pixel is kept; images of one batch may differ in size.
+    Every whole pixel is kept; images of one batch may differ in size, those of one size are cut at once.
     """
 
     @F.arrow_udf("array<int>")
     def pick(raw: pa.Array, count: pa.Array, offset: pa.Array) -> pa.Array:
-        rows = []
-        for blob, c, k in zip(raw, count.to_pylist(), offset.to_pylist(), strict=True):
-            pixels = np.frombuffer(blob.as_buffer(), dtype=np.uint8)
-            rows.append(pixels[: len(pixels) // c * c][k::c].astype(np.int32))
-        offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
-        values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+        sizes = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
+        counts, layers = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (count, offset))
+        kinds, place = np.unique(np.column_stack((sizes, counts, layers)), axis=0, return_inverse=True)
+        lengths = np.maximum(sizes // counts, 0) if len(sizes) else sizes
+        ends = np.cumsum(lengths)
+        values = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+        for kind, (size, c, k) in enumerate(kinds.tolist()):
+            rows, pixels = np.flatnonzero(place.reshape(-1) == kind), size // c
+            whole = np.frombuffer(b"".join(raw.take(pa.array(rows)).to_pylist()), np.uint8).reshape(len(rows), size)
+            reach = (ends[rows] - pixels)[:, None] + np.arange(pixels)
+            values[reach] = whole[:, : pixels * c].reshape(len(rows), pixels, c)[:, :, k]
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
     return pick(data, channels.cast("int"), layer.cast("int"))

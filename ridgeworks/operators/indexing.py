@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-ROWS_PER_BUCKET = 250_000
+from ridgeworks.session import stored
 
 
 def _number_within_buckets(df: DataFrame, bucket: str, order: list[Column], name: str) -> DataFrame:
@@ -28,21 +26,26 @@ def _number_within_buckets(df: DataFrame, bucket: str, order: list[Column], name
     )
 
 
-def row_index(df: DataFrame, key: str, name: str = "row_id", buckets: int | None = None) -> DataFrame:
-    """Dense 0-based index in the order of a unique numeric key.
+def row_index(df: DataFrame, key: str | list[str], name: str = "row_id") -> DataFrame:
+    """Dense 0-based index in the order of any key that can be ordered, or of several.
 
-    Bucket borders are quantiles of the key, so buckets are near equal whatever its distribution.
-    Their number grows with the table, up to 16 384.
+    Null keys come first; rows of one key go on in the order of the table, so no key needs to be unique. The
+    rows are range-partitioned between sampled splitters of key and place in the table, which cut through a
+    key that very many rows share; each is sorted in its part and counts on from the rows of the parts before.
+    The sorted rows are kept as Parquet in the shared checkpoint folder.
     """
-    if buckets is None:
-        n = df.agg(F.count("*")).first()[0]
-        buckets = min(16384, max(16, n // ROWS_PER_BUCKET))
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(key, shares, 1.0 / (4 * buckets))))
-    splits = [float("-inf"), *cuts, float("inf")]
-    placed = df.withColumn("_key", F.col(key).cast("double"))
-    placed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(placed)
-    return _number_within_buckets(placed.drop("_key"), "_bucket", [F.col(key)], name)
+    keys = [key] if isinstance(key, str) else list(key)
+    row = F.struct(*[df[f"`{column}`"] for column in df.columns]).alias("row")
+    order = [F.col(f"row.`{column}`") for column in keys] + [F.col("place")]
+    ranged = df.select(row, F.monotonically_increasing_id().alias("place")).repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).select("row", F.monotonically_increasing_id().alias("at"))
+    placed = stored(placed.withColumn("part", F.shiftright("at", 33)), "row-index")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    shifts = stored(sizes.select("part", shift.alias("shift")), "row-index-parts")
+    numbered = placed.join(shifts, "part")
+    return numbered.select("row.*", (F.col("at") + F.col("shift")).alias(name))
 
 
 def shuffle_key(key: Column, seed: int) -> Column:

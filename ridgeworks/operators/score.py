@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -229,6 +230,10 @@ class Scorer:
         self.weights = weights if len(self.passes) == 1 else checkpoint(weights)
 
     def _parts(self, emit, schema: str, row_id: Column) -> DataFrame:
+        return reduce(DataFrame.unionAll, self._pass_parts(emit, schema, row_id))
+
+    def _pass_parts(self, emit, schema: str, row_id: Column) -> list[DataFrame]:
+        """The result of every pass."""
         rows = self.df.select(*self.columns, row_id.alias("row_id"))
         parts = []
         for lambda_ids, classes in self.passes:
@@ -242,10 +247,7 @@ class Scorer:
             plain = [(b.lambda_ids, b.labels, b.weights, b.place, b.offsets) for b in blocks]
             shared = self.context.broadcast((plain, _routes(blocks, self.folds)))
             parts.append(rows.mapInArrow(_scored(shared, emit), schema))
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionAll(part)
-        return whole
+        return parts
 
     def _typed(self, schema: str) -> str:
         return schema.replace("row_id long", f"row_id {self.id_type}")
@@ -273,10 +275,21 @@ class Scorer:
         return rows.groupBy("fold", "lambda_id").agg(*totals)
 
     def scores(self) -> DataFrame:
-        """(fold, lambda_id, row_id, label, scores) with scores in class order."""
-        if self.split_classes:
-            raise ValueError("score vectors need all classes of a lambda in one pass")
-        return self._parts(_emit_scores, self._typed(SCORES), F.col(self.row_id))
+        """(fold, lambda_id, row_id, label, scores) with scores in class order.
+
+        Classes that do not fit one pass are scored in several and put together by row, for which row ids
+        must be different.
+        """
+        if not self.split_classes:
+            return self._parts(_emit_scores, self._typed(SCORES), F.col(self.row_id))
+        parts = self._pass_parts(_emit_scores, self._typed(SCORES), F.col(self.row_id))
+        numbered = [part.withColumn("_pass", F.lit(number)) for number, part in enumerate(parts)]
+        ordered = F.array_sort(F.collect_list(F.struct("_pass", "scores")))
+        keys = ["fold", "lambda_id", "row_id", "label"]
+        whole = reduce(DataFrame.unionAll, numbered).groupBy(*keys).agg(ordered.alias("_parts"))
+        once = F.size(F.array_distinct("_parts._pass")) == F.size("_parts")
+        scores = F.when(once, F.flatten("_parts.scores")).otherwise(F.raise_error(F.lit("row ids are not unique")))
+        return whole.select(*keys, scores.alias("scores"))
 
 
 def scorer(df: DataFrame, weights: DataFrame, **columns) -> Scorer:

@@ -7,11 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ridgeworks.operators.indexing import shuffle_key
+from ridgeworks.session import stored
 
 # fixed value: default share of training rows
 TRAIN_SHARE = 0.8
+# bytes of one bitmap, and of all that are broadcast: two thousand million row numbers in a row
+BITMAP_BYTES = 4096
+BITMAP_BUDGET = 256 * 1024 * 1024
 
 
 def row_count(df: DataFrame) -> int:
@@ -117,13 +122,45 @@ def split_rows(df: DataFrame, split: Split) -> tuple[DataFrame, DataFrame]:
     return df.where(split.train), df.where(split.validation)
 
 
-def rows_in(df: DataFrame, index: DataFrame, key: str = "row_id") -> DataFrame:
-    """Rows whose key is in the index set; repeated index keys collapse before they move."""
-    return df.join(index.select(key).distinct(), key, "left_semi")
+def key_bitmaps(index: DataFrame, key: str) -> DataFrame:
+    """The integers of ``key`` as bitmaps of 32 768 neighbours: (_bucket, _bits); repeated ones cost nothing."""
+    value = F.col(key).cast("long")
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("_bits")
+    return index.where(value.isNotNull()).groupBy(F.bitmap_bucket_number(value).alias("_bucket")).agg(bits)
 
 
-def rows_not_in(df: DataFrame, index: DataFrame, key: str = "row_id") -> DataFrame:
-    return df.join(index.select(key).distinct(), key, "left_anti")
+def _bit(bits: Column, key: Column) -> Column:
+    """Whether the bit of an integer is set in the bitmap of its bucket."""
+    place = F.bitmap_bit_position(key)
+    byte = F.substring(bits, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.call_function("getbit", value, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+
+def _by_set(df: DataFrame, index: DataFrame, key: str, kind: str, budget: int) -> DataFrame:
+    """Semi or anti join with a set of keys.
+
+    Integer keys become bitmaps first. Within ``budget`` bytes of them, counted, they are broadcast and the
+    rows of ``df`` stay where they are; a larger or a sparse set is joined by key, each of them once.
+    """
+    if isinstance(df.schema[key].dataType, IntegralType) and isinstance(index.schema[key].dataType, IntegralType):
+        bitmaps = stored(key_bitmaps(index, key), "index-bitmaps")
+        if bitmaps.count() * BITMAP_BYTES <= budget:
+            value = df[f"`{key}`"].cast("long")
+            met = df.withColumn("_bucket", F.bitmap_bucket_number(value)).join(F.broadcast(bitmaps), "_bucket", "left")
+            found = F.coalesce(_bit(F.col("_bits"), value), F.lit(False))
+            return met.where(found if kind == "left_semi" else ~found).select(*[f"`{x}`" for x in df.columns])
+    return df.join(index.select(key).distinct(), key, kind)
+
+
+def rows_in(df: DataFrame, index: DataFrame, key: str = "row_id", budget: int = BITMAP_BUDGET) -> DataFrame:
+    """Rows whose key is in the index set; a null key is in none."""
+    return _by_set(df, index, key, "left_semi", budget)
+
+
+def rows_not_in(df: DataFrame, index: DataFrame, key: str = "row_id", budget: int = BITMAP_BUDGET) -> DataFrame:
+    """Rows whose key is not in the index set, null keys among them."""
+    return _by_set(df, index, key, "left_anti", budget)
 
 
 def align(features: DataFrame, labels: DataFrame, key: str = "row_id") -> DataFrame:

@@ -58,6 +58,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain_path(spark: SparkSession, path: str) -> str:
+    """``path`` in full as its file system knows it, without scheme and host."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(found).toUri().getPath()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path for a table in the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
@@ -67,10 +74,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def discard(table: DataFrame) -> None:
     """Remove a table that ``stored`` wrote, once nothing reads it any more."""
     spark = table.sparkSession
-    shared = spark.sparkContext.getCheckpointDir()
-    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if path.toUri().getPath().startswith(spark._jvm.org.apache.hadoop.fs.Path(shared).toUri().getPath()):
-            files.delete(path, True)
+    shared = plain_path(spark, spark.sparkContext.getCheckpointDir())
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        if plain_path(spark, folder).startswith(f"{shared}/"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

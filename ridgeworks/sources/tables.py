@@ -50,8 +50,21 @@ def write_csv(df: DataFrame, path: str, number_by: str | None = None) -> None:
     df.write.csv(path, header=True, nullValue="NA", mode="errorifexists")
 
 
-def append_results(results: DataFrame, path: str) -> None:
-    """Add rows (n, accuracy, lambda, elapsed_s) to a result table."""
+def append_results(results: DataFrame, path: str, run: str | None = None) -> None:
+    """Add rows (n, accuracy, lambda, elapsed_s) to a result table.
+
+    With ``run`` the rows are that run's part of the table (a column of that name): writing it again, after a
+    failure or by mistake, replaces that part and nothing else. A table has either runs or none.
+    """
     schema = StructType.fromDDL(RESULTS)
     rows = results.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    rows.write.mode("append").parquet(path)
+    if run is None:
+        rows.write.mode("append").parquet(path)
+        return
+    own = rows.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    own.partitionBy("run").parquet(path)
+
+
+def read_results(spark: SparkSession, path: str, runs: bool = False) -> DataFrame:
+    """A result table; ``runs`` says whether it was written by run."""
+    return spark.read.schema(f"{RESULTS}, run string" if runs else RESULTS).parquet(path)

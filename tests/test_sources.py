@@ -1,4 +1,5 @@
 import gzip
+import shutil
 import struct
 import zlib
 
@@ -6,8 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ridgeworks.functions.pixels import select_channel
 from ridgeworks.plans.hourly import clean_hourly, clean_hourly_csv
 from ridgeworks.plans.images import image_sweep
+from ridgeworks.plans.record import record_sweep
 from ridgeworks.plans.sweep import ridge_sweep
 from ridgeworks.sources import idx, images, tables
 
@@ -136,6 +139,51 @@ def test_image_tree_to_sweep(spark, tmp_path):
     assert sorted(by_position.collect()) == sorted(by_hash.collect())
 
 
+def test_rejected_files_have_a_reason(spark, tmp_path):
+    grey = np.array([[0, 127, 128]])
+    write_png(tmp_path / "tree" / "class_1" / "a b.png", grey)
+    whole = (tmp_path / "tree" / "class_1" / "a b.png").read_bytes()
+    (tmp_path / "tree" / "class_1" / "cut.png").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "tree" / "class_1" / "notes.txt").write_text("not an image")
+    write_png(tmp_path / "tree" / "other" / "deep" / "d.png", grey)
+    tree = images.ImageTree(spark, str(tmp_path / "tree"), None)
+    assert [(r["name"], r["label"], r["features"]) for r in tree.vectors.collect()] == [("class_1/a b.png", 1, [0, 0, 1])]
+    assert sorted((r["name"], r["reason"]) for r in tree.rejects.collect()) == [
+        ("class_1/cut.png", images.UNREADABLE),
+        ("class_1/notes.txt", images.UNREADABLE),
+        ("other/deep/d.png", images.OUTSIDE),
+    ]
+    assert tree.counts() == (1, 3)
+
+
+def test_a_copied_tree_is_split_alike(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    for i in range(60):
+        write_png(tmp_path / "one" / f"class_{i % 2}" / f"{i}.png", rng.integers(0, 256, (4, 6)))
+    shutil.copytree(tmp_path / "one", tmp_path / "far" / "away" / "two")
+    (tmp_path / "far" / "away" / "two" / "class_1" / "readme").write_text("no image")
+    found = [
+        sorted(map(tuple, image_sweep(spark, path, None, seed=3, lambdas=[0.1, 10.0]).collect()))
+        for path in (str(tmp_path / "one"), f"file://{tmp_path}/far/away/two/")
+    ]
+    assert found[0] == found[1]
+    counted = image_sweep(spark, str(tmp_path / "far"), None, counts=True, lambdas=[1.0]).first()
+    assert (counted["images"], counted["rejected"]) == (60, 1)
+
+
+def test_channels_of_images_of_many_sizes(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        c = int(rng.integers(1, 5))
+        rows.append((i, bytes(rng.integers(0, 256, int(rng.integers(0, 30))).tolist()), c, int(rng.integers(0, c))))
+    df = spark.createDataFrame(rows, "i long, data binary, c int, k int")
+    found = df.select("i", select_channel(F.col("data"), F.col("c"), F.col("k")).alias("v")).collect()
+    for r in found:
+        _, data, c, k = rows[r["i"]]
+        assert r["v"] == list(data[: len(data) // c * c][k::c])
+
+
 def test_csv_headers_with_blanks(spark, tmp_path):
     path = tmp_path / "runs.csv"
     path.write_text("thread, tp, tMPI, t_tot\n1,77.5, 11.5,88.5\n2, 39.9,12.9,NA")
@@ -167,6 +215,20 @@ def test_csv_clean_up(spark, tmp_path):
     assert rows == [("2014-12-03", 5.0, None), ("2015-01-02", 23.0, 7.25)]
 
 
+def test_a_run_is_recorded_once(spark, tmp_path):
+    path = str(tmp_path / "results")
+    rows = spark.createDataFrame([(i, i % 2, [float(i % 2), 1.0]) for i in range(20)], "row_id long, label int, features array<double>")
+    first = record_sweep(rows, path, "a", lambdas=[1.0, 2.0]).first()
+    record_sweep(rows, path, "b", lambdas=[2.0], drop_last=True)
+    record_sweep(rows, path, "a", lambdas=[1.0, 2.0])
+    found = sorted(tables.read_results(spark, path, runs=True).collect(), key=lambda r: r["run"])
+    assert [(r["run"], r["n"], r["lambda"], r["accuracy"]) for r in found] == [("a", 20, 1.0, 1.0), ("b", 20, 2.0, 1.0)]
+    assert all(r["elapsed_s"] > 0 for r in [*found, first])
+    one = spark.createDataFrame([(0, 0, [1.0])], "row_id long, label int, features array<double>")
+    empty = record_sweep(one, str(tmp_path / "more"), "c", drop_last=True).first()
+    assert (empty["n"], empty["accuracy"], empty["lambda"]) == (1, None, None)
+
+
 def test_results_are_appended(spark, tmp_path):
     path = str(tmp_path / "results")
     for n in (1000, 11000):
