@@ -5,21 +5,25 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
+from ridgeworks.functions.pixels import to_list_array
 from ridgeworks.llm.common import Bags, Memory, join_groups, slices, split_rows, written
 
 LONGEST = 5
-# every worker holds the words and n-grams that are at least this share of the words, or n-grams of their
-# length, of any language, with their counts in all; no language brings more than 1 / SHARE of each
+# every worker holds the words that are at least this share of the words of any language, with their counts in
+# all (for ``predict`` the n-grams too, by length); no language brings more than 1 / SHARE of each
 SHARE = 1 / 200_000
 # words whose scores a Python worker remembers, twice that many at most
 CACHE = 300_000
-# different words a task counts before it hands them on
+# different words a task counts, or words and texts that it pairs, before it hands them on
 FLUSH = 300_000
 # letters of any script
 LETTERS = r"[^\W\d_]+"
@@ -88,21 +92,30 @@ def count_grams(words: DataFrame) -> DataFrame:
 class LanguageModel:
     """Fitted on all rows of ``labelled``: (text, lang), rows with a null lang or text left out.
 
-    Words and n-grams are counted over the whole table. Workers hold those above ``share`` of any language,
-    each with its counts in all languages, so their tables are bounded by languages / share whatever the
-    corpus. ``identify`` looks up the other words that were seen by a join.
+    Words and n-grams are counted over the whole table. Workers hold the words above ``share`` of any
+    language, each with its counts in all languages, so what they hold is bounded by languages / share
+    whatever the corpus. ``identify`` looks up all other words, and the n-grams of those never seen, by joins:
+    its results do not depend on ``share``.
     """
 
     def __init__(self, labelled: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE):
         rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
         rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-        words = written(count_words(rows), "lang-words")
-        parts = written(count_grams(words), "lang-grams")
-        known = words.withColumn("length", F.lit(0)).unionByName(parts)
+        self.share = share
+        self.words = written(count_words(rows), "lang-words")
+        self.word_totals = dict(sorted(map(tuple, self.words.groupBy("lang").agg(F.sum("n")).collect())))
+        self.langs = list(self.word_totals)
+
+    @cached_property
+    def grams(self) -> DataFrame:
+        """(lang, length, gram, n) of all n-grams."""
+        return written(count_grams(self.words), "lang-grams")
+
+    def _held(self, known: DataFrame) -> tuple[list[dict[str, int]], np.ndarray]:
+        """What workers hold of (lang, length, gram, n): places by length and gram, and log frequencies."""
         totals = known.groupBy("lang", "length").agg(F.sum("n").alias("total"))
-        often = known.join(F.broadcast(totals), ["lang", "length"]).filter(F.col("n") >= F.col("total") * share)
+        often = known.join(F.broadcast(totals), ["lang", "length"]).filter(F.col("n") >= F.col("total") * self.share)
         held = known.join(often.select("length", "gram").distinct(), ["length", "gram"], "left_semi")
-        self.langs = [row[0] for row in totals.select("lang").distinct().orderBy("lang").collect()]
         place = {code: i for i, code in enumerate(self.langs)}
         sums = np.zeros((LONGEST + 1, max(1, len(place))))
         for row in totals.collect():
@@ -120,98 +133,87 @@ class LanguageModel:
         counts = np.zeros((len(levels), max(1, len(place))))
         counts[rows_of, columns_of] = found["n"]
         levels = np.array(levels, dtype=np.int64)
-        self.tables = (index, np.log((counts + 0.5) / (sums[levels] + 1.0)) if len(levels) else counts)
-        self.words, self.totals = words, sums[0]
+        return index, np.log((counts + 0.5) / (sums[levels] + 1.0)) if len(levels) else counts
+
+    @cached_property
+    def tables(self) -> tuple[list[dict[str, int]], np.ndarray]:
+        """Words and n-grams that workers hold for ``predict``."""
+        return self._held(self.words.withColumn("length", F.lit(0)).unionByName(self.grams))
+
+    def _logs(self, counts: DataFrame, key: str, totals: dict[str, int]) -> DataFrame:
+        """(key, vector): log frequency in every language from (key, lang, n)."""
+        parts = []
+        for code in self.langs:
+            n = F.coalesce(F.sum(F.when(F.col("lang") == code, F.col("n"))), F.lit(0))
+            parts.append(F.log((n + 0.5) / F.lit(totals.get(code, 0) + 1.0)))
+        return counts.groupBy(key).agg(F.array(*parts).alias("vector"))
+
+    def _means(self, rows: DataFrame, key: str) -> DataFrame:
+        """(key, vector): the mean of the vectors of each key."""
+        return rows.groupBy(key).agg(F.array(*[F.avg(F.get("vector", F.lit(i))) for i in range(len(self.langs))]).alias("vector"))
+
+    def _backed_off(self, words: DataFrame) -> DataFrame:
+        """(word, vector) of words never seen: the mean over their n-grams of the longest length that has any
+        known ones; zeros if no length has."""
+        totals: dict[int, dict[str, int]] = {}
+        for code, length, total in self.grams.groupBy("lang", "length").agg(F.sum("n")).collect():
+            totals.setdefault(length, {})[code] = total
+        found, left = [], words.select("word", F.concat(F.lit("<"), "word", F.lit(">")).alias("marked"))
+        for length in range(LONGEST, 0, -1):
+            some = left.filter(F.length("marked") >= length)
+            places = F.sequence(F.lit(1), F.length("marked") - (length - 1))
+            some = some.select("word", "marked", F.explode(places).alias("at"))
+            each = some.select("word", F.substring("marked", F.col("at"), F.lit(length)).alias("gram"))
+            counts = self.grams.filter(F.col("length") == length)
+            vectors = self._logs(counts, "gram", totals.get(length, {}))
+            groups = written(each.groupBy("gram").agg(F.count("*").alias("size")).join(vectors, "gram"), "lang-unseen-grams")
+            total = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+            found.append(written(self._means(join_groups(each, groups, "gram", "size", total), "word"), "lang-unseen"))
+            left = written(left.join(found[-1], "word", "left_anti"), "lang-left")
+            if left.isEmpty():
+                break
+        zeros = F.array(*[F.lit(0.0)] * len(self.langs)).alias("vector")
+        return reduce(DataFrame.unionByName, found, left.select("word", zeros))
 
     def identify(self, docs: DataFrame, row: Column, text: Column) -> DataFrame:
-        """(row, found struct(lang_pred, score)) of every row of ``docs``, as ``predict`` has it, but with the
-        true counts of all words that were seen, however rare.
-
-        The words that workers do not hold are written once per text. They meet their counts by a join, or
-        back off to n-grams if they were never seen; their sums are added to those of the words held.
+        """(row, found struct(lang_pred, score)) of every row of ``docs``.
+
+        Texts are read once. The sums of the words that workers hold are kept by row; every other word is
+        written once per task with the rows that have it, meets its counts or, if it was never seen, those of
+        its n-grams by joins, and what it adds comes back to its rows by their number. ``row`` is what is
+        known of a row afterwards: keep it small. Null text, text without a letter and a model without
+        languages give ``und`` and 0; null and repeated ids, repeated rows and texts are rows of their own; an
+        empty table gives an empty one.
         """
         spark = docs.sparkSession
         if not self.langs:
-            return docs.select(row.alias("row"), self.predict(spark, text).alias("found"))
-        shared = spark.sparkContext.broadcast({"tables": self.tables, "place": {x: i for i, x in enumerate(self.langs)}})
-        totals = self.totals
-
-        def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = shared.value["tables"][0][0]
-            for batch in batches:
-                for first, end in slices(batch.column(1)):
-                    keys, words, counts = [], [], []
-                    part = batch.slice(first, end - first)
-                    for key, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                        own = Counter([x for x in words_of(value or "") if x not in held])
-                        keys += [key] * len(own)
-                        words += own.keys()
-                        counts += own.values()
-                    columns = [pa.array(keys, pa.int64()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["text_key", "word", "n"])
-
-        def vectors(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-            scorer, place = WordScorer(*shared.value["tables"]), shared.value["place"]
-            for words, seen in columns:
-                out = np.frombuffer(b"".join(scorer._find(words.to_pylist()))).reshape(len(words), -1).copy()
-                for i, entries in enumerate(seen.to_pylist()):
-                    if entries:
-                        counts = np.zeros(len(totals))
-                        for entry in entries:
-                            counts[place[entry["lang"]]] = entry["n"]
-                        out[i] = np.log((counts + 0.5) / (totals + 1.0))
-                yield pa.array(list(out), pa.list_(pa.float64()))
-
-        def sums(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            model = shared.value
-            if "held" not in model:
-                model["held"] = WordScorer(*model["tables"], back_off=False)
-            for column in columns:
-                found, lengths, left = [], [], []
-                for first, end in slices(column):
-                    bags = Bags([words_of(x or "") for x in column[first:end].to_pylist()])
-                    missing = np.array([x not in model["held"].words for x in bags.words], dtype=bool)
-                    some = np.zeros(len(bags.lengths), dtype=bool)
-                    if missing.any():
-                        some[bags.full] = np.logical_or.reduceat(missing[bags.places], bags.starts)
-                    found += list(model["held"].totals(bags))
-                    lengths += bags.lengths.tolist()
-                    left += some.tolist()
-                columns_ = [pa.array(found, pa.list_(pa.float64())), pa.array(lengths, pa.int64()), pa.array(left, pa.bool_())]
-                yield pa.StructArray.from_arrays(columns_, ["sums", "words", "rest"])
-
-        key = F.xxhash64(text)
-        pairs = docs.select(key.alias("text_key"), text.alias("text")).mapInArrow(rest, "text_key long, word string, n long")
-        pairs = pairs.groupBy("text_key", "word").agg(F.max("n").alias("n"), F.count("*").alias("copies"))
-        pairs = written(pairs, "lang-rest")
-        asked = pairs.groupBy("word").agg(F.count("*").alias("texts"))
-        seen = asked.join(self.words.withColumnRenamed("gram", "word"), "word", "left")
-        entry = F.when(F.col("lang").isNotNull(), F.struct("lang", "n"))
-        seen = seen.groupBy("word").agg(F.first("texts").alias("texts"), F.collect_list(entry).alias("seen"))
-        vector = F.arrow_udf(vectors, "array<double>")("word", "seen").alias("vector")
-        scores = written(seen.select("word", "texts", vector), "lang-rest-scores")
-        each = join_groups(pairs, scores, "word", "texts", pairs.count())
-        added = F.array(*[F.sum(F.col("n") * F.get("vector", F.lit(i))) for i in range(len(self.langs))])
-        texts = each.groupBy("text_key").agg(F.max("copies").alias("copies"), added.alias("added"))
-        texts = written(texts, "lang-rest-sums")
-        # a text that very many rows have gets its sums by broadcast, the others by a join; rows without need none
-        total = texts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-        hot = F.col("copies") * 1000 > total
-        rows = docs.select(
-            row.alias("row"), key.alias("text_key"), F.arrow_udf(sums, "struct<sums: array<double>, words: long, rest: boolean>")(text).alias("own")
-        )
-        few = texts.filter(hot).select("text_key", F.col("added").alias("hot_added"))
-        rows = rows.join(F.broadcast(few), "text_key", "left")
-        wants = F.col("own.rest") & F.col("hot_added").isNull()
-        rows = rows.select(
-            "row", "own", "hot_added", wants.alias("wants"),
-            F.when(wants, F.col("text_key")).otherwise(F.xxhash64(F.monotonically_increasing_id())).alias("text_key"),
-        )
-        rest_of = texts.filter(~hot).select("text_key", "added", F.lit(True).alias("wants"))
-        rows = rows.join(rest_of, ["text_key", "wants"], "left")
-        added = F.coalesce("hot_added", "added")
-        whole_sums = F.when(added.isNull(), F.col("own.sums")).otherwise(F.zip_with("own.sums", added, lambda x, y: x + y))
-        rows = rows.select("row", F.col("own.words").alias("words"), whole_sums.alias("sums"))
+            none = F.struct(F.lit(NO_LANGUAGE).alias("lang_pred"), F.lit(0.0).alias("score"))
+            return docs.select(row.alias("row"), none.alias("found"))
+        index, logs = self._held(self.words.withColumn("length", F.lit(0)))
+        shared = spark.sparkContext.broadcast((index[0], logs))
+        asked = docs.select(row.alias("row"), text.alias("text"))
+        kind = asked.schema["row"].dataType
+        # the row itself goes through as it is; its type in Arrow is the one it comes with
+        schema = StructType().add("text_id", "long").add("row", kind)
+        for name, of in (("sums", "array<double>"), ("words", "long"), ("word", "string"), ("texts", "array<long>"), ("counts", "array<int>")):
+            schema.add(name, DataType.fromDDL(of))
+        cut = written(asked.mapInArrow(cut_words(shared), schema), "lang-cut")
+        pairs = cut.filter(F.col("word").isNotNull()).select("word", "texts", "counts")
+        sizes = written(pairs.groupBy("word").agg(F.sum(F.size("texts")).alias("size")), "lang-rest")
+        total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        counts = self.words.withColumnRenamed("gram", "word").join(sizes.select("word"), "word", "left_semi")
+        seen = written(self._logs(counts, "word", self.word_totals), "lang-seen")
+        unseen = written(sizes.join(seen, "word", "left_anti").select("word"), "lang-never-seen")
+        vectors = seen if unseen.isEmpty() else seen.unionByName(self._backed_off(unseen))
+        scores = written(sizes.join(vectors, "word"), "lang-scores")
+        met = join_groups(pairs, scores, "word", "size", total)
+        each = met.select("vector", F.explode(F.arrays_zip("texts", "counts")).alias("x"))
+        added = F.array(*[F.sum(F.get("vector", F.lit(i)) * F.col("x.counts")) for i in range(len(self.langs))])
+        added = each.groupBy(F.col("x.texts").alias("text_id")).agg(added.alias("added"))
+        rows = cut.filter(F.col("word").isNull()).select("text_id", "row", "sums", "words")
+        rows = rows.join(added, "text_id", "left")
+        both = F.zip_with("sums", "added", lambda x, y: x + y)
+        rows = rows.select("row", "words", F.when(F.col("added").isNull(), F.col("sums")).otherwise(both).alias("sums"))
         rows = rows.select("*", F.array_max("sums").alias("most"))
         shares = F.aggregate("sums", F.lit(0.0), lambda x, y: x + F.exp(y - F.col("most")))
         names = F.array(*[F.lit(x) for x in self.langs])
@@ -246,6 +248,60 @@ class LanguageModel:
         return F.arrow_udf(run, "struct<lang_pred: string, score: double>")(text)
 
 
+def cut_words(shared):
+    """Task function of ``identify``: (row, text) to a row for each text, with the sums of its words that
+    workers hold, and a row for each other word, with the texts that have it and how often."""
+
+    def text_rows(first: int, rows: pa.Array, sums: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
+        n = len(rows)
+        columns = [pa.array(range(first, first + n), pa.int64()), rows, to_list_array(sums), pa.array(lengths)]
+        columns += [pa.nulls(n, x) for x in (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, CUT)
+
+    def word_rows(kind: pa.DataType, held: dict[str, tuple[list, list]]) -> pa.RecordBatch:
+        n = len(held)
+        columns = [pa.nulls(n, x) for x in (pa.int64(), kind, pa.list_(pa.float64()), pa.int64())]
+        columns.append(pa.array(list(held), pa.string()))
+        columns.append(pa.array([x[0] for x in held.values()], pa.list_(pa.int64())))
+        columns.append(pa.array([x[1] for x in held.values()], pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, CUT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, logs = shared.value
+        logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: not held
+        key = TaskContext.get().partitionId() << 40
+        others: dict[str, tuple[list, list]] = {}
+        entries, kind = 0, None
+        for batch in batches:
+            kind = batch.column(0).type
+            for first, end in slices(batch.column(1)):
+                bags = Bags([words_of(x or "") for x in batch.column(1).slice(first, end - first).to_pylist()])
+                own = np.array([index.get(x, -1) for x in bags.words], dtype=np.int64)
+                sums = np.zeros((end - first, logs.shape[1]))
+                if len(bags.places):
+                    sums[bags.full] = np.add.reduceat(logs[own[bags.places]], bags.starts, axis=0)
+                yield text_rows(key, batch.column(0).slice(first, end - first), sums, bags.lengths)
+                rare = np.flatnonzero(own[bags.places] < 0)
+                texts = np.repeat(np.arange(len(bags.lengths)), bags.lengths)[rare]
+                pairs, counts = np.unique(bags.places[rare] * len(bags.lengths) + texts, return_counts=True)
+                places, texts = np.divmod(pairs, max(1, len(bags.lengths)))
+                cuts = np.flatnonzero(np.diff(places, prepend=-1))
+                for a, b in zip(cuts, np.append(cuts, len(places))[1:], strict=True):
+                    ids, ns = others.setdefault(bags.words[places[a]], ([], []))
+                    ids += (texts[a:b] + key).tolist()
+                    ns += counts[a:b].tolist()
+                entries += len(pairs)
+                key += end - first
+                if entries >= FLUSH:
+                    yield word_rows(kind, others)
+                    others, entries = {}, 0
+        if others:
+            yield word_rows(kind, others)
+
+    return run
+
+
+CUT = ["text_id", "row", "sums", "words", "word", "texts", "counts"]
 PREDICTION = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -269,9 +325,7 @@ def predictions(texts: list[str | None], langs: list[str], scorer: WordScorer) -
 class WordScorer:
     """Log frequency of a word in every language, from the word itself or else from its n-grams."""
 
-    def __init__(self, index: list[dict[str, int]], logs: np.ndarray, back_off: bool = True):
-        """Without ``back_off`` a word that is not held adds nothing."""
-        self.back_off = back_off
+    def __init__(self, index: list[dict[str, int]], logs: np.ndarray):
         self.words, self.levels = index[0], index[:0:-1]
         self.logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: nothing is known
         self.memory = Memory(CACHE)
@@ -284,8 +338,6 @@ class WordScorer:
             place = self.words.get(word)
             if place is not None:
                 own = [place]
-            elif not self.back_off:
-                own = [-1]
             else:
                 for level, index in enumerate(self.levels):
                     own = [i for i in map(index.get, grams(word, LONGEST - level)) if i is not None]

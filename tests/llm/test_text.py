@@ -147,6 +147,70 @@ def test_unseen_words_back_off_to_shorter_grams(spark):
     assert found[:2] == ["a", "b"]
 
 
+def brute_languages(learn, texts):
+    """(lang, posterior) of each text: own counts of words that were seen, else the mean over the n-grams of the
+    longest length that has a known one."""
+    langs = sorted({lang for _, lang in learn})
+    words = {x: Counter(w for t, lang in learn if lang == x for w in langid.words_of(t)) for x in langs}
+    grams = {
+        (x, n): Counter({}) for x in langs for n in range(1, langid.LONGEST + 1)
+    }
+    for x in langs:
+        for word, count in words[x].items():
+            for n in range(1, langid.LONGEST + 1):
+                for gram in langid.grams(word, n):
+                    grams[x, n][gram] += count
+
+    def logs(tables, key):
+        return np.array([math.log((t[key] + 0.5) / (sum(t.values()) + 1)) for t in tables])
+
+    def score(word):
+        if any(word in words[x] for x in langs):
+            return logs([words[x] for x in langs], word)
+        for n in range(langid.LONGEST, 0, -1):
+            tables = [grams[x, n] for x in langs]
+            known = [g for g in langid.grams(word, n) if any(g in t for t in tables)]
+            if known:
+                return np.mean([logs(tables, g) for g in known], axis=0)
+        return np.zeros(len(langs))
+
+    found = []
+    for text in texts:
+        own = langid.words_of(text or "")
+        sums = sum((score(w) for w in own), np.zeros(len(langs)))
+        best = int(np.argmax(sums))
+        found.append((langs[best], 1 / np.exp(sums - sums[best]).sum()) if own else ("und", 0.0))
+    return found
+
+
+@pytest.mark.parametrize("share", [langid.SHARE, 0.02, 0.9])
+def test_languages_do_not_depend_on_what_workers_hold(spark, documents, share, monkeypatch):
+    monkeypatch.setattr(langid, "FLUSH", 50)
+    rows = [(x.doc_id, (x.text or "")[:400], x.lang) for x in documents.collect()]
+    learn = [(t, lang) for i, t, lang in rows if i % 3 and lang]
+    extra = ["zzyzx qqqq", "\u4e2d\u6587 x", "", None, "Stationen und Nationen", "12 !", "zzyzx qqqq"]
+    texts = [t for i, t, _ in rows if i % 3 == 0][:40] + extra
+    model = langid.LanguageModel(spark.createDataFrame(learn, "text string, lang string"), share=share)
+    asked = spark.createDataFrame(list(enumerate(texts)), "i long, text string").withColumn("row", F.lit(1))
+    got = {x.row.i: x.found for x in model.identify(asked, F.struct("i", F.lit(None).cast("long").alias("none")), F.col("text")).collect()}
+    for i, (lang, score) in enumerate(brute_languages(learn, texts)):
+        assert got[i].score == pytest.approx(score, abs=1e-9)
+        assert got[i].lang_pred == lang or abs(score - 1 / 4) < 1e-9
+
+
+def test_identify_of_odd_rows(spark, odd, nothing):
+    many = odd.unionByName(spark.createDataFrame([(None, "Le chat unique", "fr", "c", 0.0, "")] * 30, odd.schema))
+    model = langid.LanguageModel(many, share=0.2)
+    found = model.identify(many, F.struct("doc_id", "text"), F.col("text")).collect()
+    assert sorted(str((x.row.doc_id, x.row.text)) for x in found) == sorted(str((x.doc_id, x.text)) for x in many.collect())
+    for x in found:
+        letters = any(c.isalpha() for c in x.row.text or "")
+        assert (x.found.lang_pred == "und") == (not letters) and 0 <= x.found.score <= 1
+    assert model.identify(nothing, F.col("doc_id"), F.col("text")).count() == 0
+    bare = langid.LanguageModel(nothing).identify(odd, F.col("doc_id"), F.col("text")).collect()
+    assert len(bare) == odd.count() and {tuple(x.found) for x in bare} == {("und", 0.0)}
+
+
 def test_counts_below_the_share_count(spark):
     rows = [("both " * 6 + "only " * 2 + "filler " * 12, "a"), ("both " * 5 + "other " * 3 + "filler " * 13, "b")]
     df = spark.createDataFrame(rows, "text string, lang string")
