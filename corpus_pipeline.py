@@ -25,9 +25,13 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language: texts without a letter, or between languages, go."""
     model = langid.LanguageModel(docs)
-    found = model.identify(docs, whole(docs), F.col("text"))
+    # a text is told by its digest and the id beside it; what is decided of them, few rows, goes to the documents
+    keys = [F.coalesce("doc_id", F.lit(-1)).alias("id_key"), F.xxhash64("text").alias("text_key")]
+    found = model.identify(docs, F.struct(*keys), F.col("text"))
     sure = (F.col("found.lang_pred") != langid.NO_LANGUAGE) & (F.col("found.score") >= LEAST_SCORE)
-    return found.filter(sure).select("row.*")
+    rejected = written(found.filter(~sure).select("row.*").distinct(), "pipeline-rejected")
+    rows = docs.select(whole(docs).alias("row"), *keys)
+    return rows.join(rejected, ["id_key", "text_key"], "left_anti").select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
