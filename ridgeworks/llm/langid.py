@@ -179,7 +179,7 @@ class LanguageModel:
         """(row, found struct(lang_pred, score)) of every row of ``docs``.
 
         Texts are read once. The sums of the words that workers hold are kept by row; every other word is
-        written once per task with the rows that have it, meets its counts or, if it was never seen, those of
+        written once per eight megabytes of text with the rows that have it, meets its counts or, if it was never seen, those of
         its n-grams by joins, and what it adds comes back to its rows by their number. ``row`` is what is
         known of a row afterwards: keep it small. Null text, text without a letter and a model without
         languages give ``und`` and 0; null and repeated ids, repeated rows and texts are rows of their own; an
@@ -258,22 +258,20 @@ def cut_words(shared):
         columns += [pa.nulls(n, x) for x in (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays(columns, CUT)
 
-    def word_rows(kind: pa.DataType, held: dict[str, tuple[list, list]]) -> pa.RecordBatch:
-        n = len(held)
+    def word_rows(kind: pa.DataType, words: list[str], starts: np.ndarray, texts: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        n = len(words)
         columns = [pa.nulls(n, x) for x in (pa.int64(), kind, pa.list_(pa.float64()), pa.int64())]
-        columns.append(pa.array(list(held), pa.string()))
-        columns.append(pa.array([x[0] for x in held.values()], pa.list_(pa.int64())))
-        columns.append(pa.array([x[1] for x in held.values()], pa.list_(pa.int32())))
+        offsets = pa.array(np.append(starts, len(texts)).astype(np.int32))
+        columns.append(pa.array(words, pa.string()))
+        columns.append(pa.ListArray.from_arrays(offsets, pa.array(texts, pa.int64())))
+        columns.append(pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())))
         return pa.RecordBatch.from_arrays(columns, CUT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, logs = shared.value
         logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: not held
         key = TaskContext.get().partitionId() << 40
-        others: dict[str, tuple[list, list]] = {}
-        entries, kind = 0, None
         for batch in batches:
-            kind = batch.column(0).type
             for first, end in slices(batch.column(1)):
                 bags = Bags([words_of(x or "") for x in batch.column(1).slice(first, end - first).to_pylist()])
                 own = np.array([index.get(x, -1) for x in bags.words], dtype=np.int64)
@@ -285,18 +283,12 @@ def cut_words(shared):
                 texts = np.repeat(np.arange(len(bags.lengths)), bags.lengths)[rare]
                 pairs, counts = np.unique(bags.places[rare] * len(bags.lengths) + texts, return_counts=True)
                 places, texts = np.divmod(pairs, max(1, len(bags.lengths)))
-                cuts = np.flatnonzero(np.diff(places, prepend=-1))
-                for a, b in zip(cuts, np.append(cuts, len(places))[1:], strict=True):
-                    ids, ns = others.setdefault(bags.words[places[a]], ([], []))
-                    ids += (texts[a:b] + key).tolist()
-                    ns += counts[a:b].tolist()
-                entries += len(pairs)
+                for low in range(0, len(places), FLUSH):
+                    part = slice(low, low + FLUSH)
+                    starts = np.flatnonzero(np.diff(places[part], prepend=-1))
+                    words = [bags.words[x] for x in places[part][starts].tolist()]
+                    yield word_rows(batch.column(0).type, words, starts, texts[part] + key, counts[part])
                 key += end - first
-                if entries >= FLUSH:
-                    yield word_rows(kind, others)
-                    others, entries = {}, 0
-        if others:
-            yield word_rows(kind, others)
 
     return run
 
