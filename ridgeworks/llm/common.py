@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -31,6 +33,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hand memory that a Python worker has freed back to the system: between tasks it stays alive beside
+    whatever the executor does next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, mod ``modulus``; a null id counts as the empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from ridgeworks.functions.pixels import to_list_array
-from ridgeworks.llm.common import Bags, Memory, join_groups, slices, split_rows, written
+from ridgeworks.llm.common import Bags, Memory, give_back, join_groups, slices, split_rows, written
 
 LONGEST = 5
 # every worker holds the words that are at least this share of the words of any language, with their counts in
@@ -24,7 +24,9 @@ SHARE = 1 / 200_000
 # words whose scores a Python worker remembers, twice that many at most
 CACHE = 300_000
 # different words a task counts, or words and texts that it pairs, before it hands them on
-FLUSH = 300_000
+FLUSH = 100_000
+# bytes of text that are cut into words at once
+SLICE = 4 << 20
 # letters of any script
 LETTERS = r"[^\W\d_]+"
 NO_LANGUAGE = "und"
@@ -62,13 +64,17 @@ def count_words(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}
         for batch in batches:
-            for code, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if code not in seen:
-                    seen[code] = Counter()
-                seen[code].update(words_of(text))
-                if len(seen[code]) >= FLUSH:
-                    yield from counted({code: seen.pop(code)})
+            for first, end in slices(batch.column(1), SLICE):
+                codes, texts = (x.slice(first, end - first).to_pylist() for x in batch.columns)
+                for code, text in zip(codes, texts, strict=True):
+                    if code not in seen:
+                        seen[code] = Counter()
+                    seen[code].update(words_of(text))
+                    if len(seen[code]) >= FLUSH:
+                        yield from counted({code: seen.pop(code)})
         yield from counted(seen)
+        seen.clear()
+        give_back()
 
     found = rows.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -179,7 +185,7 @@ class LanguageModel:
         """(row, found struct(lang_pred, score)) of every row of ``docs``.
 
         Texts are read once. The sums of the words that workers hold are kept by row; every other word is
-        written once per eight megabytes of text with the rows that have it, meets its counts or, if it was never seen, those of
+        written once per four megabytes of text with the rows that have it, meets its counts or, if it was never seen, those of
         its n-grams by joins, and what it adds comes back to its rows by their number. ``row`` is what is
         known of a row afterwards: keep it small. Null text, text without a letter and a model without
         languages give ``und`` and 0; null and repeated ids, repeated rows and texts are rows of their own; an
@@ -272,7 +278,7 @@ def cut_words(shared):
         logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: not held
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, end in slices(batch.column(1)):
+            for first, end in slices(batch.column(1), SLICE):
                 bags = Bags([words_of(x or "") for x in batch.column(1).slice(first, end - first).to_pylist()])
                 own = np.array([index.get(x, -1) for x in bags.words], dtype=np.int64)
                 sums = np.zeros((end - first, logs.shape[1]))
@@ -289,6 +295,8 @@ def cut_words(shared):
                     words = [bags.words[x] for x in places[part][starts].tolist()]
                     yield word_rows(batch.column(0).type, words, starts, texts[part] + key, counts[part])
                 key += end - first
+            del batch
+        give_back()
 
     return run
 

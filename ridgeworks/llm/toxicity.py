@@ -316,28 +316,39 @@ def fit(
 
 
 class ToxicityModel:
-    """Fitted on the labelled rows of ``docs``; null labels are left out.
+    """Fitted on the labelled rows of ``docs``; null labels are left out, of several for one id the highest holds.
 
-    The network is trained on about ``sample_rows`` rows of either label, chosen by a hash of doc_id. The
-    language model and the thresholds come of all labelled rows at their natural rate: those of the sample
-    with logits from networks fitted on two thirds of it, the others, which the network has not seen, with its
-    own, counted by language, logit and label. With one label only, or none, every score is 0.
+    The network is trained on about ``sample_rows`` labelled ids of either label, chosen by a hash of the id
+    and one text each (that with the least hash), so the sample is bounded however often an id occurs. The
+    language model comes of all rows of ``learn`` (by default ``docs``). Every text is scored once, by
+    language and logit; what is joined with labels is that, never a text. The thresholds come of all labelled
+    rows at their natural rate: those of the sample with logits from networks fitted on two thirds of it, the
+    others, which the network has not seen, with its own, counted by language, logit and label.
+
+    Null and empty texts have the score of no word; a null id has no label; repeated rows are scored alike;
+    with one label only, or none, or an empty table, every score is 0.
     """
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
+    def __init__(
+        self, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, learn: DataFrame | None = None
+    ):
         """``docs`` has doc_id, text and lang, ``labels`` has doc_id and label (0 or 1)."""
         spark = docs.sparkSession
-        labels = labels.filter(F.col("label").isin(0, 1)).dropDuplicates(["doc_id"])
+        label = F.max(F.col("label").cast("int")).alias("label")
+        known = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+        labels = written(known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(label), "toxic-labels")
         counts = {row[0]: row[1] for row in labels.groupBy("label").agg(F.count("*")).collect()}
         share = F.lit(0)
-        for label, count in counts.items():
-            share = F.when(F.col("label") == label, F.lit(int(min(1.0, sample_rows / count) * 2**30))).otherwise(share)
+        for value, count in counts.items():
+            share = F.when(F.col("label") == value, F.lit(int(min(1.0, sample_rows / count) * 2**30))).otherwise(share)
         draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(2**30))
-        chosen = labels.filter(draw < share)
-        texts = docs.select("doc_id", "text", "lang")
-        sample = texts.join(chosen, "doc_id")
-        sample = written(sample.select("doc_id", "text", "lang", F.col("label").cast("int").alias("label")), "toxic-sample")
-        self.language = LanguageModel(texts.join(labels.select("doc_id"), "doc_id", "left_semi"))
+        # about 2 x sample_rows ids, whatever the number of labels: small enough for every task
+        chosen = written(labels.filter(draw < share), "toxic-chosen")
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+        asked = texts.join(F.broadcast(chosen), "doc_id")
+        first = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+        self.sample = sample = written(asked.groupBy("doc_id", "label").agg(first), "toxic-sample")
+        self.language = LanguageModel(docs if learn is None else learn)
         langs, tables = self.language.langs, self.language.tables
         shared = spark.sparkContext.broadcast({"tables": tables})
 
@@ -374,20 +385,19 @@ class ToxicityModel:
                 flat[-2],
                 flat[-1][0],
             )
-            self.limits = {}
-            others = labels.filter(draw >= share).select("doc_id", F.col("label").cast("int").alias("label"))
-            rows = self._counted(spark, texts.select("doc_id", "text").join(others, "doc_id").select("text", "label"))
+            rows = self._counted(docs, labels.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti"))
             names, logits, marks = ([*found[0][count + i]] for i in range(3))
             names = np.array(names + [x["lang"] for x in rows])
             logits = np.array(logits + [x["step"] * STEP for x in rows], dtype=float)
             marks = np.array(marks + [x["label"] for x in rows], dtype=float)
             sizes = np.concatenate([np.ones(len(names) - len(rows)), [x["n"] for x in rows]])
             self.limits = thresholds(names, logits, marks, sizes)
-        self.spark = spark
+        self.spark, self.docs = spark, docs
 
-    def _counted(self, spark, rows: DataFrame) -> list:
-        """(lang, step, label, n) of all ``rows`` (text, label): how many have a language, a logit and a label."""
-        shared = spark.sparkContext.broadcast(
+    def _counted(self, docs: DataFrame, labels: DataFrame) -> list:
+        """Score every text, keep (doc_id, lang, logit) of each row; (lang, step, label, n) of the labelled ones:
+        how many have a language, a logit in steps and a label."""
+        shared = docs.sparkSession.sparkContext.broadcast(
             {"model": self.model, "langs": self.language.langs, "tables": self.language.tables}
         )
 
@@ -398,17 +408,31 @@ class ToxicityModel:
                 held["scorers"] = (Scorer(table.astype(np.float32), *rest), WordScorer(*held["tables"]))
             network, scorer = held["scorers"]
             for batch in batches:
-                for first, end in slices(batch.column(0)):
+                for first, end in slices(batch.column(1)):
                     part = batch.slice(first, end - first)
-                    bags = Bags([words_of(x or "") for x in part.column(0).to_pylist()])
+                    bags = Bags([words_of(x or "") for x in part.column(1).to_pylist()])
                     names, _ = best_language(bags, held["langs"], scorer)
-                    logits = np.clip(network.logits(bags).astype(float), -LIMIT, LIMIT)
-                    steps = np.round(logits / STEP).astype(np.int64)
-                    columns = [pa.array(names, pa.string()), pa.array(steps), part.column(1)]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "step", "label"])
-
-        found = rows.mapInArrow(run, "lang string, step long, label int")
-        return found.groupBy("lang", "step", "label").agg(F.count("*").alias("n")).collect()
+                    columns = [part.column(0), pa.array(names, pa.string()), pa.array(network.logits(bags).astype(float))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "logit"])
+
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+        self.logits = written(rows.mapInArrow(run, "doc_id long, lang string, logit double"), "toxic-logits")
+        within = F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.col("logit")))
+        steps = self.logits.select("doc_id", "lang", F.round(within / STEP).cast("long").alias("step"))
+        # an id on very many rows is few rows here
+        steps = steps.groupBy("doc_id", "lang", "step").agg(F.count("*").alias("n"))
+        return steps.join(labels, "doc_id").groupBy("lang", "step", "label").agg(F.sum("n").alias("n")).collect()
+
+    def scores(self) -> DataFrame:
+        """(doc_id, score) of every row of ``docs``, from the logits that the thresholds come of."""
+        if self.model is None:
+            return self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0.0).alias("score"))
+        border = F.lit(float(self.limits[""]))
+        for name, limit in sorted(self.limits.items()):
+            if name:
+                border = F.when(F.col("lang") == name, float(limit)).otherwise(border)
+        logit = F.col("logit") - border + float(np.log(THRESHOLD / (1 - THRESHOLD)))
+        return self.logits.select("doc_id", (1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), logit))))).alias("score"))
 
     def score(self, text: Column) -> Column:
         """Score of a text column, from 0 to 1: THRESHOLD where the text's language has its threshold."""

@@ -338,11 +338,27 @@ def test_thresholds_come_of_all_labelled_rows(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, label int")
     model = toxicity.ToxicityModel(df, df.select("doc_id", "label"), sample_rows=30)
     assert held == [(2000, 50)] and counted[0] > 1900
-    assert model.language.totals.sum() == 2000 * 3
+    assert sum(model.language.word_totals.values()) == 2000 * 3
     found = df.select("label", (model.score(F.col("text")) >= 0.7).cast("int").alias("p"))
     assert found.filter("label <> p").count() == 0
 
 
+def test_one_id_on_very_many_rows(spark):
+    """The sample has one text an id; of conflicting labels the highest holds; two runs agree."""
+    rows = [(i, f"{'vile' if i % 2 else 'good'} word {i % 7} here", "en", i % 2) for i in range(200)]
+    rows += [(7, f"vile copy {i} here", "en", 1) for i in range(3000)] + [(None, "vile word", "en", 1)] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, label int").repartition(5, "text")
+    more = spark.createDataFrame([(8, 1), (8, 0), (9, None), (11, 0)], "doc_id long, label int")
+    labels = df.select("doc_id", "label").unionByName(more)
+    found = []
+    for _ in range(2):
+        model = toxicity.ToxicityModel(df, labels, sample_rows=1000)
+        sample = {x.doc_id: x.label for x in model.sample.collect()}
+        assert len(sample) == model.sample.count() == 200 and sample[8] == sample[11] == 1 and sample[10] == 0
+        found.append(sorted(map(str, model.scores().collect())))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
 def test_weighted_threshold():
     logits, labels = np.array([0.0, 1.0, 2.0, 3.0]), np.array([0, 1, 0, 1])
     assert toxicity.best_threshold(logits, labels) == 0.5
