@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ridgeworks.llm.common import Memory, slices
 
 # stretches and pieces whose ids a Python worker remembers, twice that many of each at most
-CACHE = 150_000
+CACHE = 300_000
 # bytes of the longest piece that is merged beside others
 LONG = 64
 # stands above every rank

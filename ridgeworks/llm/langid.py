@@ -22,7 +22,7 @@ LONGEST = 5
 # all (for ``predict`` the n-grams too, by length); no language brings more than 1 / SHARE of each
 SHARE = 1 / 200_000
 # words whose scores a Python worker remembers, twice that many at most
-CACHE = 300_000
+CACHE = 200_000
 # different words a task counts, or words and texts that it pairs, before it hands them on
 FLUSH = 100_000
 # bytes of text that are cut into words at once

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Bags, Memory, slices, split_rows, written
+from ridgeworks.llm.common import Bags, Memory, give_back, slices, split_rows, written
 from ridgeworks.llm.langid import NO_LANGUAGE, LanguageModel, WordScorer, best_language, words_of
 
 # labelled rows of either label that the classifier is fitted on, expected number; chosen by hash
@@ -48,6 +48,8 @@ LIMIT = 60.0
 # parts of the labelled rows; the thresholds of each come from a network that has not seen it
 PARTS = 3
 CACHE = 150_000
+# bytes of text that are cut into words and scored at once
+SLICE = 2 << 20
 # the embeddings come to the driver and go to the tasks in half precision: 12 MB whatever the corpus
 STORED = np.float16
 
@@ -408,12 +410,13 @@ class ToxicityModel:
                 held["scorers"] = (Scorer(table.astype(np.float32), *rest), WordScorer(*held["tables"]))
             network, scorer = held["scorers"]
             for batch in batches:
-                for first, end in slices(batch.column(1)):
+                for first, end in slices(batch.column(1), SLICE):
                     part = batch.slice(first, end - first)
                     bags = Bags([words_of(x or "") for x in part.column(1).to_pylist()])
                     names, _ = best_language(bags, held["langs"], scorer)
                     columns = [part.column(0), pa.array(names, pa.string()), pa.array(network.logits(bags).astype(float))]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "logit"])
+            give_back()
 
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
         self.logits = written(rows.mapInArrow(run, "doc_id long, lang string, logit double"), "toxic-logits")
@@ -453,7 +456,7 @@ class ToxicityModel:
             shift = np.log(THRESHOLD / (1 - THRESHOLD))
             for column in columns:
                 parts = [np.zeros(0)]
-                for first, end in slices(column):
+                for first, end in slices(column, SLICE):
                     bags = Bags([words_of(x or "") for x in column[first:end].to_pylist()])
                     names, _ = best_language(bags, held["langs"], scorer)
                     border = np.array([limits.get(x, limits[""]) for x in names])
