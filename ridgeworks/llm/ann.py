@@ -111,13 +111,13 @@ def search(
 
     Queries are the rows that ``is_query`` holds for; candidates are all rows of the same width but the
     query's own id. The distance is that of the original vectors in double precision; ties go to the
-    smaller id; repeated rows of one id count once. Null, zero and non-finite vectors take no part. A
-    query with no candidate has no rows, an empty table gives an empty result.
+    smaller id; repeated rows of one id count once. Null, zero and non-finite vectors, and rows with a null
+    id, take no part. A query with no candidate has no rows, an empty table gives an empty result.
 
     Rows and queries meet bucket by bucket (``_meet``). Queries that find fewer rows than there are to find,
     for the table is small or their buckets are, meet all rows: every bucket of one table.
     """
-    held = vectors.filter(usable(F.col(vector))).select(
+    held = vectors.filter(usable(F.col(vector)) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("long").alias("id"),
         F.col(vector).cast("array<double>").alias("vector"),
         is_query.alias("asked"),

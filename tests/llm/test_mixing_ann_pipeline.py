@@ -216,3 +216,11 @@ def test_pipeline_of_odd_and_no_rows(spark, odd, nothing):
             docs = corpus_pipeline.written(stage(spark, docs, ""), name)
         assert df is odd or docs.count() == 0
     assert docs.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+
+
+def test_rows_with_a_null_id_take_no_part(spark):
+    rows = [(i, [float(i), 1.0, float(i % 3)]) for i in range(30)] + [(None, [float(i), 1.0, 0.0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = F.col("vec_id").isNull() | (F.col("vec_id") % 10 == 0)
+    found, expected = (sorted(map(tuple, ann.search(x, asked).collect())) for x in (df, df.filter("vec_id IS NOT NULL")))
+    assert found == expected and {x[0] for x in found} == {0, 10, 20} and len(found) == 30
