@@ -309,7 +309,11 @@ def best_language(bags: Bags, langs: list[str], scorer: WordScorer) -> tuple[lis
     """Language of each bag of words and its posterior."""
     if not langs:
         return [NO_LANGUAGE] * len(bags.lengths), np.zeros(len(bags.lengths))
-    sums = scorer.totals(bags)
+    return most_likely(scorer.totals(bags), bags, langs)
+
+
+def most_likely(sums: np.ndarray, bags: Bags, langs: list[str]) -> tuple[list[str], np.ndarray]:
+    """Language of each bag of words and its posterior, from the sums of its words' scores."""
     shares = np.exp(sums - sums.max(axis=1, keepdims=True))
     found = bags.lengths > 0
     names = [langs[i] if ok else NO_LANGUAGE for i, ok in zip(sums.argmax(axis=1), found, strict=True)]
@@ -331,8 +335,11 @@ class WordScorer:
         self.memory = Memory(CACHE)
 
     def _find(self, words: list[str]) -> list[bytes]:
-        """Scores of every word as bytes: its own, or the mean over its known n-grams of the longest
-        length that has any, or none."""
+        return split_rows(self.vectors(words))
+
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Scores of every word: its own, or the mean over its known n-grams of the longest length that
+        has any, or none."""
         found, lengths = [], []
         for word in words:
             place = self.words.get(word)
@@ -348,14 +355,18 @@ class WordScorer:
             found += own
             lengths.append(len(own))
         lengths = np.array(lengths)
-        sums = np.add.reduceat(self.logs[found], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
-        return split_rows(sums)
+        return np.add.reduceat(self.logs[found], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
 
     def totals(self, bags: Bags) -> np.ndarray:
         """Sum of the scores of each text's words."""
         known = self.memory.look_up(bags.words, self._find)
-        sums = np.zeros((len(bags.lengths), self.logs.shape[1]))
-        if len(bags.places):
-            table = np.frombuffer(b"".join(map(known.__getitem__, bags.words))).reshape(len(bags.words), -1)
-            sums[bags.full] = np.add.reduceat(table[bags.places], bags.starts, axis=0)
-        return sums
+        table = np.frombuffer(b"".join(map(known.__getitem__, bags.words))).reshape(len(bags.words), self.logs.shape[1])
+        return summed(bags, table)
+
+
+def summed(bags: Bags, table: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each text's words in ``table``."""
+    sums = np.zeros((len(bags.lengths), table.shape[1]))
+    if len(bags.places):
+        sums[bags.full] = np.add.reduceat(table[bags.places], bags.starts, axis=0)
+    return sums

@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Bags, Memory, give_back, slices, split_rows, written
-from ridgeworks.llm.langid import NO_LANGUAGE, LanguageModel, WordScorer, best_language, words_of
+from ridgeworks.llm.common import Bags, give_back, slices, written
+from ridgeworks.llm.langid import NO_LANGUAGE, LanguageModel, WordScorer, best_language, most_likely, summed, words_of
 
 # labelled rows of either label that the classifier is fitted on, expected number; chosen by hash
 SAMPLE_ROWS = 3000
@@ -47,7 +48,10 @@ STEP = 1 / 256
 LIMIT = 60.0
 # parts of the labelled rows; the thresholds of each come from a network that has not seen it
 PARTS = 3
-CACHE = 150_000
+# words whose scores a Python worker remembers
+CACHE = 250_000
+# letters of the longest word that is remembered
+LONGEST = 64
 # bytes of text that are cut into words and scored at once
 SLICE = 2 << 20
 # the embeddings come to the driver and go to the tasks in half precision: 12 MB whatever the corpus
@@ -202,7 +206,7 @@ class Network:
 
 
 class Scorer:
-    """Logits of texts; remembers what every filter position gives for a word."""
+    """Logits of texts from what every filter position gives for their words."""
 
     def __init__(self, table, filters, bias, weights, offset):
         self.table, self.filters, self.bias, self.weights, self.offset = table, filters, bias, weights, offset
@@ -210,21 +214,11 @@ class Scorer:
         # every (span, offset) side by side: a word's responses are one product
         self.stacked = np.concatenate([part for x in filters for part in x], axis=1)
         self.counts = [x.shape[2] for x in filters]
-        self.memory = Memory(CACHE)
-
-    def _find(self, words: list[str]) -> list[bytes]:
-        return split_rows(self.responses(Features(words)))
 
     def responses(self, features: Features) -> np.ndarray:
         """What every filter position gives for each word."""
         return (features.embed(self.table) @ self.stacked).astype(np.float32)
 
-    def logits(self, bags: Bags) -> np.ndarray:
-        """Logit of each text; a text without words gets that of no response."""
-        known = self.memory.look_up(bags.words, self._find) if bags.words else {}
-        table = np.frombuffer(b"".join(map(known.__getitem__, bags.words)), np.float32)
-        return self.pooled(bags, table.reshape(len(bags.words), self.stacked.shape[1]))
-
     def pooled(self, bags: Bags, table: np.ndarray) -> np.ndarray:
         """Logit of each text from the responses of its words."""
         out = np.full((len(bags.lengths), len(self.bias)), 0.0, dtype=np.float32)
@@ -250,6 +244,43 @@ class Scorer:
         return hidden @ self.weights + self.offset
 
 
+class Reader:
+    """Language and logit of texts. What the two models give for a word is one row of two arrays, found by one
+    look-up; when the arrays are full, the words of the texts at hand begin them anew."""
+
+    def __init__(self, model: tuple, langs: list[str], tables: tuple):
+        table, *rest = model
+        self.network, self.words, self.langs = Scorer(table.astype(np.float32), *rest), WordScorer(*tables), langs
+        self.places: dict[str, int] = {}
+        self.scores = np.empty((CACHE, self.words.logs.shape[1]))
+        self.responses = np.empty((CACHE, self.network.stacked.shape[1]), np.float32)
+
+    def _look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+        scores, responses = self.scores[at], self.responses[at]
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            asked = [words[i] for i in new.tolist()]
+            scores[new] = self.words.vectors(asked)
+            responses[new] = self.network.responses(Features(asked))
+            if len(self.places) + len(new) > CACHE:
+                self.places, new = {}, np.arange(len(words))
+            new = np.array([i for i in new.tolist() if len(words[i]) <= LONGEST][:CACHE], dtype=np.int64)
+            first, end = len(self.places), len(self.places) + len(new)
+            self.scores[first:end], self.responses[first:end] = scores[new], responses[new]
+            self.places.update(zip([words[i] for i in new.tolist()], range(first, end), strict=True))
+        return scores, responses
+
+    def read(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Language and logit of every text; null as empty. Without words the logit is that of no response."""
+        bags = Bags([words_of(x or "") for x in texts])
+        scores, responses = self._look_up(bags.words)
+        names = [NO_LANGUAGE] * len(texts)
+        if self.langs:
+            names, _ = most_likely(summed(bags, scores), bags, self.langs)
+        return names, self.network.pooled(bags, responses).astype(float)
+
+
 def log_odds(bags: Bags, features: Features, labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Log odds of either label for those of ``rows`` that hold a bucket, against those of all."""
     held = np.zeros((2, BUCKETS))
@@ -405,16 +436,13 @@ class ToxicityModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = shared.value
-            if "scorers" not in held:
-                table, *rest = held["model"]
-                held["scorers"] = (Scorer(table.astype(np.float32), *rest), WordScorer(*held["tables"]))
-            network, scorer = held["scorers"]
+            if "reader" not in held:
+                held["reader"] = Reader(held["model"], held["langs"], held["tables"])
             for batch in batches:
                 for first, end in slices(batch.column(1), SLICE):
                     part = batch.slice(first, end - first)
-                    bags = Bags([words_of(x or "") for x in part.column(1).to_pylist()])
-                    names, _ = best_language(bags, held["langs"], scorer)
-                    columns = [part.column(0), pa.array(names, pa.string()), pa.array(network.logits(bags).astype(float))]
+                    names, logits = held["reader"].read(part.column(1).to_pylist())
+                    columns = [part.column(0), pa.array(names, pa.string()), pa.array(logits)]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "logit"])
             give_back()
 
@@ -448,19 +476,16 @@ class ToxicityModel:
 
         def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             held = shared.value  # the same object for all tasks of a Python worker
-            if "scorers" not in held:
-                table, *rest = held["model"]
-                held["scorers"] = (Scorer(table.astype(np.float32), *rest), WordScorer(*held["tables"]))
-            network, scorer = held["scorers"]
+            if "reader" not in held:
+                held["reader"] = Reader(held["model"], held["langs"], held["tables"])
             limits = held["limits"]
             shift = np.log(THRESHOLD / (1 - THRESHOLD))
             for column in columns:
                 parts = [np.zeros(0)]
                 for first, end in slices(column, SLICE):
-                    bags = Bags([words_of(x or "") for x in column[first:end].to_pylist()])
-                    names, _ = best_language(bags, held["langs"], scorer)
+                    names, logits = held["reader"].read(column[first:end].to_pylist())
                     border = np.array([limits.get(x, limits[""]) for x in names])
-                    logits = network.logits(bags).astype(float) - border + shift
+                    logits = logits - border + shift
                     parts.append(1 / (1 + np.exp(-np.clip(logits, -700, 700))))
                 yield pa.array(np.concatenate(parts))
 
