@@ -154,6 +154,24 @@ def _sides(place: str, level: str) -> str:
 _UNSEEN = line_dedup.UNSEEN.replace("(?s)", "")
 
 ORACLES = {
+    "op6_chat_format": f"""
+WITH said AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role,
+         coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (CAST(-7 AS BIGINT), CAST(0 AS BIGINT), 'user', '{EXTRA}'), (-7, 1, 'assistant', '{EXTRA}')),
+escaped AS (
+  SELECT *, regexp_replace(text, '\\\\|###|</turn>', '\\\\\\0', 'g') AS safe_text,
+         regexp_replace(role, '[\\\\#:<\\n]', '\\\\\\0', 'g') AS safe_role FROM said),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('### ' || safe_role || ': ' || safe_text || '</turn>' || chr(10))) AS chars
+  FROM escaped GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM joined
+""",
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
