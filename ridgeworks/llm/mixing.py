@@ -71,14 +71,17 @@ def source_targets(
 def lay_out(docs: DataFrame, ranks: DataFrame) -> DataFrame:
     """``docs`` (source, doc_id, text_key, size) with rank and ``start``, the words of its source before it.
 
-    A source is dealt over hash groups of about GROUP rows; running totals are taken in each group and
-    the groups' totals are added up, so no source is ever sorted in one task. The order is that of the
-    hash of the id, then id, size and text, and therefore the same on every run.
+    Rows alike in all four columns are counted first and laid out side by side, so a repeated row is one row
+    until each copy gets its place. The others are dealt over hash groups of at most about GROUP by all of id,
+    text and size: one id, or null, on many texts is many groups. Running totals are taken in each group and
+    the groups' totals are added up, so no source is ever sorted in one task. The order is that of the hash of
+    the id, then id, size and text, and therefore the same on every run.
     """
-    rows = docs.count()
-    groups = max(1, rows // GROUP)
-    placed = docs.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(groups)))
-    parts = placed.groupBy("source", "part").agg(F.sum("size").alias("part_size"), F.count("*").alias("members"))
+    groups = max(1, docs.count() // GROUP)
+    alike = docs.groupBy("source", "doc_id", "text_key", "size").agg(F.count("*").alias("copies"))
+    dealt = F.pmod(F.xxhash64("doc_id", "text_key", "size", F.lit(SEED)), F.lit(groups))
+    placed = alike.select("*", dealt.alias("part"), (F.col("size") * F.col("copies")).alias("words"))
+    parts = placed.groupBy("source", "part").agg(F.sum("words").alias("part_size"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("ahead", F.coalesce(F.sum("part_size").over(before), F.lit(0)))
     named = ranks.select(F.col("source").alias("named"), "rank")
@@ -89,11 +92,12 @@ def lay_out(docs: DataFrame, ranks: DataFrame) -> DataFrame:
         .orderBy(F.xxhash64("doc_id"), "doc_id", "size", "text_key")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = placed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    inside = placed.withColumn("inside", F.coalesce(F.sum("words").over(within), F.lit(0)))
     same = F.col("source").eqNullSafe(F.col("named")) & (F.col("part") == F.col("dealt"))
-    return inside.join(parts, same).select(
-        "doc_id", "text_key", "size", "rank", (F.col("ahead") + F.col("inside")).alias("start")
-    )
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+    each = inside.join(parts, same).select("*", copy)
+    start = F.col("ahead") + F.col("inside") + F.col("copy") * F.col("size")
+    return each.select("doc_id", "text_key", "size", "rank", start.alias("start"))
 
 
 def _dealt(random: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:

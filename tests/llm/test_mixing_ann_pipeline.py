@@ -56,6 +56,21 @@ def test_mix_of_odd_rows(odd, nothing, spark, folder_of):
     assert queries.op7_mixing(spark, folder_of(documents=odd)).columns == ["doc_id", "size", "source_size", "target", "taken"]
 
 
+def test_layout_of_null_ids_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 50)
+    rows = [(None, f"word{i} is one of many", "a") for i in range(400)] + [(7, "the same five words again", "a")] * 400
+    rows += [(i, f"text {i}", "b") for i in range(100, 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.Mix(df, block=16)
+    check_mix(df, mix.taken().collect(), 16)
+    # every source is covered end to end, without gaps or overlaps
+    for rank in (row.rank for row in mix.sources.collect()):
+        spans = sorted((x.start, x.start + x.size) for x in mix.rows.filter(F.col("rank") == rank).collect())
+        assert spans[0][0] == 0
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert sum(len(WORD.findall(x.text)) for x in mix.texts().collect()) == sum(x.taken for x in mix.taken().collect())
+
+
 def test_blocks_and_texts_hold_what_is_taken(odd, documents):
     for df, block in ((odd, 16), (documents, 64)):
         mix = mixing.Mix(df, block=block)
