@@ -235,8 +235,12 @@ class Mix:
         self.drawn = draw_blocks(self.sources, block, seed=seed)
 
     def times(self) -> DataFrame:
-        """(rank, block, times) of every block that the mix takes."""
-        return self.drawn.groupBy("rank", "block").agg(F.count("*").alias("times"))
+        """(rank, block, times) of every block that the mix takes.
+
+        Blocks come of a few shard numbers, which is all that Spark knows of their size; without the hint it
+        would broadcast what grows with the documents.
+        """
+        return self.drawn.groupBy("rank", "block").agg(F.count("*").alias("times")).hint("merge")
 
     def pieces(self) -> DataFrame:
         """Parts of documents in blocks: doc_id, text_key, rank, start, block, low, high (words of the row)."""
@@ -256,7 +260,7 @@ class Mix:
 
     def blocks(self) -> DataFrame:
         """The mix itself: shard, place and the piece of a document that stands there."""
-        return self.drawn.join(self.pieces(), ["rank", "block"])
+        return self.drawn.hint("merge").join(self.pieces(), ["rank", "block"])
 
     def taken(self) -> DataFrame:
         """doc_id, text_key, size, source_size, target and taken (words, repeats counted) of every row."""
