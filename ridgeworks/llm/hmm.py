@@ -22,11 +22,9 @@ from pyspark.sql import functions as F
 from ridgeworks.llm.common import raw_texts, slices, written
 
 STATES = 8
-ITERATIONS = 2
+# passes over all training texts
+ITERATIONS = 5
 SHARE = 500_000
-# tokens expected in the sample that only the starting point is fitted on, and passes over it
-START_TOKENS = 1_000_000
-START_PASSES = 12
 # tokens worked on at once in a task
 BLOCK = 400_000
 # different words a task counts before it hands them on
@@ -147,32 +145,23 @@ def improved(start, move, counts, unigram):
     return start / start.sum(), move / move.sum(axis=1, keepdims=True), counts / counts.sum(axis=0)
 
 
-def starting_point(sequences: list[np.ndarray], unigram: np.ndarray, states: int = STATES):
-    """Baum-Welch from a fixed random point over sequences that fit a task."""
-    random = np.random.default_rng(0)
-    emit = unigram[:, None] * random.gamma(1.0, 1.0, (len(unigram), states))
-    model = (
+def starting_point(unigram: np.ndarray, states: int = STATES):
+    """A fixed random point about the unigram of the whole corpus; no text is read for it."""
+    emit = unigram[:, None] * np.random.default_rng(0).gamma(1.0, 1.0, (len(unigram), states))
+    return (
         np.full(states, 1 / states),
         np.full((states, states), 0.02 / states) + 0.98 * np.eye(states),
         emit / emit.sum(axis=0),
     )
-    for _ in range(START_PASSES if sequences else 0):
-        sums = [0.0, 0.0, 0.0]
-        for part in blocks(sequences):
-            packed = Packed([sequences[i] for i in part])
-            sums = [a + b for a, b in zip(sums, packed.expected(*model), strict=True)]
-        model = improved(*sums, unigram)
-    return model
 
 
 class HiddenMarkov:
     """Fitted on the rows of ``docs`` that are not ``held_out``; scores all of them.
 
     Counts of all words come first. Then every text is written once as its symbols, with its rare words
-    beside them. ``iterations`` passes of Baum-Welch go over all training texts: each task adds up its
-    expected counts and ships one row per symbol it met. Only the point to start from comes of a sample of
-    about START_TOKENS tokens. A null text is empty: only its end is a token. Without training texts every
-    text has probability one.
+    beside them. ``iterations`` passes of Baum-Welch, from a fixed random point, go over all training texts:
+    each task adds up its expected counts and ships one row per symbol it met. A null text is empty: only its
+    end is a token. Without training texts every text has probability one.
     """
 
     def __init__(
@@ -202,12 +191,10 @@ class HiddenMarkov:
         unigram /= unigram.sum()
 
         self.rows = written(self._encoded(asked), "hmm-rows")
-        training = self.rows.filter(~F.col("held_out"))
-        share = min(1.0, START_TOKENS / max(1, n))
-        draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-        self.model = self._start(training.filter(draw).select("symbols"), unigram)
+        training = self.rows.filter(~F.col("held_out")).select("symbols")
+        self.model = starting_point(unigram, states)
         for _ in range(iterations if n else 0):
-            self.model = self._pass(training.select("symbols"), unigram)
+            self.model = self._pass(training, unigram)
 
     def _encoded(self, asked: DataFrame) -> DataFrame:
         """Every row with its symbols (little-endian 32-bit integers) and its rare words.
@@ -251,22 +238,6 @@ class HiddenMarkov:
         )
         return asked.mapInArrow(run, schema)
 
-    def _start(self, sample: DataFrame, unigram: np.ndarray):
-        shared = sample.sparkSession.sparkContext.broadcast(unigram)
-        states = self.states
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found = [x for batch in batches for x in sequences_of(batch.column(0))]
-            model = starting_point(found, shared.value, states)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in model], pa.binary())], ["part"])
-
-        ordered = sample.repartition(1).sortWithinPartitions("symbols")
-        parts = [row[0] for row in ordered.mapInArrow(run, "part binary").collect()]
-        if not parts:
-            return starting_point([], unigram, states)
-        start, move, emit = (np.frombuffer(x) for x in parts)
-        return start, move.reshape(states, states), emit.reshape(-1, states)
-
     def _pass(self, training: DataFrame, unigram: np.ndarray):
         """One step of Baum-Welch over all training texts."""
         shared = training.sparkSession.sparkContext.broadcast([x.astype(np.float32) for x in self.model])

@@ -280,6 +280,25 @@ def test_rare_words_are_joined(spark, odd, monkeypatch):
     assert total == model.rest_n + model.rest_v + 1
 
 
+def test_language_model_learns_from_every_training_text(spark, documents):
+    """The model is that of whole passes from the fixed point; rows with a null id are no other rows."""
+    docs = documents.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    held = F.coalesce(F.col("doc_id"), F.lit(0)) % 5 == 4
+    model = hmm.HiddenMarkov(docs, held)
+    texts = [x.text for x in docs.filter(~held).collect()]
+    counts = brute_counts(texts)
+    unigram = np.array([1.0] + [counts[x] + 1.0 for x in model.often])
+    unigram[0] += sum(counts.values()) - sum(counts[x] for x in model.often)
+    unigram /= unigram.sum()
+    sequences = [np.array([model.often.get(x, 0) for x in hmm.tokens((t or "").encode())]) for t in texts]
+    expected = hmm.starting_point(unigram)
+    for _ in range(hmm.ITERATIONS):
+        single = [x.astype(np.float32) for x in expected]
+        expected = hmm.improved(*hmm.Packed(sequences).expected(*single), unigram)
+    for found, own in zip(model.model, expected, strict=True):
+        assert found == pytest.approx(own, rel=0.01, abs=1e-5)
+
+
 def test_forward_and_expected_counts_against_enumeration():
     random_ = np.random.default_rng(0)
     k, m = 3, 4
