@@ -12,10 +12,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeworks.llm.common import Memory, slices
+from ridgeworks.llm.common import Memory, give_back, slices
 
 # stretches and pieces whose ids a Python worker remembers, twice that many of each at most
 CACHE = 300_000
+# bytes of text that are cut into stretches at once; a stretch in hand takes many times its bytes
+SLICE = 1 << 20
 # bytes of the longest piece that is merged beside others
 LONG = 64
 # stands above every rank
@@ -240,7 +242,7 @@ def encode_texts(
     ``ids`` are little-endian unsigned 32-bit integers, ``decoded`` the bytes they stand for. Each
     match of ``pattern`` is encoded by itself, special tokens are ordinary text. Null counts as empty:
     no ids. The rank file is read on the driver (its size is that of the vocabulary) and broadcast, so
-    executors need no copy. A task holds one batch of texts.
+    executors need no copy. A task holds one batch of texts, and the stretches of SLICE bytes of them.
     """
     shared = docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(ranks_path)})
 
@@ -250,7 +252,7 @@ def encode_texts(
             model["codec"] = Codec(model["ranks"], pattern)
         codec = model["codec"]
         for batch in batches:
-            for first, end in slices(batch.column(1)):
+            for first, end in slices(batch.column(1), SLICE):
                 part = batch.slice(first, end - first)
                 ids = codec.encode([x or "" for x in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
@@ -262,6 +264,8 @@ def encode_texts(
                     ],
                     ["doc_id", "n_tokens", "ids", "decoded"],
                 )
+            del batch
+        give_back()
 
     asked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return asked.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")

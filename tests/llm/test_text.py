@@ -198,6 +198,34 @@ def test_languages_do_not_depend_on_what_workers_hold(spark, documents, share, m
         assert got[i].lang_pred == lang or abs(score - 1 / 4) < 1e-9
 
 
+def test_encoder_holds_the_stretches_of_few_bytes(spark, tmp_path, monkeypatch):
+    """No task cuts more than a megabyte of texts, or one text, at once, and it gives back what it freed."""
+    rows = [(i, f"{i} words of their own " * 400 if i % 100 else None) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    size = sum(len(text or "") for _, text in rows)
+    assert size > 4 << 20
+    notes, encode = str(tmp_path / "notes"), bpe.Codec.encode
+
+    class Noted(bpe.Codec):
+        def encode(self, texts):
+            with open(notes, "a") as out:
+                print(sum(map(len, texts)), file=out)
+            return encode(self, texts)
+
+    def back():
+        with open(notes, "a") as out:
+            print("back", file=out)
+
+    monkeypatch.setattr(bpe, "Codec", Noted)
+    monkeypatch.setattr(bpe, "give_back", back)
+    encoded = bpe.encode_texts(docs, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+    found = {x.doc_id: bytes(x.decoded) for x in encoded.collect()}
+    assert found == {i: (text or "").encode() for i, text in rows}
+    lines = open(notes).read().split()
+    assert lines[-1] == "back" and sum(map(int, lines[:-1])) == size
+    assert max(map(int, lines[:-1])) <= 1 << 20
+
+
 def test_identify_of_odd_rows(spark, odd, nothing):
     many = odd.unionByName(spark.createDataFrame([(None, "Le chat unique", "fr", "c", 0.0, "")] * 30, odd.schema))
     model = langid.LanguageModel(many, share=0.2)
