@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property, reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -326,36 +327,98 @@ def predictions(texts: list[str | None], langs: list[str], scorer: WordScorer) -
     return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score)], fields=list(PREDICTION))
 
 
+def code_points(texts: list[str]) -> np.ndarray:
+    """Of all texts, one after the other."""
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
+
+
+class Grams:
+    """The n-grams of one length that have a place, found for many words at once by a hash; what is found is
+    compared letter by letter."""
+
+    def __init__(self, places: dict[str, int], length: int):
+        self.length, self.factor = length, 0x9E3779B97F4A7C15
+        codes = code_points(list(places))
+        firsts = np.arange(len(places)) * length
+        keys = self._keys(codes, firsts)
+        while len(np.unique(keys)) < len(keys):
+            self.factor += 2
+            keys = self._keys(codes, firsts)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.codes = codes.reshape(-1, length)[order]
+        self.places = np.fromiter(places.values(), np.int64, len(places))[order]
+        # by the first 20 bits of a hash: most n-grams of a rare word end here
+        self.some = np.zeros(1 << 20, dtype=bool)
+        self.some[self.keys >> np.uint64(44)] = True
+
+    def _keys(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        keys = np.zeros(len(at), dtype=np.uint64)
+        for j in range(self.length):
+            keys += codes[at + j]
+            keys *= np.uint64(self.factor)
+        return keys
+
+    def find(self, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the spots ``at`` where a known n-gram starts, and its place."""
+        keys = self._keys(codes, at)
+        some = np.flatnonzero(self.some[keys >> np.uint64(44)])
+        at, keys = at[some], keys[some]
+        row = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        same = np.ones(len(at), dtype=bool)
+        for j in range(self.length):
+            same &= self.codes[row, j] == codes[at + j]
+        return at[same], self.places[row[same]]
+
+
 class WordScorer:
     """Log frequency of a word in every language, from the word itself or else from its n-grams."""
 
     def __init__(self, index: list[dict[str, int]], logs: np.ndarray):
-        self.words, self.levels = index[0], index[:0:-1]
+        self.words = index[0]
+        self.levels = [Grams(index[n], n) for n in range(len(index) - 1, 0, -1) if index[n]]
         self.logs = np.concatenate([logs, np.zeros((1, logs.shape[1]))])  # the last row: nothing is known
         self.memory = Memory(CACHE)
 
     def _find(self, words: list[str]) -> list[bytes]:
         return split_rows(self.vectors(words))
 
-    def vectors(self, words: list[str]) -> np.ndarray:
+    def _backed_off(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers, ascending, and places of the known n-grams of each word with its edges marked, of the
+        longest length that has any; a word without any has none."""
+        codes = code_points([f"<{word}>" for word in words])
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        who = np.repeat(np.arange(len(words)), sizes)
+        left = np.cumsum(sizes)[who] - np.arange(len(codes))
+        spots, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        wanted = np.ones(len(words), dtype=bool)
+        for level in self.levels:
+            at, own = level.find(codes, np.flatnonzero(wanted[who] & (left >= level.length)))
+            wanted[who[at]] = False
+            spots.append(at)
+            places.append(own)
+        spots = np.concatenate(spots)
+        order = np.argsort(spots)
+        return who[spots[order]], np.concatenate(places)[order]
+
+    def vectors(self, words: list[str], step: int = 1 << 15) -> np.ndarray:
         """Scores of every word: its own, or the mean over its known n-grams of the longest length that
-        has any, or none."""
-        found, lengths = [], []
-        for word in words:
-            place = self.words.get(word)
-            if place is not None:
-                own = [place]
-            else:
-                for level, index in enumerate(self.levels):
-                    own = [i for i in map(index.get, grams(word, LONGEST - level)) if i is not None]
-                    if own:
-                        break
-                else:
-                    own = [-1]
-            found += own
-            lengths.append(len(own))
-        lengths = np.array(lengths)
-        return np.add.reduceat(self.logs[found], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+        has any, or none; ``step`` words at a time."""
+        out = np.empty((len(words), self.logs.shape[1]))
+        for first in range(0, len(words), step):
+            some = words[first : first + step]
+            own = np.fromiter(map(self.words.get, some, repeat(-1)), np.int64, len(some))
+            rest = np.flatnonzero(own < 0)
+            who, places = self._backed_off([some[i] for i in rest.tolist()])
+            alone = np.ones(len(some), dtype=bool)
+            alone[rest[who]] = False
+            alone = np.flatnonzero(alone)
+            who, places = np.concatenate([alone, rest[who]]), np.concatenate([own[alone], places])
+            places = places[np.argsort(who, kind="stable")]
+            lengths = np.bincount(who, minlength=len(some))
+            sums = np.add.reduceat(self.logs[places], np.cumsum(lengths) - lengths, axis=0)
+            out[first : first + step] = sums / lengths[:, None]
+        return out
 
     def totals(self, bags: Bags) -> np.ndarray:
         """Sum of the scores of each text's words."""

@@ -265,7 +265,9 @@ class Reader:
             responses[new] = self.network.responses(Features(asked))
             if len(self.places) + len(new) > CACHE:
                 self.places, new = {}, np.arange(len(words))
-            new = np.array([i for i in new.tolist() if len(words[i]) <= LONGEST][:CACHE], dtype=np.int64)
+                asked = words
+            short = np.fromiter(map(len, asked), np.int64, len(asked)) <= LONGEST
+            new = new[short][:CACHE]
             first, end = len(self.places), len(self.places) + len(new)
             self.scores[first:end], self.responses[first:end] = scores[new], responses[new]
             self.places.update(zip([words[i] for i in new.tolist()], range(first, end), strict=True))
@@ -281,14 +283,18 @@ class Reader:
         return names, self.network.pooled(bags, responses).astype(float)
 
 
-def log_odds(bags: Bags, features: Features, labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log odds of either label for those of ``rows`` that hold a bucket, against those of all."""
-    held = np.zeros((2, BUCKETS))
+def texts_with(bags: Bags, features: Features, labels: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """By part, label and bucket: how many texts hold the bucket."""
+    held = np.zeros((PARTS, 2, BUCKETS))
     ends = np.cumsum(bags.lengths)
-    for first, end, label in zip((ends - bags.lengths)[rows], ends[rows], labels[rows].tolist(), strict=True):
+    for first, end, label, part in zip(ends - bags.lengths, ends, labels.tolist(), parts.tolist(), strict=True):
         seen, _, _ = features.of(np.unique(bags.places[first:end]))
-        held[label][np.unique(seen)] += 1
-    share = labels[rows].mean()
+        held[part, label][np.unique(seen)] += 1
+    return held
+
+
+def log_odds(held: np.ndarray, share: float) -> np.ndarray:
+    """Log odds of either label for the texts that hold a bucket, against those of all, of which ``share`` have 1."""
     odds = np.log((held[1] + EVIDENCE * share) / (held[0] + EVIDENCE * (1 - share)))
     return odds - np.log(share / (1 - share))
 
@@ -320,9 +326,9 @@ def thresholds(names: np.ndarray, logits: np.ndarray, labels: np.ndarray, counts
     return limits
 
 
-def trained(bags: Bags, features: Features, marks: np.ndarray, rows: np.ndarray) -> Scorer:
-    """A network fitted on ``rows``."""
-    network = Network(log_odds(bags, features, marks, rows))
+def trained(bags: Bags, features: Features, marks: np.ndarray, rows: np.ndarray, held: np.ndarray) -> Scorer:
+    """A network fitted on ``rows``, of which ``held`` counts those of either label by bucket."""
+    network = Network(log_odds(held, marks[rows].mean()))
     network.train(bags, features, marks, rows)
     return Scorer(network.table, network.filters, network.bias, network.weights, network.offset)
 
@@ -338,12 +344,13 @@ def fit(
         return None
     bags = Bags(texts)
     features = Features(bags.words)
-    network = trained(bags, features, marks, np.arange(len(marks)))
+    held = texts_with(bags, features, marks, parts)
+    network = trained(bags, features, marks, np.arange(len(marks)), held.sum(axis=0))
     logits = network.pooled(bags, network.responses(features)).astype(float)
     for part in range(PARTS):
         learn, check = np.flatnonzero(parts != part), parts == part
         if check.any() and len(np.unique(marks[learn])) == 2:
-            other = trained(bags, features, marks, learn)
+            other = trained(bags, features, marks, learn, np.delete(held, part, axis=0).sum(axis=0))
             logits[check] = other.pooled(bags, other.responses(features))[check]
     return network, logits, best_language(bags, langs, scorer)[0]
 

@@ -367,6 +367,46 @@ def test_toxicity_query(spark):
     assert hit / max(1, sum(b for _, b in held)) > 0.9
 
 
+def test_words_are_scored_many_at_once(monkeypatch):
+    """A word never seen has the mean of its known n-grams of the longest length that has any."""
+    random.seed(4)
+    letters = "abcé漢\U00020000"
+    index, n = [{} for _ in range(langid.LONGEST + 1)], 0
+    for length, own in enumerate(index):
+        for _ in range(40):
+            word = "".join(random.choices(letters, k=random.randint(1, 8)))
+            gram = word if length == 0 else random.choice(langid.grams(word * 3, length))
+            if gram not in own:
+                own[gram], n = n, n + 1
+    logs = np.random.default_rng(0).random((n, 3))
+    words = ["".join(random.choices(letters + "xyz", k=random.randint(1, 9))) for _ in range(3000)] + [*index[0], "zzz"]
+    expected = []
+    for word in words:
+        own = [index[0][word]] if word in index[0] else []
+        for length in range(langid.LONGEST, 0, -1):
+            own = own or [index[length][x] for x in langid.grams(word, length) if x in index[length]]
+        expected.append(np.add.reduce(logs[own], axis=0) / len(own) if own else np.zeros(3))
+    monkeypatch.setattr(langid, "grams", None)  # no word is cut by itself
+    scorer = langid.WordScorer(index, logs)
+    for step in (1, 7, 1 << 15):
+        assert scorer.vectors(words, step) == pytest.approx(np.array(expected))
+    assert scorer.vectors([]).shape == (0, 3)
+    assert langid.WordScorer([{} for _ in index], np.zeros((0, 2))).vectors(["a", ""]).tolist() == [[0, 0], [0, 0]]
+
+
+def test_a_text_is_cut_once_for_all_networks(monkeypatch):
+    counted = []
+    count = toxicity.texts_with
+    monkeypatch.setattr(toxicity, "texts_with", lambda *x: counted.append(count(*x)) or counted[-1])
+    marks, parts = np.array([1, 0, 1, 0, 1, 0]), np.array([0, 0, 1, 1, 2, 2])
+    texts = [["bad", "x"], ["good", "x"], ["bad", "bad"], ["good"], ["bad", "y"], []]
+    scorer = langid.WordScorer([{} for _ in range(langid.LONGEST + 1)], np.zeros((0, 1)))
+    network, logits, _ = toxicity.fit(texts, marks, parts, [], scorer)
+    assert len(counted) == 1 and np.isfinite(logits).all()
+    bucket = toxicity.Features(["bad"]).buckets[0]
+    assert counted[0][:, :, bucket].tolist() == [[0, 1], [0, 1], [0, 1]]
+
+
 def test_thresholds_come_of_all_labelled_rows(spark, monkeypatch):
     counted, held = [], []
     count, choose = toxicity.ToxicityModel._counted, toxicity.thresholds
